@@ -1,0 +1,146 @@
+"""Views that give the driver's test tables the shapes of the event lake.
+
+The test tables are flat (``events``, TPC-H ``orders``/``customer``, text tables). These functions
+re-shape them with plain projections — no rows are invented, dropped or sampled — so the library's
+operators run on data whose volume grows with the given tables:
+
+- ``bronze_events``: ``events`` as nested bronze rows (``actor``/``repo``/``org`` structs and a
+  ``payload`` struct whose filled fields depend on the event type, like inferred archive JSON);
+- ``push_table`` / ``push_fact``: ``orders`` as push events and ``orders ⋈ customer`` as their fact
+  rows (TPC-H dates span several years, which the time-ordering rules need);
+- ``comment_tables``: the text tables as the four comment-bearing sources.
+
+Every derivation here is mirrored in the DuckDB oracle SQL of ``__spark_entry__``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakestrata.functions.timefmt import add_day, iso_text
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _txt(c: str | Column) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def props_k(props: str = "props") -> Column:
+    """The integer ``k`` of the JSON ``props`` text (null when absent or not an integer)."""
+    return F.get_json_object(F.col(props), "$.k").try_cast("bigint")
+
+
+def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as nested bronze: ``id, type, created_at, actor, repo, org, payload, day``."""
+    ev = table(spark, sf_dir, "events")
+    k = props_k()
+    login = F.concat(F.lit("user"), _txt("user_id"))
+    repo_name = F.concat(login, F.lit("/repo"), _txt(k))
+    etype = F.col("event_type")
+    bronze = ev.select(
+        _txt("event_id").alias("id"),
+        etype.alias("type"),
+        iso_text("ts").alias("created_at"),
+        F.struct(
+            F.col("user_id").alias("id"),
+            login.alias("login"),
+            login.alias("display_login"),
+            F.lit("").alias("gravatar_id"),
+            F.concat(F.lit("https://api.example.com/users/"), login).alias("url"),
+        ).alias("actor"),
+        F.struct(
+            k.alias("id"),
+            repo_name.alias("name"),
+            F.concat(F.lit("https://api.example.com/repos/"), repo_name).alias("url"),
+        ).alias("repo"),
+        F.when(
+            k < 10,
+            F.struct(
+                k.alias("id"),
+                F.concat(F.lit("org"), _txt(k)).alias("login"),
+                F.concat(F.lit("https://api.example.com/orgs/org"), _txt(k)).alias("url"),
+            ),
+        ).alias("org"),
+        F.struct(
+            F.when(etype == "purchase", F.col("value")).alias("amount"),
+            F.when(etype == "purchase", k).alias("quantity"),
+            F.when(etype == "error", k).alias("code"),
+            F.when(
+                etype.isin("click", "view"),
+                F.struct(
+                    k.alias("id"),
+                    F.concat(F.lit("item"), _txt(k)).alias("name"),
+                    F.concat(F.lit("https://shop.example.com/item/"), _txt(k)).alias("html_url"),
+                ),
+            ).alias("item"),
+            F.when(etype == "signup", F.concat(F.lit("campaign"), _txt(k))).alias("campaign"),
+        ).alias("payload"),
+    )
+    return add_day(bronze, "created_at")
+
+
+def push_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as push events: ``id, created_at, push_id, distinct_size, ref``.
+
+    ``ref`` is ``refs/<status>/<priority>`` so its third ``/`` segment is the order priority.
+    """
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        _txt("o_orderkey").alias("id"),
+        iso_text("o_orderdate").alias("created_at"),
+        F.col("o_orderkey").alias("push_id"),
+        F.floor(F.col("o_totalprice") / 1000).alias("distinct_size"),
+        F.concat(F.lit("refs/"), F.col("o_orderstatus"), F.lit("/"), F.col("o_orderpriority")).alias("ref"),
+    )
+
+
+def push_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows of the push events: ``orders ⋈ customer`` in the fact table's columns."""
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"])
+    return j.select(
+        _txt("o_orderkey").alias("id"),
+        F.lit("PushEvent").alias("type"),
+        iso_text("o_orderdate").alias("created_at"),
+        F.col("c_custkey").alias("actor_id"),
+        F.col("c_name").alias("actor_login"),
+        F.lower(F.col("c_name")).alias("actor_display_login"),
+        F.col("c_nationkey").alias("repo_id"),
+        F.concat(F.col("c_mktsegment"), F.lit("/"), F.col("o_orderpriority")).alias("repo_name"),
+        F.col("c_mktsegment").alias("org_login"),
+    )
+
+
+def comment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four comment-bearing sources in silver shape.
+
+    ``commit_comment_event_df``, ``issue_comment_event_df`` and
+    ``pull_request_review_comment_event_df`` hold ``id, comment_body``; the push commits child table
+    ``push_event_df_commits_df`` holds ``fact_id, pos, message`` (one row per commit).
+    """
+    bench = table(spark, sf_dir, "benchmark")
+    docs = table(spark, sf_dir, "documents")
+    pages = table(spark, sf_dir, "pages")
+    conv = table(spark, sf_dir, "conversations")
+    return {
+        "commit_comment_event_df": bench.select(_txt("item_id").alias("id"), F.col("text").alias("comment_body")),
+        "issue_comment_event_df": docs.select(_txt("doc_id").alias("id"), F.col("text").alias("comment_body")),
+        "pull_request_review_comment_event_df": pages.select(
+            _txt("page_id").alias("id"), F.col("html").alias("comment_body")
+        ),
+        "push_event_df_commits_df": conv.select(
+            _txt("conv_id").alias("fact_id"), F.col("turn").alias("pos"), F.col("text").alias("message")
+        ),
+    }
+
+
+def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat fact rows of ``events`` (the silver fact of ``bronze_events``)."""
+    from lakestrata.plans.silver import build_fact
+
+    return build_fact(bronze_events(spark, sf_dir))
