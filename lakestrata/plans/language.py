@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, NGram, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, IndexToString, NGram, RegexTokenizer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,8 +92,10 @@ def detect_language(df: DataFrame, model: PipelineModel, text_col: str = "text",
 
     The whole text is scored. A null or empty text has nothing to judge and is ``Unknown``.
     """
-    labels = model.stages[3].labels
-    scored = model.transform(df.withColumn(TEXT, F.coalesce(F.col(text_col), F.lit(""))))
+    labels = next(s for s in model.stages if isinstance(s, StringIndexerModel)).labels
+    # score with the feature stages and the classifier only: the label indexer needs a label column
+    scorer = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
+    scored = scorer.transform(df.withColumn(TEXT, F.coalesce(F.col(text_col), F.lit(""))))
     scored = IndexToString(inputCol="__prediction", outputCol="__code", labels=labels).transform(scored)
     confidence = F.array_max(vector_to_array(F.col("__probability")))
     unsure = (F.length(F.col(TEXT)) == 0) | (confidence < F.lit(threshold))

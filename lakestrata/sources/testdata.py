@@ -36,7 +36,11 @@ def props_k(props: str = "props") -> Column:
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as nested bronze: ``id, type, created_at, actor, repo, org, payload, day``."""
-    ev = table(spark, sf_dir, "events")
+    return bronze_from_events(table(spark, sf_dir, "events"))
+
+
+def bronze_from_events(ev: DataFrame) -> DataFrame:
+    """Row-wise reshaping of ``events`` rows into nested bronze rows (works on a stream too)."""
     k = props_k()
     login = F.concat(F.lit("user"), _txt("user_id"))
     repo_name = F.concat(login, F.lit("/repo"), _txt(k))
@@ -144,3 +148,46 @@ def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakestrata.plans.silver import build_fact
 
     return build_fact(bronze_events(spark, sf_dir))
+
+
+def nested_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer ⟕ nation ⟕ region`` as nested structs (struct in struct) for the flatten operators."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").join(r, n["n_regionkey"] == r["r_regionkey"], "left")
+    return j.select(
+        "c_custkey",
+        "c_name",
+        F.struct(F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment")).alias("account"),
+        F.struct(
+            F.col("n_name").alias("name"),
+            F.struct(F.col("r_name").alias("name"), F.col("r_regionkey").alias("key")).alias("region"),
+        ).alias("nation"),
+    )
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as an event table with an array-of-struct column: every line of the whole text
+    with its length (``lines: array<struct<line, n_chars>>``)."""
+    d = table(spark, sf_dir, "documents")
+    lines = F.transform(
+        F.split(F.col("text"), "\n"),
+        lambda line: F.struct(line.alias("line"), F.length(line).alias("n_chars")),
+    )
+    return d.select(_txt("doc_id").alias("id"), F.col("source").alias("type"), lines.alias("lines"))
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` as an event table with a primitive array column."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(_txt("vec_id").alias("id"), "label", "embedding")
+
+
+def coded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as labelled comments: ``id, type, comment, code`` (the stored language code)."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        _txt("doc_id").alias("id"), F.col("source").alias("type"), F.col("text").alias("comment"),
+        F.col("lang").alias("code"),
+    )
