@@ -15,6 +15,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.operators.partitioning import spread_if_narrow
+from lakestrata.session import checkpoint_root
+
 UNKNOWN = "Unknown"
 
 # Fixed lookup: detected language code → reported language, in the order of the original table.
@@ -54,10 +57,19 @@ def label_languages(df: DataFrame, lookup: DataFrame | None = None, code_col: st
 def language_stats(event_languages: DataFrame, type_col: str = "type", lang_col: str = "language",
                    languages=None, drop_null: bool = False) -> DataFrame:
     """Per event type: one count per language, 0 when absent; a null language is counted in a
-    column named ``null`` (dropped with ``drop_null``)."""
-    grouped = event_languages.groupBy(type_col)
+    column named ``null`` (dropped with ``drop_null``).
+
+    The input (detection output) is expensive, and a pivot without fixed ``languages`` reads its
+    input twice (once to find the values). So the (type, language) counts are aggregated once and
+    checkpointed — a small table in the shared checkpoint folder — and the pivot runs over them.
+    """
+    counts = event_languages.groupBy(type_col, lang_col).agg(F.count(F.lit(1)).alias("__n"))
+    if languages is None:
+        checkpoint_root(event_languages.sparkSession)
+        counts = counts.checkpoint(eager=True)
+    grouped = counts.groupBy(type_col)
     pivoted = grouped.pivot(lang_col, list(languages)) if languages is not None else grouped.pivot(lang_col)
-    out = pivoted.count().fillna(0).orderBy(type_col)
+    out = pivoted.agg(F.sum("__n")).fillna(0).orderBy(type_col)
     return out.drop("null") if drop_null else out
 
 
@@ -83,7 +95,7 @@ def train_language_detector(train: DataFrame, text_col: str = "text", label_col:
     rows = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(text_col).alias(TEXT), F.col(label_col)
     )
-    return language_pipeline(label_col, **kw).fit(rows)
+    return language_pipeline(label_col, **kw).fit(spread_if_narrow(rows))
 
 
 def detect_language(df: DataFrame, model: PipelineModel, text_col: str = "text", threshold: float = 0.1,
@@ -95,7 +107,7 @@ def detect_language(df: DataFrame, model: PipelineModel, text_col: str = "text",
     labels = next(s for s in model.stages if isinstance(s, StringIndexerModel)).labels
     # score with the feature stages and the classifier only: the label indexer needs a label column
     scorer = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
-    scored = scorer.transform(df.withColumn(TEXT, F.coalesce(F.col(text_col), F.lit(""))))
+    scored = scorer.transform(spread_if_narrow(df).withColumn(TEXT, F.coalesce(F.col(text_col), F.lit(""))))
     scored = IndexToString(inputCol="__prediction", outputCol="__code", labels=labels).transform(scored)
     confidence = F.array_max(vector_to_array(F.col("__probability")))
     unsure = (F.length(F.col(TEXT)) == 0) | (confidence < F.lit(threshold))
