@@ -7,7 +7,6 @@ the JSON as Parquet partitioned by ``day`` with that many files per day.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,7 +152,3 @@ def read_bronze(spark: SparkSession, path: str, day: str | None = None) -> DataF
 def event_types(df: DataFrame) -> DataFrame:
     """Distinct event types present."""
     return df.select("type").distinct()
-
-
-def ceil_div(a: float, b: float) -> int:
-    return int(math.ceil(a / b))

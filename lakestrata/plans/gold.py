@@ -128,3 +128,14 @@ def push_activity_by_project(push: DataFrame, fact: DataFrame, sep: str = "/") -
 def find_projects(df: DataFrame, text: str, column: str = "project_name") -> DataFrame:
     """Rows whose ``column`` contains ``text`` (case-sensitive substring)."""
     return df.where(F.col(column).contains(text))
+
+
+def gold_reports(fact: DataFrame, push: DataFrame) -> dict[str, DataFrame]:
+    """The five reports over the fact and push tables, keyed by their dataset names."""
+    return {
+        "event_per_hour_df": events_per_hour(fact),
+        "push_event_ref_df": pushes_by_branch(push),
+        "num_commits_df": commits_per_push(push, fact),
+        "user_type_week": user_activity_by_week(fact),
+        "user_push_activity": push_activity_by_project(push, fact),
+    }

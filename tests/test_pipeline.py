@@ -138,3 +138,78 @@ def test_streaming_ingest_is_incremental_and_exactly_once(spark, landing, tmp_di
     back = spark.read.parquet(dst)
     assert back.count() == len(rows) + 1
     assert back.where("id = 'new'").select(F.col("day").cast("string")).first()[0] == "2024-02-01"
+
+
+GH_TYPES = {
+    "purchase": "PushEvent",
+    "click": "IssueCommentEvent",
+    "error": "CommitCommentEvent",
+    "signup": "PullRequestReviewCommentEvent",
+    "view": "WatchEvent",
+}
+REFS = ["refs/heads/master", "refs/heads/gh-pages", "refs/heads/dev", None]
+
+
+def test_silver_to_gold_job(spark, tmp_dir):
+    """Archive-shaped landing (push, comment and watch events) through every layer to the seven
+    gold datasets, including language detection."""
+    from lakestrata.plans.build_gold import build_gold
+    from lakestrata.plans.language import train_language_detector
+
+    events = tv.bronze_events(spark, SF_SMALL).drop("day").collect()
+    texts = [r.text for r in tv.table(spark, SF_SMALL, "documents").orderBy("doc_id").select("text").collect()]
+    src = f"{tmp_dir}/landing"
+    os.makedirs(src)
+    by_hour = defaultdict(list)
+    pushes = 0
+    for i, r in enumerate(events):
+        doc = _jsonable(r)
+        k = doc["payload"]["quantity"] or doc["payload"]["code"] or (doc["payload"]["item"] or {}).get("id") or i
+        doc["type"] = GH_TYPES[doc["type"]]
+        if doc["type"] == "PushEvent":
+            pushes += 1
+            doc["payload"] = {
+                "push_id": 1000 + i, "distinct_size": k % 5, "ref": REFS[k % 4],
+                "commits": [{"sha": f"{i}-{j}", "message": texts[(i + j) % len(texts)][:200], "url": "u"} for j in range(k % 3)],
+            }
+        elif doc["type"] == "WatchEvent":
+            doc["payload"] = {"action": "started"}
+        else:
+            doc["payload"] = {"comment": {"id": i, "body": texts[i % len(texts)], "html_url": "h"}}
+        by_hour[f"{doc['created_at'][:10]}-{int(doc['created_at'][11:13])}.json.gz"].append(doc)
+    for name, docs in by_hour.items():
+        with gzip.open(f"{src}/{name}", "wt") as fh:
+            fh.write("\n".join(json.dumps(d) for d in docs) + "\n")
+
+    files = bronze_plan.list_landing(spark, src)
+    n = bronze_plan.plan_layout(files).first().files_per_day
+    bronze_plan.ingest_bronze(spark, src, f"{tmp_dir}/bronze", files_per_day=n, num_days=30)
+    bronze = bronze_plan.read_bronze(spark, f"{tmp_dir}/bronze")
+    types = tuple(GH_TYPES.values())
+    contracts = silver.ensure_contracts(spark, bronze, f"{tmp_dir}/contracts", event_types=types)
+    silver.build_silver(spark, bronze, contracts, f"{tmp_dir}/silver", event_types=types)
+    push = spark.read.parquet(f"{tmp_dir}/silver/push_event_df")
+    assert set(push.columns) == {"id", "created_at", "push_id", "distinct_size", "ref", "day"}
+    # inferred JSON fields come sorted; the link column is dropped by the contract
+    assert spark.read.parquet(f"{tmp_dir}/silver/issue_comment_event_df").columns == [
+        "id", "created_at", "comment_body", "comment_id", "day"
+    ]
+
+    model = train_language_detector(tv.table(spark, SF_SMALL, "documents"), "text", "lang")
+    written = build_gold(spark, f"{tmp_dir}/silver", f"{tmp_dir}/gold", model=model)
+    assert set(written) == {
+        "event_per_hour_df", "push_event_ref_df", "num_commits_df", "user_type_week",
+        "user_push_activity", "event_languages_df", "language_stats_df",
+    }
+    read = {k: spark.read.parquet(v) for k, v in written.items()}
+    assert read["num_commits_df"].count() == pushes
+    assert read["push_event_ref_df"].columns == ["day", "main", "gh-pages", "other"]
+    langs = read["event_languages_df"]
+    assert langs.columns == ["code", "id", "created_at", "type", "actor_login", "org_login", "comment", "language"]
+    comment_events = sum(1 for r in events if r.type in ("click", "error", "signup"))
+    pushes_with_commits = spark.read.parquet(f"{tmp_dir}/silver/push_event_df_commits_df").select("fact_id").distinct().count()
+    assert langs.count() == comment_events + pushes_with_commits
+    stats = read["language_stats_df"]
+    assert stats.select("type").distinct().count() == 4
+    total = stats.select(sum(F.col(f"`{c}`") for c in stats.columns if c != "type").alias("t")).agg(F.sum("t")).first()[0]
+    assert total == langs.count()
