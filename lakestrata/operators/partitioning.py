@@ -1,9 +1,10 @@
-"""Parallelism guard for CPU-heavy per-row work (text featurization, model scoring).
+"""Even spreading of rows before CPU-heavy per-row work (text featurization, model scoring).
 
-A large file with one row group, or a source of few big files, is read by few tasks. For cheap
-per-row work that is fine, but when each row costs real CPU (tokenizing a whole document) the rows
-are first spread round-robin over the cluster's parallelism. Inputs that already have enough
-partitions are left untouched, so no shuffle is added at scale.
+A large file with one row group, a source of few big files, or a join output where a few
+partitions hold most rows is processed by few tasks. For cheap per-row work that is fine, but when
+each row costs real CPU (tokenizing a whole document) the rows are first spread round-robin over at
+least ``factor ×`` the cluster's cores — and never fewer partitions than the input already has, so
+at scale the shuffle only evens out the load.
 """
 
 from __future__ import annotations
@@ -11,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None, factor: int = 4) -> DataFrame:
+def spread_rows(df: DataFrame, factor: int = 4) -> DataFrame:
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    wanted = min_partitions or parallelism
-    if df.rdd.getNumPartitions() >= wanted:
-        return df
-    return df.repartition(max(wanted, parallelism * factor))
+    return df.repartition(max(df.rdd.getNumPartitions(), parallelism * factor))
