@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.operators.arrays import split_arrays
-from lakestrata.operators.columns import drop_by_pattern
+from lakestrata.operators.columns import drop_by_pattern, null_profile
 from lakestrata.operators.contract import conform
 from lakestrata.operators.flatten import flatten_all
 from lakestrata.plans import bronze as bronze_plan
@@ -110,6 +110,10 @@ def q_explode_primitive_array(spark, sf_dir):
     return children["embeddings_df_embedding_df"]
 
 
+def q_null_profile(spark, sf_dir):
+    return null_profile(flatten_all(tv.bronze_events(_s(spark), sf_dir)))
+
+
 def q_event_types(spark, sf_dir):
     return bronze_plan.event_types(tv.bronze_events(_s(spark), sf_dir))
 
@@ -208,6 +212,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_contract": q_conform_contract,
         "split_arrays": q_split_arrays,
         "explode_primitive_array": q_explode_primitive_array,
+        "null_profile": q_null_profile,
         "event_types": q_event_types,
         "ingest_roundtrip": q_ingest_roundtrip,
         "stream_ingest": q_stream_ingest,
@@ -267,6 +272,36 @@ _LOOKUP = "(VALUES " + ", ".join(f"('{c}', '{lang}')" for c, lang in language.LA
 _LABELLED = f"""
     SELECT d.lang AS code, CAST(d.doc_id AS VARCHAR) AS id, d.source AS type, d.text AS comment, l.language
     FROM documents d LEFT JOIN {_LOOKUP} ON d.lang = l.code"""
+# every column of the fully flattened bronze view
+_BRONZE_FLAT_ALL = f"""
+    SELECT id, type, created_at, strftime(ts, '%Y-%m-%d') AS day,
+           user_id AS actor_id, login AS actor_login, login AS actor_display_login, '' AS actor_gravatar_id,
+           'https://api.example.com/users/' || login AS actor_url,
+           k AS repo_id, login || '/repo' || CAST(k AS VARCHAR) AS repo_name,
+           'https://api.example.com/repos/' || login || '/repo' || CAST(k AS VARCHAR) AS repo_url,
+           CASE WHEN k < 10 THEN k END AS org_id,
+           CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS org_login,
+           CASE WHEN k < 10 THEN 'https://api.example.com/orgs/org' || CAST(k AS VARCHAR) END AS org_url,
+           CASE WHEN type = 'purchase' THEN value END AS payload_amount,
+           CASE WHEN type = 'purchase' THEN k END AS payload_quantity,
+           CASE WHEN type = 'error' THEN k END AS payload_code,
+           CASE WHEN type = 'signup' THEN 'campaign' || CAST(k AS VARCHAR) END AS payload_campaign,
+           CASE WHEN type IN ('click', 'view') THEN k END AS payload_item_id,
+           CASE WHEN type IN ('click', 'view') THEN 'item' || CAST(k AS VARCHAR) END AS payload_item_name,
+           CASE WHEN type IN ('click', 'view') THEN 'https://shop.example.com/item/' || CAST(k AS VARCHAR) END
+               AS payload_item_html_url
+    FROM ({_EV})"""
+_FLAT_COLUMNS = (
+    "id type created_at day actor_id actor_login actor_display_login actor_gravatar_id actor_url repo_id repo_name "
+    "repo_url org_id org_login org_url payload_amount payload_quantity payload_code payload_campaign payload_item_id "
+    "payload_item_name payload_item_html_url"
+).split()
+
+
+def _null_counts() -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _FLAT_COLUMNS)
+
+
 _BRONZE_FLAT = f"""
     SELECT id, type, created_at, login AS actor_login,
            CASE WHEN type = 'purchase' THEN value END AS amount, strftime(ts, '%Y-%m-%d') AS day
@@ -347,6 +382,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(vec_id AS VARCHAR) AS fact_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
                    unnest(embedding) AS col
             FROM embeddings""",
+        "null_profile": f"SELECT {_null_counts()} FROM ({_BRONZE_FLAT_ALL})",
         "event_types": "SELECT DISTINCT event_type AS type FROM events",
         "ingest_roundtrip": _BRONZE_FLAT,
         "stream_ingest": _BRONZE_FLAT,

@@ -13,5 +13,11 @@ from pyspark.sql import DataFrame
 
 
 def spread_rows(df: DataFrame, factor: int = 4) -> DataFrame:
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(df.rdd.getNumPartitions(), parallelism * factor))
+    spark = df.sparkSession
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API (Spark Connect): size from the shuffle setting
+        parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        current = 0
+    return df.repartition(max(current, parallelism * factor))
