@@ -137,8 +137,8 @@ def test_push_reports(spark):
     )
     fact = spark.createDataFrame(
         [
-            ("1", "PushEvent", "2016-12-31T23:30:00Z", "al", "Al", 7, "al/pokemon-go", None),
-            ("2", "PushEvent", "2017-01-01T08:15:00Z", "al", "Al", 7, "al/pokemon-go", "org1"),
+            ("1", "PushEvent", "2016-12-31T23:30:00Z", "al", "Al", 7, "al/weather-app", None),
+            ("2", "PushEvent", "2017-01-01T08:15:00Z", "al", "Al", 7, "al/weather-app", "org1"),
         ],
         "id string, type string, created_at string, actor_login string, actor_display_login string,"
         " repo_id bigint, repo_name string, org_login string",
@@ -146,14 +146,14 @@ def test_push_reports(spark):
     commits = gold.commits_per_push(push, fact)
     assert commits.columns == ["fact_id", "push_id", "time", "user", "organization", "repository", "branch", "number_commits"]
     got = sorted(tuple(r) for r in commits.collect())
-    assert got[0] == ("1", 11, "12/31/2016 23:30:00", "Al", None, "al/pokemon-go", "master", 3)
+    assert got[0] == ("1", 11, "12/31/2016 23:30:00", "Al", None, "al/weather-app", "master", 3)
     assert len(got) == 2  # push 3 has no fact row: dropped by the inner join
     activity = {(r.actor_login, r.project_name): r for r in gold.push_activity_by_project(push, fact).collect()}
-    al = activity[("al", "pokemon-go")]
+    al = activity[("al", "weather-app")]
     assert al.number_of_push_events == 5
     assert al.date_of_first_push == "12/31/2016 23:00:00" and al.date_of_last_push == "01/01/2017 08:00:00"
     assert activity[(None, None)].number_of_push_events == 5  # kept by the left join
-    found = gold.find_projects(gold.push_activity_by_project(push, fact), "pokemon").collect()
+    found = gold.find_projects(gold.push_activity_by_project(push, fact), "weather").collect()
     assert [r.repo_owner for r in found] == ["al"]
 
 
