@@ -30,6 +30,7 @@ FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PRIORITY_CLASSES = {"urgent": "1-URGENT", "high": "2-HIGH"}
 PROJECT_TOPIC = "URGENT"
+EXAMPLE_USER = "user7"
 TEST_COMMENT_TYPES = ("click", "purchase", "signup", "view")
 CONTRACT = T.StructType(
     [
@@ -57,6 +58,10 @@ def q_user_activity_by_week(spark, sf_dir):
     return gold.user_activity_by_week(tv.event_fact(_s(spark), sf_dir))
 
 
+def q_user_week_for_user(spark, sf_dir):
+    return gold.for_user(q_user_activity_by_week(spark, sf_dir), EXAMPLE_USER)
+
+
 def q_pushes_by_branch(spark, sf_dir):
     return gold.branch_tallies(tv.push_table(_s(spark), sf_dir), classes=PRIORITY_CLASSES, other="other")
 
@@ -200,6 +205,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "events_per_hour": q_events_per_hour,
         "user_activity_by_week": q_user_activity_by_week,
+        "user_week_for_user": q_user_week_for_user,
         "pushes_by_branch": q_pushes_by_branch,
         "commits_per_push": q_commits_per_push,
         "push_activity_by_project": q_push_activity_by_project,
@@ -308,13 +314,7 @@ _BRONZE_FLAT = f"""
     FROM ({_EV})"""
 
 
-def oracle_sql() -> dict[str, str]:
-    return {
-        "events_per_hour": f"""
-            SELECT strftime(date_trunc('hour', ts), '%m/%d/%Y %H:00:00') AS hour,
-                   {_counts('event_type', EVENT_TYPES, True)}
-            FROM events GROUP BY 1""",
-        "user_activity_by_week": f"""
+_WEEKLY = f"""
             WITH b AS (SELECT CAST(ts AS DATE) AS d, 'user' || CAST(user_id AS VARCHAR) AS u, event_type
                        FROM events),
                  w AS (SELECT *, CAST(date_trunc('year', d) AS DATE) AS j1,
@@ -323,7 +323,17 @@ def oracle_sql() -> dict[str, str]:
                              ELSE CAST(floor((dayofyear(d) + dayofweek(j1) - 1) / 7) AS BIGINT) + 1
                         END AS VARCHAR) AS week_of_year,
                    u AS "user", {_counts('event_type', EVENT_TYPES, False)}
-            FROM w GROUP BY 1, 2""",
+            FROM w GROUP BY 1, 2"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "events_per_hour": f"""
+            SELECT strftime(date_trunc('hour', ts), '%m/%d/%Y %H:00:00') AS hour,
+                   {_counts('event_type', EVENT_TYPES, True)}
+            FROM events GROUP BY 1""",
+        "user_week_for_user": f"SELECT * FROM ({_WEEKLY}) WHERE \"user\" = '{EXAMPLE_USER}'",
+        "user_activity_by_week": _WEEKLY,
         "pushes_by_branch": f"""
             SELECT strftime(d, '%m/%d/%Y') AS day,
                    {", ".join(f"CAST(sum(CAST(seg = '{v}' AS BIGINT)) AS BIGINT) AS {k}" for k, v in PRIORITY_CLASSES.items())},

@@ -130,6 +130,11 @@ def find_projects(df: DataFrame, text: str, column: str = "project_name") -> Dat
     return df.where(F.col(column).contains(text))
 
 
+def for_user(report: DataFrame, user: str, column: str = "user") -> DataFrame:
+    """Rows of one user in a per-user report (e.g. ``user_activity_by_week``)."""
+    return report.where(F.col(column) == F.lit(user))
+
+
 def gold_reports(fact: DataFrame, push: DataFrame) -> dict[str, DataFrame]:
     """The five reports over the fact and push tables, keyed by their dataset names."""
     return {

@@ -76,7 +76,7 @@ def language_stats(event_languages: DataFrame, type_col: str = "type", lang_col:
 TEXT = "__text"
 
 
-def language_pipeline(label_col: str = "lang", analyzer: str = "words", num_features: int = 1 << 16,
+def detector_stages(label_col: str = "lang", analyzer: str = "words", num_features: int = 1 << 16,
                       ngram: int = 3, smoothing: float = 1.0) -> Pipeline:
     """Unfitted pipeline on column ``__text``: tokens → hashed counts → naive Bayes over the indexed
     ``label_col``.
@@ -106,7 +106,7 @@ def train_language_detector(train: DataFrame, text_col: str = "text", label_col:
     rows = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(text_col).alias(TEXT), F.col(label_col)
     )
-    return language_pipeline(label_col, **kw).fit(spread_rows(rows))
+    return detector_stages(label_col, **kw).fit(spread_rows(rows))
 
 
 def detect_language(df: DataFrame, model: PipelineModel, text_col: str = "text", threshold: float = 0.1,

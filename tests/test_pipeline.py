@@ -213,3 +213,20 @@ def test_silver_to_gold_job(spark, tmp_dir):
     assert stats.select("type").distinct().count() == 4
     total = stats.select(sum(F.col(f"`{c}`") for c in stats.columns if c != "type").alias("t")).agg(F.sum("t")).first()[0]
     assert total == langs.count()
+
+
+def test_jobs_command_line(spark, landing, tmp_dir, capsys):
+    from lakestrata import jobs
+
+    src, rows = landing
+    jobs.main(["plan", "--landing", src])
+    plan = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert plan["days"] >= 30 and plan["files_per_day"] >= 1
+    jobs.main(["bronze", "--landing", src, "--bronze", f"{tmp_dir}/bronze", "--per-day-plan"])
+    assert spark.read.parquet(f"{tmp_dir}/bronze").count() >= len(rows)
+    jobs.main([
+        "silver", "--bronze", f"{tmp_dir}/bronze", "--silver", f"{tmp_dir}/silver",
+        "--contracts", f"{tmp_dir}/contracts", "--sample-day", "2024-01-02", "--types", ",".join(TYPES),
+    ])
+    written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(written["main_df"]).count() >= len(rows)
