@@ -24,8 +24,12 @@ def _col(c: str | Column) -> Column:
 
 
 def parse_ts(c: str | Column) -> Column:
-    """ISO-8601 text such as ``2017-01-01T00:10:00Z`` → TIMESTAMP (session zone UTC)."""
-    return F.to_timestamp(_col(c))
+    """ISO-8601 text such as ``2017-01-01T00:10:00Z`` → TIMESTAMP (session zone UTC).
+
+    A malformed value becomes null instead of failing the whole job (ANSI ``to_timestamp`` would
+    raise on the first bad record of a month).
+    """
+    return F.try_to_timestamp(_col(c))
 
 
 def hour_bucket(ts: str | Column) -> Column:

@@ -171,3 +171,12 @@ def test_naming_and_day(spark):
     assert add_day(df, "created_at").first().day == "2017-01-05"
     ts = df.select(F.to_timestamp("created_at").alias("t"))
     assert add_day(ts, "t").first().day == "2017-01-05"
+
+
+def test_malformed_time_is_null_not_an_error(spark):
+    fact = spark.createDataFrame(
+        [("1", "PushEvent", "2017-01-01T00:10:00Z", "u"), ("2", "PushEvent", "not a time", "u")],
+        "id string, type string, created_at string, actor_display_login string",
+    )
+    rows = {r.hour: r.PushEvent for r in gold.events_per_hour(fact).collect()}
+    assert rows == {"01/01/2017 00:00:00": 1, None: 1}
