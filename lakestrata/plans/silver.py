@@ -52,19 +52,27 @@ def extract_event(
     event_type: str,
     sample_rows: int | None = None,
     drop_null: bool = True,
+    wanted: Sequence[str] | None = None,
 ) -> DataFrame:
     """Flat table of one event type: ``id, created_at`` then its payload fields.
 
     The payload is lifted one level without its prefix, columns that are null in every row are
-    dropped (one aggregate job; skipped with ``drop_null=False`` when a contract will decide), then
-    every remaining struct is flattened with prefixes. Arrays stay for ``split_arrays``.
+    dropped (one aggregate job), then every remaining struct is flattened with prefixes. Arrays
+    stay for ``split_arrays``. With ``wanted`` (the columns of a contract) no profiling job runs:
+    only the lifted fields that can produce a wanted column are kept before the full flatten.
     ``sample_rows`` limits the input (contract learning only).
     """
     df = bronze.where(F.col("type") == event_type).select(*EVENT_KEYS, "payload")
     if sample_rows is not None:
         df = df.limit(sample_rows)
     df = flatten_once(df, keep_parent_name=False)
-    if drop_null:
+    if wanted is not None:
+        names = set(wanted)
+        df = df.select(*[
+            F.col(f"`{c}`") for c in df.columns
+            if c in EVENT_KEYS or c in names or any(n.startswith(c + "_") for n in names)
+        ])
+    elif drop_null:
         df = drop_all_null(df, keep=EVENT_KEYS)
     return flatten_all(df)
 
@@ -80,8 +88,9 @@ def build_fact(bronze: DataFrame, contract=None) -> DataFrame:
 def event_table(bronze: DataFrame, event_type: str, contract=None) -> DataFrame:
     """One event type as a flat table held to ``contract`` (arrays included), or without a contract
     with all-null and link columns dropped."""
-    event = extract_event(bronze, event_type, drop_null=contract is None)
-    return conform(event, contract) if contract is not None else drop_by_pattern(event)
+    if contract is None:
+        return drop_by_pattern(extract_event(bronze, event_type))
+    return conform(extract_event(bronze, event_type, wanted=contract.fieldNames()), contract)
 
 
 def split_event_table(

@@ -230,3 +230,18 @@ def test_jobs_command_line(spark, landing, tmp_dir, capsys):
     ])
     written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.parquet(written["main_df"]).count() >= len(rows)
+
+
+def test_contract_prunes_unrelated_payload_before_flatten(spark):
+    """A payload subtree outside the contract may clash on flatten; with a contract it is never expanded."""
+    from pyspark.sql import types as T
+
+    bronze = spark.createDataFrame(
+        [("1", "PushEvent", "2017-01-01T00:00:00Z", {"ref": "refs/heads/master", "a": {"b_c": 1}, "a_b": {"c": 2}})],
+        "id string, type string, created_at string, payload struct<ref:string, a:struct<b_c:int>, a_b:struct<c:int>>",
+    )
+    with pytest.raises(ValueError, match="a_b_c"):
+        silver.extract_event(bronze, "PushEvent", drop_null=False)
+    contract = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "created_at", "ref")])
+    out = silver.event_table(bronze, "PushEvent", contract)
+    assert out.columns == ["id", "created_at", "ref"] and out.first().ref == "refs/heads/master"
