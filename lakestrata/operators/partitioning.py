@@ -2,9 +2,11 @@
 
 A large file with one row group, a source of few big files, or a join output where a few
 partitions hold most rows is processed by few tasks. For cheap per-row work that is fine, but when
-each row costs real CPU (tokenizing a whole document) the rows are first spread round-robin over at
-least ``factor ×`` the cluster's cores — and never fewer partitions than the input already has, so
-at scale the shuffle only evens out the load.
+each row costs real CPU (tokenizing a whole document) the rows are first re-spread with Spark's
+``rebalance`` hint: a round-robin shuffle whose partitions AQE then sizes from the data — merged
+up to the advisory size (favouring parallelism on small inputs) and split where one is too big.
+So a small labelled set is not cut into thousands of empty tasks on a large cluster, and a large
+corpus gets as many evenly sized tasks as its bytes call for.
 """
 
 from __future__ import annotations
@@ -12,12 +14,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_rows(df: DataFrame, factor: int = 4) -> DataFrame:
-    spark = df.sparkSession
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API (Spark Connect): size from the shuffle setting
-        parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        current = 0
-    return df.repartition(max(current, parallelism * factor))
+def spread_rows(df: DataFrame) -> DataFrame:
+    return df.hint("rebalance")

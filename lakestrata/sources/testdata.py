@@ -40,12 +40,16 @@ def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_from_events(ev: DataFrame) -> DataFrame:
-    """Row-wise reshaping of ``events`` rows into nested bronze rows (works on a stream too)."""
-    k = props_k()
+    """Row-wise reshaping of ``events`` rows into nested bronze rows (works on a stream too).
+
+    ``props`` is parsed once in a lower projection; the structs then reuse the parsed value.
+    """
+    base = ev.select("event_id", "ts", "user_id", "event_type", "value", props_k().alias("__k"))
+    k = F.col("__k")
     login = F.concat(F.lit("user"), _txt("user_id"))
     repo_name = F.concat(login, F.lit("/repo"), _txt(k))
     etype = F.col("event_type")
-    bronze = ev.select(
+    bronze = base.select(
         _txt("event_id").alias("id"),
         etype.alias("type"),
         iso_text("ts").alias("created_at"),
