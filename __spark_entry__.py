@@ -145,7 +145,9 @@ def q_stream_ingest(spark, sf_dir):
     events = tv.table(spark, sf_dir, "events")
     stream = landing_stream(spark, sf_dir, events.schema, fmt="parquet", path_glob="events.parquet")
     path = scratch_dir(spark, "bronze-stream")
-    run_bronze_stream(tv.bronze_from_events(stream), path, path + "-checkpoint", files_per_batch_day=2)
+    # the whole events file arrives as one micro-batch spanning every day: one writer per core
+    run_bronze_stream(tv.bronze_from_events(stream), path, path + "-checkpoint", files_per_batch_day=2,
+                      partitions=spark.sparkContext.defaultParallelism)
     return _bronze_readback(spark, path)
 
 

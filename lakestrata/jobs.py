@@ -40,7 +40,9 @@ def _stream(spark, args) -> None:
 
     schema = spark.read.parquet(args.schema_from).drop("day").schema
     events = landing_stream(spark, args.landing, schema, max_files_per_trigger=args.max_files_per_trigger)
-    run_bronze_stream(events, args.bronze, args.checkpoint, files_per_batch_day=args.files_per_day or 1)
+    days = max(1, -(-args.max_files_per_trigger // 24))  # hourly files: 24 per day
+    run_bronze_stream(events, args.bronze, args.checkpoint, files_per_batch_day=args.files_per_day or 1,
+                      days_per_batch=days)
 
 
 def _silver(spark, args) -> None:
@@ -79,7 +81,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--schema-from", required=True, help="an existing bronze table whose schema the JSON follows")
     p.add_argument("--files-per-day", type=int)
-    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-files-per-trigger", type=int, default=48)
     p = sub.add_parser("silver")
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)

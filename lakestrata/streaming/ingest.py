@@ -41,6 +41,7 @@ def start_bronze_stream(
     dst: str,
     checkpoint: str,
     files_per_batch_day: int = 1,
+    days_per_batch: int = 2,
     partitions: int | None = None,
     time_col: str = "created_at",
     key: str = "id",
@@ -49,14 +50,16 @@ def start_bronze_stream(
 ) -> StreamingQuery:
     """Start the stream ``events`` → bronze Parquet under ``dst`` partitioned by ``day``.
 
-    Within a micro-batch each day is spread over ``files_per_batch_day`` hash buckets of ``key``
-    (``partitions`` shuffle partitions in total, default ``files_per_batch_day`` × the session's
-    shuffle partitions), so a micro-batch writes a bounded number of files per day.
+    Within a micro-batch each day is spread over ``files_per_batch_day`` hash buckets of ``key``;
+    every (day, bucket) pair is written by one task, so a micro-batch adds at most
+    ``files_per_batch_day`` files to each day whatever its size. The shuffle has ``partitions``
+    tasks, by default ``files_per_batch_day × days_per_batch`` (AQE does not resize streaming
+    shuffles, so this is sized from the expected batch rather than the cluster's batch setting);
+    bound the batch with ``maxFilesPerTrigger`` on the source (e.g. 24 hourly files per day).
     """
     bronze = events if DAY in events.columns else add_day(events, time_col)
     if partitions is None:
-        shuffle = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        partitions = max(1, files_per_batch_day * shuffle)
+        partitions = max(1, files_per_batch_day * days_per_batch)
     bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_batch_day))
     spread = bronze.repartition(partitions, F.col(DAY), bucket)
     writer = (
