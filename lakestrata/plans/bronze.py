@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.timefmt import add_day
+from lakestrata.operators.aggregates import distinct_values
 from lakestrata.sinks.parquet import write_bounded_by_day
 
 # Fixed sizing rules of the bronze layout.
@@ -151,4 +152,4 @@ def read_bronze(spark: SparkSession, path: str, day: str | None = None) -> DataF
 
 def event_types(df: DataFrame) -> DataFrame:
     """Distinct event types present."""
-    return df.select("type").distinct()
+    return distinct_values(df, "type")

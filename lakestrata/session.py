@@ -10,7 +10,6 @@ Shuffle partition counts are left to the cluster (AQE coalesces small ones); tes
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,16 +77,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the checkpoint root for one run's written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/lakestrata/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must stat a local path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
