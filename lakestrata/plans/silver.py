@@ -24,7 +24,7 @@ from lakestrata.functions.timefmt import add_day
 from lakestrata.operators.arrays import EVENT_TIME, array_columns, split_arrays
 from lakestrata.operators.columns import drop_all_null, drop_by_pattern
 from lakestrata.operators.contract import conform, contract_of, load_contracts, save_contracts
-from lakestrata.operators.flatten import flatten_all, flatten_once
+from lakestrata.operators.flatten import flatten_all, flatten_once, struct_children
 from lakestrata.sinks.parquet import write_partitioned
 
 # Fixed list of the event types that get their own table (the type without columns is left out).
@@ -53,6 +53,7 @@ def extract_event(
     sample_rows: int | None = None,
     drop_null: bool = True,
     wanted: Sequence[str] | None = None,
+    clash_prefix: str | None = None,
 ) -> DataFrame:
     """Flat table of one event type: ``id, created_at`` then its payload fields.
 
@@ -60,11 +61,17 @@ def extract_event(
     dropped (one aggregate job), then every remaining struct is flattened with prefixes. Arrays
     stay for ``split_arrays``. With ``wanted`` (the columns of a contract) no profiling job runs:
     only the lifted fields that can produce a wanted column are kept before the full flatten.
-    ``sample_rows`` limits the input (contract learning only).
+    ``sample_rows`` limits the input (contract learning only). A payload field named like a key
+    column (``id``) makes the lift raise, naming it; with ``clash_prefix`` (e.g. ``"payload_"``)
+    only the clashing fields get that prefix instead.
     """
     df = bronze.where(F.col("type") == event_type).select(*EVENT_KEYS, "payload")
     if sample_rows is not None:
         df = df.limit(sample_rows)
+    fields = struct_children(df, "payload")
+    if clash_prefix and any(f in EVENT_KEYS for f in fields):
+        renamed = [F.col("payload").getField(f).alias(clash_prefix + f if f in EVENT_KEYS else f) for f in fields]
+        df = df.select(*EVENT_KEYS, F.struct(*renamed).alias("payload"))
     df = flatten_once(df, keep_parent_name=False)
     if wanted is not None:
         names = set(wanted)

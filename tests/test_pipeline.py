@@ -245,3 +245,15 @@ def test_contract_prunes_unrelated_payload_before_flatten(spark):
     contract = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "created_at", "ref")])
     out = silver.event_table(bronze, "PushEvent", contract)
     assert out.columns == ["id", "created_at", "ref"] and out.first().ref == "refs/heads/master"
+
+
+def test_payload_field_named_like_a_key(spark):
+    bronze = spark.createDataFrame(
+        [("1", "ForkEvent", "2017-01-01T00:00:00Z", {"id": 99, "name": "x"})],
+        "id string, type string, created_at string, payload struct<id:bigint, name:string>",
+    )
+    with pytest.raises(ValueError, match="id"):
+        silver.extract_event(bronze, "ForkEvent")
+    out = silver.extract_event(bronze, "ForkEvent", clash_prefix="payload_")
+    assert out.columns == ["id", "created_at", "payload_id", "name"]
+    assert tuple(out.first()) == ("1", "2017-01-01T00:00:00Z", 99, "x")
