@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 from lakestrata.sinks.parquet import spread_by_day, write_bounded_by_day, write_partitioned
 from lakestrata.sources import testdata as tv
 
@@ -56,3 +56,19 @@ def test_partitioned_overwrite_keeps_other_days(spark, tmp_dir):
     write_partitioned(spark.createDataFrame([("3", "2017-01-02")], "id string, day string"), path)
     got = sorted((r.id, str(r.day)) for r in spark.read.parquet(path).collect())
     assert got == [("1", "2017-01-01"), ("3", "2017-01-02")]
+
+
+def test_small_row_groups_let_type_scans_skip(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    bronze = tv.bronze_events(spark, SF_ORACLE)  # ~330 rows a day: enough for several groups
+    path = f"{tmp_dir}/bronze"
+    write_bounded_by_day(bronze, path, 1, num_days=30, row_group_bytes=4096)
+    day_dir = sorted(d for d in os.listdir(path) if d.startswith("day="))[0]
+    f = [x for x in os.listdir(f"{path}/{day_dir}") if x.endswith(".parquet")][0]
+    meta = pq.ParquetFile(f"{path}/{day_dir}/{f}").metadata
+    types_col = [i for i in range(meta.num_columns) if meta.schema.column(i).name == "type"][0]
+    ranges = [(meta.row_group(g).column(types_col).statistics.min, meta.row_group(g).column(types_col).statistics.max)
+              for g in range(meta.num_row_groups)]
+    assert meta.num_row_groups > 1
+    assert ranges == sorted(ranges)  # type-sorted rows: row groups cover increasing type ranges
