@@ -2,8 +2,9 @@
 
 Seven datasets: the five reports of ``plans.gold`` plus ``event_languages_df`` (comments with
 their detected language) and ``language_stats_df`` (type × language counts). The labelled comments
-feed two sinks, so they are checkpointed once into the shared checkpoint folder (a lost executor
-then re-reads that copy instead of re-running the detector).
+feed both language datasets, so ``event_languages_df`` is written first and the statistics are
+computed from the written table: the detector runs once, the text is written once, and a lost
+executor re-reads the table instead of re-running the detector.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.functions.text import child_table_name, event_table_name
 from lakestrata.plans import comments, gold, language
 from lakestrata.plans.silver import FACT_TABLE
-from lakestrata.session import checkpoint_root
 from lakestrata.sinks.parquet import write_plain
 
 PUSH = "PushEvent"
@@ -25,21 +25,18 @@ def read_silver(spark: SparkSession, silver: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{silver.rstrip('/')}/{table}")
 
 
-def language_datasets(
+def label_comments(
     fact: DataFrame,
     comment_tables: list[DataFrame],
     push_commits: DataFrame,
     model: PipelineModel,
     threshold: float = 0.1,
-) -> tuple[DataFrame, DataFrame]:
-    """``(event_languages, language_stats)`` from the comment sources and a fitted detector."""
+) -> DataFrame:
+    """``event_languages``: every gathered comment with its detected code and language."""
     sources = [comments.comment_source(t) for t in comment_tables] + [comments.commit_messages(push_commits)]
     gathered = comments.gather_comments(fact, sources)
     coded = language.detect_language(gathered, model, "comment", threshold=threshold)
-    labelled = language.label_languages(coded)
-    checkpoint_root(fact.sparkSession)
-    labelled = labelled.checkpoint(eager=True)
-    return labelled, language.language_stats(labelled)
+    return language.label_languages(coded)
 
 
 def build_gold(
@@ -53,12 +50,13 @@ def build_gold(
     fact = read_silver(spark, silver, FACT_TABLE)
     push_name = event_table_name(PUSH)
     push = read_silver(spark, silver, push_name)
-    outputs = gold.gold_reports(fact, push)
+    base = dst.rstrip("/")
+    written = {name: write_plain(df, f"{base}/{name}") for name, df in gold.gold_reports(fact, push).items()}
     if model is not None:
         tables = [read_silver(spark, silver, event_table_name(t)) for t in COMMENT_TABLES]
         commits = read_silver(spark, silver, child_table_name(push_name, "commits"))
-        event_languages, stats = language_datasets(fact, tables, commits, model, threshold)
-        outputs["event_languages_df"] = event_languages
-        outputs["language_stats_df"] = stats
-    base = dst.rstrip("/")
-    return {name: write_plain(df, f"{base}/{name}") for name, df in outputs.items()}
+        labelled = label_comments(fact, tables, commits, model, threshold)
+        written["event_languages_df"] = write_plain(labelled, f"{base}/event_languages_df")
+        stats = language.language_stats(spark.read.parquet(written["event_languages_df"]))
+        written["language_stats_df"] = write_plain(stats, f"{base}/language_stats_df")
+    return written
