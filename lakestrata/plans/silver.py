@@ -7,21 +7,22 @@ Design for scale:
   Parquet and only the ``payload`` fields its contract names read (nested column pruning);
 - contracts are learnt once from a sample day, stored next to the tables, and afterwards no
   null-profile job runs — ``conform`` decides the columns;
-- an event table with array columns is read twice (parent and children), so it is persisted for
-  the duration of its writes and released after (a lost executor recomputes it from the scan).
+- an event table with array columns is written as a parent and child tables; they are NOT cached:
+  nested column pruning gives each write its own disjoint slice of the payload (the parent reads
+  the scalar fields, each child only its array), so two pruned scans read about what one scan
+  would, without holding a large share of the month in executor memory or local disk.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import event_table_name
 from lakestrata.functions.timefmt import add_day
-from lakestrata.operators.arrays import EVENT_TIME, array_columns, split_arrays
+from lakestrata.operators.arrays import EVENT_TIME, split_arrays
 from lakestrata.operators.columns import drop_all_null, drop_by_pattern
 from lakestrata.operators.contract import conform, contract_of, load_contracts, save_contracts
 from lakestrata.operators.flatten import flatten_all, flatten_once, struct_children
@@ -189,16 +190,10 @@ def build_silver(
     for event_type in event_types:
         name = event_table_name(event_type)
         event = event_table(bronze, event_type, contracts.get(name))
-        has_children = bool(array_columns(event))
-        if has_children:
-            # parent and children are both cut from this frame: scan and conform it once
-            event = event.persist(StorageLevel.MEMORY_AND_DISK)
         parent, children = split_event_table(event, name, contracts)
         for child_name, child in children.items():
             written[child_name] = write_partitioned(child, f"{base}/{child_name}")
         written[name] = write_partitioned(parent, f"{base}/{name}")
-        if has_children:
-            event.unpersist()
     fact = build_fact(bronze, contracts.get(FACT_TABLE))
     written[FACT_TABLE] = write_partitioned(fact, f"{base}/{FACT_TABLE}")
     return written
