@@ -31,6 +31,9 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PRIORITY_CLASSES = {"urgent": "1-URGENT", "high": "2-HIGH"}
 PROJECT_TOPIC = "URGENT"
 EXAMPLE_USER = "user7"
+# the test tables are megabytes, so the layout query plans for 64 KB / 200 KB files instead of 128 / 400 MB
+LAYOUT_TARGET_BYTES = 64_000
+LAYOUT_MAX_BYTES = 200_000
 TEST_COMMENT_TYPES = ("click", "purchase", "signup", "view")
 CONTRACT = T.StructType(
     [
@@ -131,6 +134,12 @@ def _bronze_readback(spark, path):
     )
 
 
+def q_layout_plan(spark, sf_dir):
+    """Per-day files plan for the bronze view's rows sized as JSON lines (SNK5)."""
+    sizes = bronze_plan.json_day_sizes(tv.bronze_events(_s(spark), sf_dir))
+    return bronze_plan.plan_days(sizes, target_bytes=LAYOUT_TARGET_BYTES, max_bytes=LAYOUT_MAX_BYTES)
+
+
 def q_ingest_roundtrip(spark, sf_dir):
     """Bronze write with bounded files per day, then the table read back from Parquet."""
     spark = _s(spark)
@@ -222,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "explode_primitive_array": q_explode_primitive_array,
         "null_profile": q_null_profile,
         "event_types": q_event_types,
+        "layout_plan": q_layout_plan,
         "ingest_roundtrip": q_ingest_roundtrip,
         "stream_ingest": q_stream_ingest,
         "concat_messages": q_concat_messages,

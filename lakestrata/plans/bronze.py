@@ -93,7 +93,17 @@ def plan_layout(
     ``files_per_day`` is the largest whole count in that interval (files closest to the target size
     on the smallest day), and never fewer than needed to keep the biggest day under ``max_bytes``.
     """
-    days = plan_days(day_sizes(files), ratio, target_bytes, max_bytes)
+    return plan_from_sizes(day_sizes(files), ratio, target_bytes, max_bytes)
+
+
+def plan_from_sizes(
+    sizes: DataFrame,
+    ratio: float = PARQUET_TO_JSON_RATIO,
+    target_bytes: int = TARGET_FILE_BYTES,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> DataFrame:
+    """``plan_layout`` over per-day ``(day, json_bytes)`` totals from any source."""
+    days = plan_days(sizes, ratio, target_bytes, max_bytes)
     bounds = days.agg(
         F.count(F.lit(1)).alias("days"),
         F.max("files_lower").alias("min_files"),
@@ -103,6 +113,16 @@ def plan_layout(
     return bounds.withColumn("files_per_day", F.greatest(need, F.floor("max_files")).cast("int"))
 
 
+def json_day_sizes(events: DataFrame, time_col: str = "created_at") -> DataFrame:
+    """Per day: how many bytes the rows weigh as JSON lines (what hourly landing files hold before
+    compression), for planning a layout from data that is already in a table."""
+    body = events.drop("day")
+    line = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in body.columns]))) + F.lit(1)
+    return body.groupBy(F.substring(F.col(time_col), 1, 10).alias("day")).agg(
+        F.countDistinct(F.substring(F.col(time_col), 12, 2)).alias("files"), F.sum(line).alias("json_bytes")
+    )
+
+
 def read_events_json(spark: SparkSession, src: str, schema: T.StructType | None = None,
                      sampling_ratio: float | None = None) -> DataFrame:
     """The landing JSON. Pass the bronze ``schema`` when known: inference is a full extra pass."""

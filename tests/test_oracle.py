@@ -51,11 +51,11 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle_or_is_documented():
     rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"detect_language", "language_report"}
+    assert rows_only == {"detect_language", "language_report", "layout_plan"}
 
 
 def test_rows_only_queries_run(spark):
-    for name in ("detect_language", "language_report"):
+    for name in ("detect_language", "language_report", "layout_plan"):
         assert entry.queries()[name](spark, SF_SMALL).count() > 0
 
 

@@ -72,3 +72,26 @@ def test_small_row_groups_let_type_scans_skip(spark, tmp_dir):
               for g in range(meta.num_row_groups)]
     assert meta.num_row_groups > 1
     assert ranges == sorted(ranges)  # type-sorted rows: row groups cover increasing type ranges
+
+
+def test_layout_plan_arithmetic_from_json_sizes(spark):
+    import math
+
+    from lakestrata.plans import bronze as bronze_plan
+
+    bronze = tv.bronze_events(spark, SF_SMALL)
+    sizes = {r.day: r for r in bronze_plan.json_day_sizes(bronze).collect()}
+    # brute force: every row serialized as one JSON line
+    lines = bronze.drop("day").select(F.to_json(F.struct("*")).alias("j"), F.substring("created_at", 1, 10).alias("d")).collect()
+    expected = {}
+    for r in lines:
+        expected[r.d] = expected.get(r.d, 0) + len(r.j.encode("utf-8")) + 1
+    assert {d: s.json_bytes for d, s in sizes.items()} == expected
+    plan = {r.day: r for r in bronze_plan.plan_days(bronze_plan.json_day_sizes(bronze), target_bytes=10_000, max_bytes=30_000).collect()}
+    for d, b in expected.items():
+        assert plan[d].files == max(1, math.ceil(b * 2 / 10_000))
+        assert abs(plan[d].files_upper - b * 2 / 10_000) <= 0.05 + 1e-9
+        assert abs(plan[d].files_lower - b * 2 / 30_000) <= 0.05 + 1e-9
+    summary = bronze_plan.plan_from_sizes(bronze_plan.json_day_sizes(bronze), target_bytes=10_000, max_bytes=30_000).first()
+    assert summary.min_files == max(p.files_lower for p in plan.values())
+    assert summary.max_files == min(p.files_upper for p in plan.values())
