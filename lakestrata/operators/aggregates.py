@@ -78,7 +78,7 @@ def ordered_concat(
     pair = F.struct(F.col(order_col).alias("o"), F.col(text_col).alias("t"))
 
     def joined(pairs: Column) -> Column:
-        return F.concat_ws(sep, F.transform(F.array_sort(pairs), lambda x: x["t"]))
+        return F.concat_ws(sep, F.transform(F.sort_array(pairs), lambda x: x["t"]))
 
     if bucket_size is None:
         return df.groupBy(key).agg(joined(F.collect_list(pair)).alias(out))
