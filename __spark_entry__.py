@@ -148,6 +148,22 @@ def q_ingest_roundtrip(spark, sf_dir):
     return _bronze_readback(spark, path)
 
 
+def q_silver_roundtrip(spark, sf_dir):
+    """Bronze write → contracts learnt from the first day → every silver table written → the
+    purchase table read back (the whole bronze → silver layer on the given events)."""
+    spark = _s(spark)
+    root = scratch_dir(spark, "silver-roundtrip")
+    bronze = tv.bronze_events(spark, sf_dir)
+    write_bounded_by_day(bronze, f"{root}/bronze", files_per_day=2)
+    stored = bronze_plan.read_bronze(spark, f"{root}/bronze")
+    first_day = stored.agg(F.min("day")).first()[0]
+    sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
+    contracts = silver.ensure_contracts(spark, sample, f"{root}/contracts", event_types=EVENT_TYPES)
+    written = silver.build_silver(spark, stored, contracts, f"{root}/silver", event_types=EVENT_TYPES)
+    back = spark.read.parquet(written["purchase_df"])
+    return back.withColumn("day", F.col("day").cast("string"))
+
+
 def q_stream_ingest(spark, sf_dir):
     """The same bronze load as a Structured Streaming job over the events file."""
     spark = _s(spark)
@@ -234,6 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layout_plan": q_layout_plan,
         "ingest_roundtrip": q_ingest_roundtrip,
         "stream_ingest": q_stream_ingest,
+        "silver_roundtrip": q_silver_roundtrip,
         "concat_messages": q_concat_messages,
         "gather_comments": q_gather_comments,
         "label_languages": q_label_languages,
@@ -408,6 +425,9 @@ def oracle_sql() -> dict[str, str]:
         "event_types": "SELECT DISTINCT event_type AS type FROM events",
         "ingest_roundtrip": _BRONZE_FLAT,
         "stream_ingest": _BRONZE_FLAT,
+        "silver_roundtrip": f"""
+            SELECT id, created_at, value AS amount, k AS quantity, strftime(ts, '%Y-%m-%d') AS day
+            FROM ({_EV}) WHERE type = 'purchase'""",
         "concat_messages": _MESSAGES,
         "gather_comments": f"""
             WITH f AS (
