@@ -134,22 +134,29 @@ def learn_contracts(
     bronze_sample: DataFrame,
     event_types: Sequence[str] = EVENT_TYPES,
     sample_rows: int | None = None,
+    include_fact: bool = True,
 ) -> dict:
     """Contracts for every event table, child table and the fact table, from a sample of bronze.
 
     Use one day (``day = …`` prunes the scan). ``sample_rows=None`` profiles the whole sample, so a
-    column that is merely null in the first rows is not lost. One aggregate job per event type.
+    column that is merely null in the first rows is not lost. One aggregate job per event type. A
+    type with no row in the sample gets no contract (its table is then profiled on the full data
+    instead of being frozen to "every payload field, all null").
     """
     contracts = {}
+    present = {r["type"] for r in bronze_sample.where(F.col("type").isin(*event_types)).select("type").distinct().collect()}
     for event_type in event_types:
+        if event_type not in present:
+            continue
         name = event_table_name(event_type)
         event = extract_event(bronze_sample, event_type, sample_rows=sample_rows)
         contracts[name] = contract_of(drop_by_pattern(event))
         _, children = split_arrays(event, name)
         for child_name, child in children.items():
             contracts[child_name] = contract_of(drop_by_pattern(child))
-    fact = flatten_once(bronze_sample.drop("payload", "day"))
-    contracts[FACT_TABLE] = contract_of(drop_by_pattern(fact))
+    if include_fact:
+        fact = flatten_once(bronze_sample.drop("payload", "day"))
+        contracts[FACT_TABLE] = contract_of(drop_by_pattern(fact))
     return contracts
 
 
@@ -160,16 +167,19 @@ def ensure_contracts(
     event_types: Sequence[str] = EVENT_TYPES,
     sample_rows: int | None = None,
 ) -> dict:
-    """Stored contracts, learning and storing any table whose contract is missing.
+    """Stored contracts, learning and storing the tables whose contract is missing.
 
-    The check is per table: a run that stored only some contracts is completed, not trusted.
-    Stored contracts always win over newly learnt ones.
+    The check is per table: a run that stored only some contracts is completed, not trusted, and
+    only the missing tables are learnt. Stored contracts always win over newly learnt ones.
     """
     stored = load_contracts(spark, contracts_path)
-    wanted = [event_table_name(t) for t in event_types] + [FACT_TABLE]
-    if all(name in stored for name in wanted):
+    missing = [t for t in event_types if event_table_name(t) not in stored]
+    if not missing and FACT_TABLE in stored:
         return stored
-    merged = {**learn_contracts(bronze_sample, event_types, sample_rows), **stored}
+    learnt = learn_contracts(bronze_sample, missing, sample_rows, include_fact=FACT_TABLE not in stored)
+    if not learnt:
+        return stored
+    merged = {**learnt, **stored}
     save_contracts(spark, merged, contracts_path)
     return merged
 

@@ -257,3 +257,17 @@ def test_payload_field_named_like_a_key(spark):
     out = silver.extract_event(bronze, "ForkEvent", clash_prefix="payload_")
     assert out.columns == ["id", "created_at", "payload_id", "name"]
     assert tuple(out.first()) == ("1", "2017-01-01T00:00:00Z", 99, "x")
+
+
+def test_contracts_skip_types_missing_from_the_sample(spark, tmp_dir):
+    bronze = tv.bronze_events(spark, SF_SMALL)
+    sample = bronze.where("type <> 'signup'")
+    contracts = silver.ensure_contracts(spark, sample, f"{tmp_dir}/c", event_types=TYPES)
+    assert "signup_df" not in contracts and "click_df" in contracts and silver.FACT_TABLE in contracts
+    # a later run whose sample has the type completes the stored set, keeping what was stored
+    again = silver.ensure_contracts(spark, bronze, f"{tmp_dir}/c", event_types=TYPES)
+    assert "signup_df" in again and again["click_df"] == contracts["click_df"]
+    assert silver.load_contracts(spark, f"{tmp_dir}/c") == again
+    # a table without a contract is profiled on the full data
+    parent, _ = silver.build_event_tables(bronze, "signup", contracts)
+    assert parent.columns == ["id", "created_at", "campaign", "day"]
