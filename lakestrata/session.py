@@ -60,15 +60,19 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is visible to every executor. Only when it is
-    unset (local runs, tests) do we create one and register it on the context.
+    On a cluster this is set by the deployment and is visible to every executor; if it is missing
+    there, this raises rather than pointing executors at a folder only one machine can see. Only in
+    local mode (tests, single-machine runs) is a folder created when the setting is unset.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
