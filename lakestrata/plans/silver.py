@@ -16,6 +16,7 @@ Design for scale:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,20 +191,23 @@ def build_silver(
     contracts: dict,
     dst: str,
     event_types: Sequence[str] = EVENT_TYPES,
+    max_concurrent: int = 4,
 ) -> dict[str, str]:
     """Write every event table, its child tables and the fact table under ``dst``, by ``day``.
 
-    Re-running a day overwrites only that day (dynamic partition overwrite). Returns table → path.
+    The writes are independent Spark jobs; up to ``max_concurrent`` of them are submitted at once
+    (one driver thread each) so the executors left idle by a small type's job, or by the tail of a
+    big one, pick up the next table. Re-running a day overwrites only that day (dynamic partition
+    overwrite). Returns table → path.
     """
     base = dst.rstrip("/")
-    written = {}
+    tables: dict[str, DataFrame] = {}
     for event_type in event_types:
         name = event_table_name(event_type)
-        event = event_table(bronze, event_type, contracts.get(name))
-        parent, children = split_event_table(event, name, contracts)
-        for child_name, child in children.items():
-            written[child_name] = write_partitioned(child, f"{base}/{child_name}")
-        written[name] = write_partitioned(parent, f"{base}/{name}")
-    fact = build_fact(bronze, contracts.get(FACT_TABLE))
-    written[FACT_TABLE] = write_partitioned(fact, f"{base}/{FACT_TABLE}")
-    return written
+        parent, children = split_event_table(event_table(bronze, event_type, contracts.get(name)), name, contracts)
+        tables.update(children)
+        tables[name] = parent
+    tables[FACT_TABLE] = build_fact(bronze, contracts.get(FACT_TABLE))
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        futures = {name: pool.submit(write_partitioned, df, f"{base}/{name}") for name, df in tables.items()}
+        return {name: future.result() for name, future in futures.items()}
