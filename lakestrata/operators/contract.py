@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from lakestrata.functions.literal import literal_table
+
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Hold ``df`` to ``contract``: reorder, drop extras, add missing columns as typed nulls."""
@@ -34,9 +36,7 @@ def contract_of(df: DataFrame) -> T.StructType:
 
 def save_contract(spark: SparkSession, contract: T.StructType, path: str) -> None:
     """Store the contract as one line of JSON at ``path`` (any Hadoop file system)."""
-    spark.createDataFrame([(contract.json(),)], "contract string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
+    literal_table(spark, [(contract.json(),)], ("contract",)).coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_contract(spark: SparkSession, path: str) -> T.StructType:
@@ -57,7 +57,7 @@ def contract_exists(spark: SparkSession, path: str) -> bool:
 def save_contracts(spark: SparkSession, contracts: dict[str, T.StructType], path: str) -> None:
     """Store a set of contracts as one small table of ``(table, contract)`` JSON rows."""
     rows = [(name, c.json()) for name, c in sorted(contracts.items())]
-    spark.createDataFrame(rows, "table string, contract string").coalesce(1).write.mode("overwrite").json(path)
+    literal_table(spark, rows, ("table", "contract")).coalesce(1).write.mode("overwrite").json(path)
 
 
 def load_contracts(spark: SparkSession, path: str) -> dict[str, T.StructType]:

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.functions.literal import literal_table
 from lakestrata.operators.partitioning import spread_rows
 from lakestrata.session import checkpoint_root
 
@@ -37,8 +38,8 @@ LANGUAGE_BY_CODE = (
 
 
 def language_lookup(spark: SparkSession) -> DataFrame:
-    """The 44-row ``(code, language)`` lookup as a local relation."""
-    return spark.createDataFrame(list(LANGUAGE_BY_CODE), "code string, language string")
+    """The 44-row ``(code, language)`` lookup as a constant relation (no Python RDD)."""
+    return literal_table(spark, LANGUAGE_BY_CODE, ("code", "language"))
 
 
 def label_languages(df: DataFrame, lookup: DataFrame | None = None, code_col: str = "code") -> DataFrame:
