@@ -31,9 +31,14 @@ def commit_messages(
     pos: str = "pos",
     text: str = "message",
     sep: str = ",",
-    bucket_size: int | None = None,
+    bucket_size: int | None = 1024,
 ) -> DataFrame:
-    """Push commits child table → ``(id, comment)``: messages joined by ``sep`` in commit order."""
+    """Push commits child table → ``(id, comment)``: messages joined by ``sep`` in commit order.
+
+    Messages are first joined per (push, block of ``bucket_size`` positions) across many tasks and
+    the few partial texts per push are joined after, so a push holding a huge share of all commits
+    is split over tasks instead of collected whole by one (``None`` = one partially aggregated pass).
+    """
     joined = ordered_concat(commits, key, pos, text, sep=sep, out="comment", bucket_size=bucket_size)
     return joined.select(F.col(key).alias("id"), "comment")
 
