@@ -26,13 +26,15 @@ def _plan(spark, args) -> None:
 
 def _bronze(spark, args) -> None:
     files = bronze_plan.list_landing(spark, args.landing)
+    # a known schema skips the inference pass over every JSON byte
+    schema = spark.read.parquet(args.schema_from).drop("day").schema if args.schema_from else None
     if args.per_day_plan:
         plan = bronze_plan.per_day_plan(files)
-        bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, mode=args.mode)
+        bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, schema=schema, mode=args.mode)
         return
     summary = bronze_plan.plan_layout(files).first()
     n = args.files_per_day or summary.files_per_day
-    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, n, num_days=summary.days, mode=args.mode)
+    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, n, num_days=summary.days, schema=schema, mode=args.mode)
 
 
 def _stream(spark, args) -> None:
@@ -74,6 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bronze", required=True)
     p.add_argument("--files-per-day", type=int)
     p.add_argument("--per-day-plan", action="store_true")
+    p.add_argument("--schema-from", help="an existing bronze table whose schema the JSON follows")
     p.add_argument("--mode", default="errorifexists")
     p = sub.add_parser("stream")
     p.add_argument("--landing", required=True)

@@ -230,6 +230,9 @@ def test_jobs_command_line(spark, landing, tmp_dir, capsys):
     ])
     written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.parquet(written["main_df"]).count() >= len(rows)
+    # a second load with the stored schema (no inference pass) into a new root
+    jobs.main(["bronze", "--landing", src, "--bronze", f"{tmp_dir}/bronze2", "--schema-from", f"{tmp_dir}/bronze"])
+    assert spark.read.parquet(f"{tmp_dir}/bronze2").count() == spark.read.parquet(f"{tmp_dir}/bronze").count()
 
 
 def test_contract_prunes_unrelated_payload_before_flatten(spark):
