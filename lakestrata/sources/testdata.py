@@ -21,8 +21,21 @@ from pyspark.sql import functions as F
 from lakestrata.functions.timefmt import add_day, iso_text
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table, resolved once per application and path (like a catalog entry).
+
+    The files are read-only, so the same lazy DataFrame is handed out again instead of re-reading
+    the Parquet footers (one small job per ``spark.read.parquet`` call) for every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _txt(c: str | Column) -> Column:
