@@ -1,3 +1,4 @@
+from lakestrata.functions.literal import literal_table
 from lakestrata.functions.text import (
     child_table_name,
     event_table_name,
@@ -26,6 +27,7 @@ __all__ = [
     "hour_bucket",
     "hour_text",
     "iso_text",
+    "literal_table",
     "literal_pattern",
     "parse_ts",
     "second_text",
