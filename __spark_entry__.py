@@ -164,6 +164,26 @@ def q_silver_roundtrip(spark, sf_dir):
     return back.withColumn("day", F.col("day").cast("string"))
 
 
+def q_gold_job(spark, sf_dir):
+    """The whole lake on archive-shaped events: bronze → contracts → silver → all seven gold
+    datasets (language detector trained on the documents); the commits-per-push dataset is read
+    back for the check."""
+    from lakestrata.plans.build_gold import build_gold
+
+    spark = _s(spark)
+    root = scratch_dir(spark, "gold-job")
+    types = tuple(tv.ARCHIVE_TYPE.values())
+    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", files_per_day=2)
+    bronze = bronze_plan.read_bronze(spark, f"{root}/bronze")
+    first_day = bronze.agg(F.min("day")).first()[0]
+    sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
+    contracts = silver.ensure_contracts(spark, sample, f"{root}/contracts", event_types=types)
+    silver.build_silver(spark, bronze, contracts, f"{root}/silver", event_types=types)
+    model = language.train_language_detector(tv.table(spark, sf_dir, "documents"), "text", "lang")
+    written = build_gold(spark, f"{root}/silver", f"{root}/gold", model=model)
+    return spark.read.parquet(written["num_commits_df"])
+
+
 def q_stream_ingest(spark, sf_dir):
     """The same bronze load as a Structured Streaming job over the events file."""
     spark = _s(spark)
@@ -251,6 +271,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_roundtrip": q_ingest_roundtrip,
         "stream_ingest": q_stream_ingest,
         "silver_roundtrip": q_silver_roundtrip,
+        "gold_job": q_gold_job,
         "concat_messages": q_concat_messages,
         "gather_comments": q_gather_comments,
         "label_languages": q_label_languages,
@@ -425,6 +446,12 @@ def oracle_sql() -> dict[str, str]:
         "event_types": "SELECT DISTINCT event_type AS type FROM events",
         "ingest_roundtrip": _BRONZE_FLAT,
         "stream_ingest": _BRONZE_FLAT,
+        "gold_job": f"""
+            SELECT id AS fact_id, CAST(id AS BIGINT) AS push_id, strftime(ts, '%m/%d/%Y %H:%M:%S') AS time,
+                   login AS "user", CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS organization,
+                   login || '/repo' || CAST(k AS VARCHAR) AS repository,
+                   ['master', 'gh-pages', 'dev'][CAST(k % 3 AS INTEGER) + 1] AS branch, k AS number_commits
+            FROM ({_EV}) WHERE type = 'purchase'""",
         "silver_roundtrip": f"""
             SELECT id, created_at, value AS amount, k AS quantity, strftime(ts, '%Y-%m-%d') AS day
             FROM ({_EV}) WHERE type = 'purchase'""",

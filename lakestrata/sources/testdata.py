@@ -208,3 +208,64 @@ def coded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _txt("doc_id").alias("id"), F.col("source").alias("type"), F.col("text").alias("comment"),
         F.col("lang").alias("code"),
     )
+
+
+# Test-data mapping of the five ``events`` types onto archive event types (fixed values).
+ARCHIVE_TYPE = {
+    "purchase": "PushEvent",
+    "click": "IssueCommentEvent",
+    "error": "CommitCommentEvent",
+    "signup": "PullRequestReviewCommentEvent",
+    "view": "WatchEvent",
+}
+BRANCHES = ("master", "gh-pages", "dev")
+
+
+def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events ⟕ documents`` (on id) as archive-shaped bronze: push events whose commits are every
+    line of the matching document, comment events whose body is the whole document, watch events.
+
+    Same ``actor``/``repo``/``org`` structs as ``bronze_events``; ``type`` uses the archive names.
+    """
+    ev = table(spark, sf_dir, "events")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = ev.join(docs, ev["event_id"] == docs["doc_id"], "left").select(
+        "event_id", "ts", "user_id", "event_type", props_k().alias("__k"), "text"
+    )
+    k = F.col("__k")
+    etype = F.col("event_type")
+    login = F.concat(F.lit("user"), _txt("user_id"))
+    repo_name = F.concat(login, F.lit("/repo"), _txt(k))
+    archive_type = F.create_map(*[F.lit(x) for kv in ARCHIVE_TYPE.items() for x in kv])[etype]
+    is_push = etype == "purchase"
+    is_comment = etype.isin("click", "error", "signup")
+    branch = F.element_at(F.array(*[F.lit(b) for b in BRANCHES]), (F.pmod(k, F.lit(len(BRANCHES))) + 1).cast("int"))
+    commits = F.transform(
+        F.split(F.col("text"), "\n"),
+        lambda line, i: F.struct(
+            F.concat(_txt("event_id"), F.lit("-"), i.cast("string")).alias("sha"), line.alias("message")
+        ),
+    )
+    bronze = base.select(
+        _txt("event_id").alias("id"),
+        archive_type.alias("type"),
+        iso_text("ts").alias("created_at"),
+        F.struct(
+            F.col("user_id").alias("id"), login.alias("login"), login.alias("display_login"),
+            F.lit("").alias("gravatar_id"),
+        ).alias("actor"),
+        F.struct(k.alias("id"), repo_name.alias("name")).alias("repo"),
+        F.when(k < 10, F.struct(k.alias("id"), F.concat(F.lit("org"), _txt(k)).alias("login"))).alias("org"),
+        F.struct(
+            F.when(is_push, F.col("event_id")).alias("push_id"),
+            F.when(is_push, k).alias("distinct_size"),
+            F.when(is_push, F.concat(F.lit("refs/heads/"), branch)).alias("ref"),
+            F.when(is_push, commits).alias("commits"),
+            F.when(
+                is_comment & F.col("text").isNotNull(),
+                F.struct(F.col("event_id").alias("id"), F.col("text").alias("body")),
+            ).alias("comment"),
+            F.when(etype == "view", F.lit("started")).alias("action"),
+        ).alias("payload"),
+    )
+    return add_day(bronze, "created_at")
