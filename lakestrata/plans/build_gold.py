@@ -9,6 +9,8 @@ executor re-reads the table instead of re-running the detector.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,18 +47,31 @@ def build_gold(
     dst: str,
     model: PipelineModel | None = None,
     threshold: float = 0.1,
+    max_concurrent: int = 4,
 ) -> dict[str, str]:
-    """Write every gold dataset under ``dst``; the language datasets need a fitted ``model``."""
+    """Write every gold dataset under ``dst``; the language datasets need a fitted ``model``.
+
+    The five reports and the language chain are independent jobs; up to ``max_concurrent`` run at
+    once (one driver thread each) so small reports fill the executors a big one leaves idle.
+    """
     fact = read_silver(spark, silver, FACT_TABLE)
     push_name = event_table_name(PUSH)
     push = read_silver(spark, silver, push_name)
     base = dst.rstrip("/")
-    written = {name: write_plain(df, f"{base}/{name}") for name, df in gold.gold_reports(fact, push).items()}
-    if model is not None:
+
+    def languages() -> dict[str, str]:
         tables = [read_silver(spark, silver, event_table_name(t)) for t in COMMENT_TABLES]
         commits = read_silver(spark, silver, child_table_name(push_name, "commits"))
         labelled = label_comments(fact, tables, commits, model, threshold)
-        written["event_languages_df"] = write_plain(labelled, f"{base}/event_languages_df")
-        stats = language.language_stats(spark.read.parquet(written["event_languages_df"]))
-        written["language_stats_df"] = write_plain(stats, f"{base}/language_stats_df")
+        out = {"event_languages_df": write_plain(labelled, f"{base}/event_languages_df")}
+        stats = language.language_stats(spark.read.parquet(out["event_languages_df"]))
+        out["language_stats_df"] = write_plain(stats, f"{base}/language_stats_df")
+        return out
+
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        reports = {name: pool.submit(write_plain, df, f"{base}/{name}") for name, df in gold.gold_reports(fact, push).items()}
+        lang = pool.submit(languages) if model is not None else None
+        written = {name: f.result() for name, f in reports.items()}
+        if lang is not None:
+            written.update(lang.result())
     return written
