@@ -11,20 +11,55 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from lakestrata.functions.literal import literal_table
 
 
+def _reshape(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``c`` (of type ``have``) rebuilt by field NAME towards ``want``, at any depth.
+
+    Struct fields the contract lacks are dropped, fields the data lacks become typed nulls, arrays
+    of structs are rebuilt element by element, and a null struct stays null. Leaf types are left
+    as they are: ``DataFrame.to`` then applies safe widenings and rejects anything else.
+    """
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        fields = {f.name: f.dataType for f in have.fields}
+        parts = [
+            (_reshape(c.getField(f.name), fields[f.name], f.dataType) if f.name in fields
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*parts))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: _reshape(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType) and have.keyType == want.keyType:
+        return F.transform_values(c, lambda _, v: _reshape(v, have.valueType, want.valueType))
+    return c
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Hold ``df`` to ``contract``: reorder, drop extras, add missing columns as typed nulls."""
-    present = set(df.columns)
+    """Hold ``df`` to ``contract``: reorder, drop extras, add missing columns as typed nulls.
+
+    Nested structs (also inside arrays and maps) are reconciled by field name the same way, so a
+    month whose payload gained or lost a nested field still fits; a type that cannot be widened
+    safely (string where a bigint is due) raises.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    wanted = {f.name: f.dataType for f in contract.fields}
+    df = df.select(*[
+        _reshape(F.col(f"`{n}`"), t, wanted[n]).alias(n) if n in wanted else F.col(f"`{n}`")
+        for n, t in have.items()
+    ])
     # DataFrame.to only fills missing columns that are nullable; contracts are learnt from
     # inferred data and are nullable, but be explicit so a hand-written one works too.
     contract = T.StructType(
-        [f if f.name in present else T.StructField(f.name, f.dataType, True, f.metadata) for f in contract.fields]
+        [f if f.name in have else T.StructField(f.name, f.dataType, True, f.metadata) for f in contract.fields]
     )
     return df.to(contract)
 

@@ -156,3 +156,40 @@ def test_split_arrays_row_count_is_sum_of_sizes(spark):
     assert child.count() == expected
     ordered = child.where("fact_id = '3'").orderBy("pos").select("col").collect()
     assert [r[0] for r in ordered] == [0, 1, 2]
+
+
+def test_conform_reconciles_nested_fields_by_name(spark):
+    contract = T.StructType(
+        [
+            T.StructField("id", T.StringType()),
+            T.StructField("commits", T.ArrayType(T.StructType([
+                T.StructField("sha", T.StringType()), T.StructField("message", T.StringType()),
+                T.StructField("n", T.LongType()),
+            ]))),
+            T.StructField("comment", T.StructType([T.StructField("body", T.StringType()), T.StructField("id", T.LongType())])),
+        ]
+    )
+    # next month: a new nested field, a missing nested field, an int that widens, a null struct
+    df = spark.createDataFrame(
+        [
+            ("1", [Row(author="a", message="m1", sha="s1")], Row(body="b", id=7, url="u")),
+            ("2", None, None),
+        ],
+        "id string, commits array<struct<author:string, message:string, sha:string>>,"
+        " comment struct<body:string, id:int, url:string>",
+    )
+    out = conform(df, contract)
+    assert [f.dataType for f in out.schema.fields] == [f.dataType for f in contract.fields]
+    rows = {r.id: r for r in out.collect()}
+    assert rows["1"].commits == [Row(sha="s1", message="m1", n=None)]
+    assert rows["1"].comment == Row(body="b", id=7)
+    assert rows["2"].commits is None and rows["2"].comment is None
+    missing = conform(df.drop("comment"), contract).first()
+    assert missing.comment is None
+
+
+def test_conform_still_rejects_unsafe_nested_types(spark):
+    contract = T.StructType([T.StructField("s", T.StructType([T.StructField("n", T.LongType())]))])
+    df = spark.createDataFrame([(Row(n="x"),)], "s struct<n:string>")
+    with pytest.raises(Exception):
+        conform(df, contract).collect()
