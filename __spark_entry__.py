@@ -144,7 +144,7 @@ def q_ingest_roundtrip(spark, sf_dir):
     """Bronze write with bounded files per day, then the table read back from Parquet."""
     spark = _s(spark)
     path = scratch_dir(spark, "bronze")
-    write_bounded_by_day(tv.bronze_events(spark, sf_dir), path, files_per_day=2)
+    write_bounded_by_day(tv.bronze_events(spark, sf_dir), path, files_per_day=2, num_days=tv.event_day_span(spark, sf_dir))
     return _bronze_readback(spark, path)
 
 
@@ -154,7 +154,7 @@ def q_silver_roundtrip(spark, sf_dir):
     spark = _s(spark)
     root = scratch_dir(spark, "silver-roundtrip")
     bronze = tv.bronze_events(spark, sf_dir)
-    write_bounded_by_day(bronze, f"{root}/bronze", files_per_day=2)
+    write_bounded_by_day(bronze, f"{root}/bronze", files_per_day=2, num_days=tv.event_day_span(spark, sf_dir))
     stored = bronze_plan.read_bronze(spark, f"{root}/bronze")
     first_day = stored.agg(F.min("day")).first()[0]
     sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
@@ -173,7 +173,8 @@ def q_gold_job(spark, sf_dir):
     spark = _s(spark)
     root = scratch_dir(spark, "gold-job")
     types = tuple(tv.ARCHIVE_TYPE.values())
-    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", files_per_day=2)
+    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", files_per_day=2,
+                         num_days=tv.event_day_span(spark, sf_dir))
     bronze = bronze_plan.read_bronze(spark, f"{root}/bronze")
     first_day = bronze.agg(F.min("day")).first()[0]
     sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))

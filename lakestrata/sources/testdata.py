@@ -269,3 +269,12 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("payload"),
     )
     return add_day(bronze, "created_at")
+
+
+def event_day_span(spark: SparkSession, sf_dir: str) -> int:
+    """Days between the first and last event, inclusive: an upper bound on distinct event days
+    (one aggregate over the ``ts`` column) for sizing a by-day shuffle."""
+    row = table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if row.lo is None:
+        return 1
+    return (row.hi.date() - row.lo.date()).days + 1
