@@ -28,13 +28,12 @@ def _bronze(spark, args) -> None:
     files = bronze_plan.list_landing(spark, args.landing)
     # a known schema skips the inference pass over every JSON byte
     schema = spark.read.parquet(args.schema_from).drop("day").schema if args.schema_from else None
-    if args.per_day_plan:
-        plan = bronze_plan.per_day_plan(files)
-        bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, schema=schema, mode=args.mode)
-        return
-    summary = bronze_plan.plan_layout(files).first()
-    n = args.files_per_day or summary.files_per_day
-    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, n, num_days=summary.days, schema=schema, mode=args.mode)
+    plan = bronze_plan.per_day_plan(files)
+    if not args.per_day_plan:
+        # one count for every day (the original layout), still placed one (day, file) per task
+        n = args.files_per_day or bronze_plan.plan_layout(files).first().files_per_day
+        plan = {day: n for day in plan}
+    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, schema=schema, mode=args.mode)
 
 
 def _stream(spark, args) -> None:

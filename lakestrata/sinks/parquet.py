@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY = "day"
@@ -48,6 +48,27 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def slot_keys(spark: SparkSession, partitions: int) -> list[int]:
+    """For every output partition ``j`` of ``repartition(partitions, <bigint column>)``, one bigint
+    key that lands in ``j``.
+
+    Found by asking Spark where candidate keys go (a small ``range`` job), so placement is exact
+    without assuming anything about how the partitioner hashes. The result has ``partitions``
+    entries — bounded by the number of files planned.
+    """
+    keys: list[int | None] = [None] * partitions
+    missing, start, batch = partitions, 0, max(64, partitions * 8)
+    while missing:
+        probe = spark.range(start, start + batch).repartition(partitions, "id")
+        firsts = probe.groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("k")).collect()
+        for row in firsts:
+            if keys[row.p] is None:
+                keys[row.p] = row.k
+                missing -= 1
+        start += batch
+    return keys  # type: ignore[return-value]
+
+
 def spread_by_day(
     df: DataFrame,
     files_per_day: int | Mapping[str, int],
@@ -55,29 +76,43 @@ def spread_by_day(
     key: str | Column = "id",
     cluster_by: tuple[str, ...] = ("type",),
 ) -> DataFrame:
-    """Hash-partition rows on (day, bucket) with ``bucket = pmod(xxhash64(key), n_day)``.
-
-    ``files_per_day`` is one count for every day, or a per-day plan ``{day: files}`` (from
-    ``plans.bronze.plan_layout``) so a day holding a large share of the data gets proportionally
-    more files and tasks. Each (day, bucket) pair belongs to exactly one task, so day ``d`` is
-    written as at most ``n_d`` files. Rows inside a file are sorted by day and ``cluster_by`` so
-    Parquet row-group statistics let ``type = …`` scans skip most row groups.
+    """Partition rows so that each (day, bucket) pair is written by exactly one task.
+
+    ``bucket = pmod(xxhash64(key), n_day)``. With a per-day plan ``{day: files}`` (from
+    ``plans.bronze.plan_layout``) every pair gets a partition of its own: pair ``offset[day] +
+    bucket`` is mapped to a key known to land in that partition (``slot_keys``), so no task writes
+    two pairs and none is left idle, and a day holding a large share of the data gets
+    proportionally more files and tasks. With one count for every day and only ``num_days`` known,
+    rows are hash-partitioned on (day, bucket) into ``num_days × files_per_day`` tasks — still at
+    most ``files_per_day`` files per day, but hash collisions can give a task several pairs.
+    Rows inside a file are sorted by day and ``cluster_by`` so Parquet row-group statistics let
+    ``type = …`` scans skip most row groups.
     """
     key_col = F.col(key) if isinstance(key, str) else key
+    day = F.col(DAY).cast("string")
     if isinstance(files_per_day, Mapping):
         if not files_per_day or min(files_per_day.values()) < 1:
             raise ValueError("the per-day plan must give every day at least one file")
-        plan = F.create_map(*[F.lit(x) for kv in sorted(files_per_day.items()) for x in kv])
-        # a day missing from the plan (late data) gets the largest planned count
-        n_day = F.coalesce(F.element_at(plan, F.col(DAY).cast("string")), F.lit(max(files_per_day.values())))
-        partitions = sum(files_per_day.values())
+        days = sorted(files_per_day)
+        offsets, total = {}, 0
+        for d in days:
+            offsets[d] = total
+            total += files_per_day[d]
+        n_day = F.create_map(*[F.lit(x) for d in days for x in (d, files_per_day[d])])[day]
+        offset = F.create_map(*[F.lit(x) for d in days for x in (d, offsets[d])])[day]
+        slots = F.array(*[F.lit(k) for k in slot_keys(df.sparkSession, total)])
+        pair = offset + F.pmod(F.xxhash64(key_col), n_day.cast("long"))
+        # a day missing from the plan (late data) shares slots by hash: still one day per slot
+        placement = F.coalesce(
+            F.element_at(slots, (pair + 1).cast("int")),
+            F.pmod(F.xxhash64(day, key_col), F.lit(total)),
+        )
+        spread = df.repartition(total, placement.cast("long"))
     else:
         if files_per_day < 1 or not num_days or num_days < 1:
             raise ValueError("files_per_day and num_days must be positive")
-        n_day = F.lit(files_per_day)
-        partitions = num_days * files_per_day
-    bucket = F.pmod(F.xxhash64(key_col), n_day)
-    spread = df.repartition(partitions, F.col(DAY), bucket)
+        bucket = F.pmod(F.xxhash64(key_col), F.lit(files_per_day))
+        spread = df.repartition(num_days * files_per_day, F.col(DAY), bucket)
     present = [c for c in cluster_by if c in df.columns]
     return spread.sortWithinPartitions(DAY, *present)
 

@@ -95,3 +95,19 @@ def test_layout_plan_arithmetic_from_json_sizes(spark):
     summary = bronze_plan.plan_from_sizes(bronze_plan.json_day_sizes(bronze), target_bytes=10_000, max_bytes=30_000).first()
     assert summary.min_files == max(p.files_lower for p in plan.values())
     assert summary.max_files == min(p.files_upper for p in plan.values())
+
+
+def test_per_day_plan_places_each_pair_in_its_own_task(spark):
+    bronze = tv.bronze_events(spark, SF_ORACLE)
+    days = sorted(r.day for r in bronze.select("day").distinct().collect())
+    plan = {d: (4 if i % 7 == 0 else 2) for i, d in enumerate(days)}
+    spread = spread_by_day(bronze, plan)
+    assert spread.rdd.getNumPartitions() == sum(plan.values())
+    bucket = F.pmod(F.xxhash64("id"), F.element_at(F.create_map(*[F.lit(x) for kv in plan.items() for x in kv]), F.col("day")))
+    per_task = (
+        spread.select(F.spark_partition_id().alias("p"), "day", bucket.alias("b"))
+        .groupBy("p").agg(F.countDistinct("day", "b").alias("pairs"))
+        .collect()
+    )
+    assert max(r.pairs for r in per_task) == 1
+    assert len(per_task) == sum(plan.values())  # every task has exactly one pair: none idle
