@@ -126,6 +126,11 @@ def q_event_types(spark, sf_dir):
     return bronze_plan.event_types(tv.bronze_events(_s(spark), sf_dir))
 
 
+def _two_files_a_day(spark, sf_dir):
+    """Per-day file plan for the test bronze: two files for every day the events span."""
+    return {day: 2 for day in tv.event_days(spark, sf_dir)}
+
+
 def _bronze_readback(spark, path):
     back = spark.read.parquet(path)
     return back.select(
@@ -144,7 +149,7 @@ def q_ingest_roundtrip(spark, sf_dir):
     """Bronze write with bounded files per day, then the table read back from Parquet."""
     spark = _s(spark)
     path = scratch_dir(spark, "bronze")
-    write_bounded_by_day(tv.bronze_events(spark, sf_dir), path, files_per_day=2, num_days=tv.event_day_span(spark, sf_dir))
+    write_bounded_by_day(tv.bronze_events(spark, sf_dir), path, _two_files_a_day(spark, sf_dir))
     return _bronze_readback(spark, path)
 
 
@@ -154,7 +159,7 @@ def q_silver_roundtrip(spark, sf_dir):
     spark = _s(spark)
     root = scratch_dir(spark, "silver-roundtrip")
     bronze = tv.bronze_events(spark, sf_dir)
-    write_bounded_by_day(bronze, f"{root}/bronze", files_per_day=2, num_days=tv.event_day_span(spark, sf_dir))
+    write_bounded_by_day(bronze, f"{root}/bronze", _two_files_a_day(spark, sf_dir))
     stored = bronze_plan.read_bronze(spark, f"{root}/bronze")
     first_day = stored.agg(F.min("day")).first()[0]
     sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
@@ -173,8 +178,7 @@ def q_gold_job(spark, sf_dir):
     spark = _s(spark)
     root = scratch_dir(spark, "gold-job")
     types = tuple(tv.ARCHIVE_TYPE.values())
-    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", files_per_day=2,
-                         num_days=tv.event_day_span(spark, sf_dir))
+    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", _two_files_a_day(spark, sf_dir))
     bronze = bronze_plan.read_bronze(spark, f"{root}/bronze")
     first_day = bronze.agg(F.min("day")).first()[0]
     sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))

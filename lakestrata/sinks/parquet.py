@@ -48,24 +48,31 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+_SLOT_KEYS: dict[tuple[str, int], list[int]] = {}
+
+
 def slot_keys(spark: SparkSession, partitions: int) -> list[int]:
     """For every output partition ``j`` of ``repartition(partitions, <bigint column>)``, one bigint
     key that lands in ``j``.
 
-    Found by asking Spark where candidate keys go (a small ``range`` job), so placement is exact
-    without assuming anything about how the partitioner hashes. The result has ``partitions``
-    entries — bounded by the number of files planned.
+    Found by asking Spark where candidate keys go (one small ``range`` shuffle; the (partition, key)
+    pairs collected are a few times ``partitions`` — bounded by the number of files planned), so
+    placement is exact without assuming anything about how the partitioner hashes. The mapping is
+    deterministic, so it is remembered per application and partition count.
     """
+    cache_key = (spark.sparkContext.applicationId, partitions)
+    if cache_key in _SLOT_KEYS:
+        return _SLOT_KEYS[cache_key]
     keys: list[int | None] = [None] * partitions
-    missing, start, batch = partitions, 0, max(64, partitions * 8)
+    missing, start, batch = partitions, 0, max(64, partitions * 4)
     while missing:
         probe = spark.range(start, start + batch).repartition(partitions, "id")
-        firsts = probe.groupBy(F.spark_partition_id().alias("p")).agg(F.min("id").alias("k")).collect()
-        for row in firsts:
+        for row in probe.select(F.spark_partition_id().alias("p"), "id").collect():
             if keys[row.p] is None:
-                keys[row.p] = row.k
+                keys[row.p] = row.id
                 missing -= 1
         start += batch
+    _SLOT_KEYS[cache_key] = keys  # type: ignore[assignment]
     return keys  # type: ignore[return-value]
 
 

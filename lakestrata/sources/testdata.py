@@ -271,10 +271,13 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_day(bronze, "created_at")
 
 
-def event_day_span(spark: SparkSession, sf_dir: str) -> int:
-    """Days between the first and last event, inclusive: an upper bound on distinct event days
-    (one aggregate over the ``ts`` column) for sizing a by-day shuffle."""
+def event_days(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Every calendar day from the first to the last event (``yyyy-MM-dd``), from one aggregate over
+    the ``ts`` column: the day list of a per-day file plan."""
+    import datetime as dt
+
     row = table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     if row.lo is None:
-        return 1
-    return (row.hi.date() - row.lo.date()).days + 1
+        return []
+    first, last = row.lo.date(), row.hi.date()
+    return [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
