@@ -253,6 +253,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_events_per_hour(spark, FLAGSHIP_SF_DIR)
 
 
+def _corpus_part(what: str) -> dict:
+    """What the optional corpus subpackage registers; nothing when it is not installed."""
+    try:
+        import corpus_pipeline
+        from lakestrata.llm import queries as corpus
+    except ImportError as missing:
+        if missing.name not in ("corpus_pipeline", "lakestrata.llm"):
+            raise
+        return {}
+    if what == "queries":
+        return {**corpus.queries(), "pipeline": corpus_pipeline.run}
+    sql = dict(corpus.oracle_sql())
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "events_per_hour": q_events_per_hour,
@@ -283,6 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "language_stats": q_language_stats,
         "detect_language": q_detect_language,
         "language_report": q_language_report,
+        **_corpus_part("queries"),
     }
 
 
@@ -478,4 +496,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT type, count(*) FILTER (WHERE language = 'English') AS "English",
                    count(*) FILTER (WHERE language = 'Spanish') AS "Spanish"
             FROM ({_LABELLED}) GROUP BY type""",
+        **_corpus_part("oracle"),
     }
