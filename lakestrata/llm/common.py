@@ -7,12 +7,16 @@ every other column alone, so extra columns never clash with results; an existing
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import lakestrata
 from lakestrata.session import configure
 
 # Arrow batches handed to Python workers: bounded in rows and in bytes, so a batch of very long
@@ -23,9 +27,27 @@ BATCH_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package (once per application), as --py-files would."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(lakestrata.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="lakestrata-py-")) / "lakestrata_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))  # the driver serves it to every executor
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the library plus bounded Arrow batches."""
+    """Session settings of the library, bounded Arrow batches, and the package on the workers."""
     configure(spark)
+    ship_package(spark)
     for key, value in BATCH_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

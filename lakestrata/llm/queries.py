@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate
+from lakestrata.llm import bpe, decontaminate, language_id, toxicity
 
 
 def queries() -> dict:
     return {
+        "op2_language": language_id.op2_language,
         "op6_decontaminate": decontaminate.op6_decontaminate,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe": bpe.op9_bpe,
     }
 
