@@ -7,10 +7,10 @@ an insult or threat that meets a second-person target into an aimed one. The thr
 one automaton, run over every clause that holds an insult or threat word; the weights of its output
 symbols, summed over the document's matched clauses, give the score.
 
-What is learned: insult words are added to the seed list from labelled rows (a word whose distinct
-contexts in toxic documents are significantly too many, after correction for the number of words
-tried; contexts and not occurrences are counted, so a passage copied many times counts once), and
-the symbol weights are fitted by regularised logistic regression. Both use at most ``max_train``
+What is learned: insult words and word stems are added to the seed list from labelled rows (those
+whose distinct contexts in toxic documents are significantly too many, after correction for the
+number tried; contexts and not occurrences are counted, so a passage copied many times counts once),
+and the symbol weights are fitted by regularised logistic regression. Both use at most ``max_train``
 labelled rows, chosen by hash; scoring covers every row and whole texts and only maps the documents.
 
 Defined results: null or empty text has no clause and gets the base score; rows with a null or
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from lakestrata.llm.common import crc_mod, doc_columns, fresh, read, text_column, text_map, unit_hash
 
 MAX_TRAIN = 8_000
-MAX_LEARNED = 2_000
+MAX_CANDIDATES = 20_000
+STEMS = (4, 5, 6)
 THRESHOLD = 0.7
 
 # Seed words of each symbol (English, German, French, Spanish).
@@ -120,30 +121,46 @@ class ToxicityModel:
         table = {}
         for kind in ("report", "negation", "target", "threat", "insult"):
             table |= dict.fromkeys(SEEDS[kind].split(), SYMBOL[kind])
-        return table | dict.fromkeys(self.learned, "I")
+        return table | {w: "I" for w in self.learned if not w.endswith("*")}
+
+    def stems(self) -> list[str]:
+        return [w[:-1] for w in self.learned if w.endswith("*")]
 
 
 class Grammar:
     def __init__(self, model: ToxicityModel):
         self.symbol = model.symbols()
         self.hot = frozenset(w for w, s in self.symbol.items() if s in "IH")
+        self.stems = tuple(model.stems())
+        self.stem_heads = frozenset(s[: STEMS[0]] for s in self.stems)
         self.weights = model.weights
 
+    def hit(self, words: list[str]) -> bool:
+        if not self.hot.isdisjoint(words):
+            return True
+        heads = self.stem_heads
+        return bool(heads) and not heads.isdisjoint([w[:4] for w in words]) and any(w.startswith(self.stems) for w in words)
+
+    def symbol_of(self, word: str) -> str:
+        found = self.symbol.get(word)
+        if found is None:
+            found = "I" if word[:4] in self.stem_heads and word.startswith(self.stems) else "O"
+        return found
+
     def patterns(self, text: str | None) -> tuple[int, str]:
         """(matched clauses, their output symbols) of one text."""
         lower = (text or "").lower()
-        hot, symbol = self.hot, self.symbol.get
-        if hot.isdisjoint(_WORD.findall(lower)):
+        if not self.hit(_WORD.findall(lower)):
             return 0, ""
         clauses, found = 0, []
         for clause in _CLAUSE.split(lower):
             words = _WORD.findall(clause)
-            if hot.isdisjoint(words):
+            if not self.hit(words):
                 continue
             clauses += 1
             state = _START
             for w in words:
-                state, out = _TABLE[(state, symbol(w, "O"))]
+                state, out = _TABLE[(state, self.symbol_of(w))]
                 if out in OUTPUTS:
                     found.append(out)
         return clauses, "".join(found)
@@ -155,42 +172,91 @@ class Grammar:
 
 
 def _learn_words(sample: DataFrame) -> list[str]:
-    """Insult words of the sample (columns ``words``, ``toxic``)."""
+    """Insult words and stems (``abcd*``) of the sample (columns ``id``, ``words``, ``toxic``).
+
+    A first pass counts documents of each label for every word and every stem of 4 to 6 letters and
+    keeps those that stand mostly in toxic documents; a second counts, for these, the distinct
+    neighbourhoods in which they occur (at most three a document count), so text that is merely
+    copied along proves nothing. The evidence is the Chernoff bound against the base rate.
+    """
+    units = sample.select("id", "toxic", F.explode(F.array_distinct("words")).alias("w"))
+    forms = F.array_distinct(
+        F.concat(
+            F.array("w"),
+            *[
+                F.when(F.length("w") > n, F.array(F.concat(F.substring("w", 1, n), F.lit("*")))).otherwise(
+                    F.array().cast("array<string>")
+                )
+                for n in STEMS
+            ],
+        )
+    )
+    base = sample.agg(F.avg("toxic")).first()[0]
+    if not base or base >= 1:
+        return []
+    per_form = (
+        units.select("id", "toxic", F.explode(forms).alias("form"))
+        .distinct()
+        .groupBy("form")
+        .agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
+    )
+    share = F.col("pos") / F.col("n")
+    likely = per_form.where((F.col("pos") >= 3) & (share >= max(0.6, min(0.95, 2 * base))) & (F.length("form") > 2))
+    tried = per_form.count()
+    likely = [r["form"] for r in likely.orderBy(F.desc(F.col("pos") * share), "form").limit(MAX_CANDIDATES).collect()]
+    if not likely:
+        return []
+    known = F.broadcast(sample.sparkSession.createDataFrame([(f,) for f in likely], "form string"))
     at = F.transform(
         "words",
         lambda w, i: F.struct(
-            w.alias("word"),
+            w.alias("w"),
             F.xxhash64(
                 F.coalesce(F.get("words", i - 1), F.lit("")), F.coalesce(F.get("words", i + 1), F.lit(""))
             ).alias("ctx"),
         ),
     )
-    seen = (
-        sample.select(F.explode(at).alias("o"), "toxic")
-        .groupBy("o.word", "o.ctx")
-        .agg(F.max("toxic").alias("toxic"))
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("pos"), F.count("*").alias("n"))
-    )
-    seen = seen.persist()
-    try:
-        total = seen.agg(F.sum("pos"), F.sum("n"), F.count("*")).first()
-        if not total[0] or total[0] == total[1]:
-            return []
-        base, tried = total[0] / total[1], total[2]
-        p = F.col("pos") / F.col("n")
-        kl = p * F.log(p / base) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - base))).otherwise(0.0)
-        evidence = F.col("n") * kl
-        best = (
-            seen.where((F.col("pos") > 0) & (p >= max(0.5, 2 * base)) & (F.length("word") > 1))
-            .withColumn("evidence", evidence)
-            .where(F.col("evidence") >= math.log(max(tried, 1) / 0.01))
-            .orderBy(F.desc("evidence"), "word")
-            .limit(MAX_LEARNED)
+    near = (
+        sample.select("id", "toxic", F.explode(at).alias("o"))
+        .select("id", "toxic", "o.ctx", F.col("o.w").alias("w"))
+        .select("id", "toxic", "ctx", F.explode(forms).alias("form"))
+        .join(known, "form")
+        .groupBy("form", "ctx")
+        .agg(F.min(F.struct("id", "toxic")).alias("first"))
+        .groupBy("form", "first.id", "first.toxic")
+        .count()
+        .groupBy("form")
+        .agg(
+            F.sum(F.least(F.lit(3), "count") * F.col("toxic")).alias("pos"),
+            F.sum(F.least(F.lit(3), "count")).alias("n"),
+            F.sum("toxic").alias("docs"),
         )
-        return [r["word"] for r in best.collect()]
-    finally:
-        seen.unpersist()
+        .where("docs >= 3")
+        .collect()  # at most MAX_CANDIDATES rows
+    )
+    need, evidence = math.log(max(tried, 1) / 0.01), {}
+    for r in near:
+        p = r["pos"] / r["n"]
+        if p <= base or p < 0.6:
+            continue
+        kl = p * math.log(p / base) + ((1 - p) * math.log((1 - p) / (1 - base)) if p < 1 else 0.0)
+        if r["n"] * kl >= need:
+            evidence[r["form"]] = r["n"] * kl
+    return sorted(_most_specific(evidence))
+
+
+def _most_specific(evidence: dict[str, float]) -> set[str]:
+    """Of nested stems the longest that loses nearly no evidence; nothing that it already covers."""
+    kept: set[str] = set()
+    for form in sorted(evidence, key=lambda f: (len(f), f)):
+        stem = form.rstrip("*")
+        if any(k.endswith("*") and stem.startswith(k[:-1]) for k in kept):
+            continue
+        if form.endswith("*"):
+            longer = [f for f in evidence if f.startswith(stem) and evidence[f] >= 0.95 * evidence[form]]
+            form = max(longer, key=lambda f: (len(f.rstrip("*")), not f.endswith("*")), default=form)
+        kept.add(form)
+    return kept
 
 
 def _fit(rows: list[tuple[str, int, int]]) -> dict[str, float]:
@@ -263,13 +329,13 @@ def train_toxicity(
     sample = (
         docs.select(F.col(f"`{key}`").cast("string").alias("k"), text_column(docs, text_col).alias("text"))
         .join(F.broadcast(chosen), "k")  # about max_train rows of a key and a flag
-        .select("toxic", "text")
+        .select(F.xxhash64("text").alias("id"), "toxic", "text")
         .repartition(spark.sparkContext.defaultParallelism)
         .persist()
     )
     try:
         words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
-        model = ToxicityModel(_learn_words(sample.select(words.alias("words"), "toxic")))
+        model = ToxicityModel(_learn_words(sample.select("id", words.alias("words"), "toxic")))
         rows = (
             sample.select(_pattern_map(model, False)(F.col("text")).alias("p"), "toxic")
             .select(*[F.least(F.lit(CLIP), F.length("p") - F.length(F.replace("p", F.lit(s)))).alias(f"n{i}") for i, s in enumerate(OUTPUTS)], "toxic")
