@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate, language_id, toxicity
+from lakestrata.llm import bpe, decontaminate, language_id, near_dup, pii, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_pii": pii.op1_pii,
         "op2_language": language_id.op2_language,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe": bpe.op9_bpe,
+        "op10_near_dup": near_dup.op10_near_dup,
     }
 
 
