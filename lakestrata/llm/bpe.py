@@ -27,6 +27,8 @@ VOCABULARY = "word_bpe_49k.json"
 CHUNK_BITS = 9  # about 2**9 bytes a chunk
 WORD_CACHE = 120_000
 CHUNK_CACHE = 6_000
+_STOPS = frozenset(b".,")
+_LETTERS = frozenset(range(97, 123))
 _DDL = "n_tokens bigint, ids string, decoded string"
 
 
@@ -83,6 +85,10 @@ class ChunkCoder:
         self.tok.no_padding()
         self.bits, self.words, self.chunks = bits, Cache(words), Cache(chunks)
         self.encoded = 0  # chunks encoded, not found
+        size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
+        self.number = [str(i) for i in range(size)]
+        # the file has no decoder, so the library decodes to the tokens joined by one space
+        self.piece = [self.tok.id_to_token(i) or "" for i in range(size)]
 
     def _learn(self, words: set[bytes]) -> dict[bytes, tuple[str, str]]:
         """ids and decoded text of each word."""
@@ -94,8 +100,10 @@ class ChunkCoder:
             else:
                 known[w] = got
         texts = [w.decode("utf-8") for w in missing]
-        for w, enc in zip(missing, self.tok.encode_batch(texts, add_special_tokens=False), strict=True):
-            pair = (" ".join(map(str, enc.ids)), self.tok.decode(enc.ids, skip_special_tokens=False))
+        number, piece = self.number, self.piece
+        for w, enc in zip(missing, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = enc.ids
+            pair = (" ".join([number[i] for i in ids]), " ".join([piece[i] for i in ids]))
             known[w] = pair
             self.words.put(w, pair)
         return known
@@ -105,6 +113,8 @@ class ChunkCoder:
         plans, need, fresh_chunks = [], set(), {}
         for text in texts:
             data = (text or "").encode("utf-8")
+            if b"<|" not in data:  # the tokenizer lowers all but its special tokens
+                data = data.lower()
             parts, carry, at = [], b"", 0
             for end in cut_points(data, self.bits):
                 chunk = data[at:end]
@@ -160,7 +170,14 @@ class ChunkCoder:
             return (chunk, [], None)
         head = b"" if lead else words.pop(0)
         tail = b"" if trail or not words else words.pop()
-        return (head, words, tail)
+        inner = []
+        for w in words:  # full stops and commas after an ASCII letter are pieces of their own
+            if w[-1] in _STOPS and len(w) > 1 and w[-2] in _LETTERS:
+                inner.append(w[:-1])
+                inner.append(w[-1:])
+            else:
+                inner.append(w)
+        return (head, inner, tail)
 
     @staticmethod
     def _close(entry: tuple, known: dict) -> tuple:

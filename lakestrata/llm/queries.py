@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate, language_id, near_dup, pii, toxicity
+from lakestrata.llm import bpe, decontaminate, language_id, near_dup, pii, secrets, syncmers, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_pii": pii.op1_pii,
         "op2_language": language_id.op2_language,
+        "op3_syncmers": syncmers.op3_syncmers,
+        "op5_secrets": secrets.op5_secrets,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe": bpe.op9_bpe,
