@@ -13,8 +13,10 @@ Points are made in order of time and a process ends once its time is beyond ever
 
 Links: equal texts collapse to one node. Nodes that share a band's ``rows`` values meet in a bucket;
 32 bands of 4 rows miss a pair of similarity 0.8 with probability 5e-8. A bucket is never expanded
-into all its pairs: every member is compared with the bucket's first node; members that are not
-linked to it stay for the next round, in small buckets (``SMALL`` members) all against all. A member
+into all its pairs: every member is compared with the bucket's first node. Members not linked to it
+go on to further rounds as long as they belong to different components: there up to ``PIVOTS``
+members of the bucket's rarest components are compared with the members of other components (all
+of them in buckets of at most ``SMALL`` members left over). A member
 that failed with the first node but has similarity of at least 0.6 to it could still be linked to a
 node linked with the first one (the similarity's distance is a metric, so less cannot); those few
 pairs are compared too when their components still differ. So no link between texts that share a
@@ -33,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import doc_columns, fresh, prepare, read, text_column, text_map
@@ -42,7 +44,8 @@ from lakestrata.session import checkpoint_root, scratch_dir
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
-SMALL = 8
+SMALL = 12  # a mixed bucket of so many members left over is compared in full
+PIVOTS = 8
 
 # Word bytes as in benchmark decontamination: A-Z lowered, digits, a-z and non-ASCII kept, the rest separates.
 _TABLE = bytes(
@@ -225,28 +228,42 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", _similarity()(F.col("ta"), F.col("tb")).alias("sim"))
 
 
-def link_nodes(members: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """All compared pairs (a, b, sim) needed to connect the nodes of every bucket (key, node)."""
-    compared = None
+def link_nodes(members: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Compared pairs (a, b, sim) that connect the nodes of every bucket (key, node), and the
+    components (node, comp) of the linked ones."""
+    firsts = members.groupBy("key").agg(F.min("node").alias("first"))
+    stars = members.join(firsts, "key").where("node <> first")
+    pairs = stars.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    compared = _materialise(_compare(pairs, texts), "near-dup-compared")
+    comps = components(_links(compared, threshold))
+    linked = _links(compared, threshold).select(F.col("a").alias("node"), F.col("b").alias("first"))
+    left = stars.join(linked, ["node", "first"], "left_anti").select("key", "node")
     while True:
-        sizes = members.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n"))
-        sizes = sizes.where("n > 1")
-        with_first = members.join(sizes, "key")
-        stars = with_first.where(F.col("node") != F.col("first")).select(F.col("node").alias("a"), F.col("first").alias("b"))
-        if compared is not None:
-            few = with_first.where(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("ns"))
-            inner = few.select(F.explode("ns").alias("b"), "ns").select("b", F.explode("ns").alias("a")).where("a > b")
-            stars = stars.union(inner.select("a", "b")).distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        found = _materialise(_compare(stars.distinct(), texts), "near-dup-compared")
-        compared = found if compared is None else compared.union(found)
-        # members not linked to their bucket's first node; small buckets were compared in full after the first round
-        left = with_first.where(F.col("node") != F.col("first"))
-        linked = compared.where(F.col("sim") >= threshold).select(F.col("a").alias("node"), F.col("b").alias("first"))
-        left = left.join(linked.distinct(), ["node", "first"], "left_anti")
-        members = left.where(F.lit(found is compared) | (F.col("n") > SMALL)).select("key", "node")
-        members = _materialise(members, "near-dup-left")
-        if members.groupBy("key").count().where("count > 1").isEmpty():
-            return compared
+        # buckets whose members left over are in one component have nothing more to tell
+        placed = left.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
+        left = _materialise(placed.join(mixed.where("lo <> hi").select("key", "n"), "key"), "near-dup-left")
+        if left.isEmpty():
+            return compared, comps
+        # pivots: the members of the bucket's rarest components, all members of a small bucket
+        rare = left.withColumn("same", F.count("*").over(Window.partitionBy("key", "comp")))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("same", "comp", "node"))
+        pivots = rare.withColumn("rank", rank).where((F.col("rank") <= PIVOTS) | (F.col("n") <= SMALL))
+        pivots = pivots.select("key", F.col("node").alias("p"), F.col("comp").alias("pc"))
+        met = left.join(pivots, "key").where("comp <> pc and node <> p")
+        pairs = met.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
+        done = compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        found = _materialise(_compare(pairs.join(done, ["a", "b"], "left_anti"), texts), "near-dup-compared")
+        compared = compared.union(found)
+        if not found.where(F.col("sim") >= threshold).isEmpty():
+            comps = components(_links(compared, threshold))
+        left = left.where(F.col("n") > SMALL).join(
+            pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti"
+        ).select("key", "node")
+
+
+def _links(compared: DataFrame, threshold: float) -> DataFrame:
+    return compared.where(F.col("sim") >= threshold).select("a", "b")
 
 
 def _grey_pairs(compared: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
@@ -285,13 +302,11 @@ def near_duplicates(
     texts = _materialise(
         base.groupBy("node").agg(F.first("text").alias("text")).join(involved, "node"), "near-dup-texts"
     )
-    compared = link_nodes(members, texts, threshold)
-    links = lambda c: c.where(F.col("sim") >= threshold).select("a", "b")
-    comps = components(links(compared))
+    compared, comps = link_nodes(members, texts, threshold)
     grey = _materialise(_grey_pairs(compared, comps, threshold), "near-dup-grey")
     if not grey.isEmpty():
         more = _materialise(_compare(grey, texts), "near-dup-compared")
-        comps = components(links(compared.union(more)))
+        comps = components(_links(compared.union(more), threshold))
     placed = nodes.join(comps, "node", "left").withColumn("class_node", F.coalesce("comp", "node"))
     heads = placed.groupBy("class_node").agg(F.min("least").alias("class_id"))
     placed = placed.join(heads, "class_node").select("node", "class_node", "class_id", "copies")
