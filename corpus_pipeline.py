@@ -6,12 +6,15 @@ next stage gets; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate
+from lakestrata.llm import bpe, decontaminate, near_dup, secrets, toxicity
 from lakestrata.llm.common import prepare
 from lakestrata.session import scratch_dir
 
 STAGES = [
+    ("toxicity", toxicity.stage),
+    ("near_dup", near_dup.stage),
     ("decontaminate", decontaminate.stage),
+    ("secrets", secrets.stage),
     ("bpe", bpe.stage),
 ]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate, language_id, near_dup, pii, secrets, syncmers, toxicity
+from lakestrata.llm import bpe, decontaminate, html_wrappers, language_id, near_dup, pii, secrets, syncmers, toxicity
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_syncmers": syncmers.op3_syncmers,
         "op5_secrets": secrets.op5_secrets,
         "op6_decontaminate": decontaminate.op6_decontaminate,
+        "op7_html": html_wrappers.op7_html,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe": bpe.op9_bpe,
         "op10_near_dup": near_dup.op10_near_dup,
