@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate, html_wrappers, language_id, near_dup, pii, secrets, syncmers, toxicity
+from lakestrata.llm import bpe, decontaminate, html_wrappers, katz, language_id, near_dup, pii, secrets, syncmers, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_pii": pii.op1_pii,
         "op2_language": language_id.op2_language,
         "op3_syncmers": syncmers.op3_syncmers,
+        "op4_katz": katz.op4_katz,
         "op5_secrets": secrets.op5_secrets,
         "op6_decontaminate": decontaminate.op6_decontaminate,
         "op7_html": html_wrappers.op7_html,
