@@ -31,9 +31,9 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PRIORITY_CLASSES = {"urgent": "1-URGENT", "high": "2-HIGH"}
 PROJECT_TOPIC = "URGENT"
 EXAMPLE_USER = "user7"
-# the test tables are megabytes, so the layout query plans for 64 KB / 200 KB files instead of 128 / 400 MB
-LAYOUT_TARGET_BYTES = 64_000
-LAYOUT_MAX_BYTES = 200_000
+# the test tables are megabytes, so the layout query plans for 2 KB / 5 KB files instead of 128 / 400 MB
+LAYOUT_TARGET_BYTES = 2_000
+LAYOUT_MAX_BYTES = 5_000
 TEST_COMMENT_TYPES = ("click", "purchase", "signup", "view")
 CONTRACT = T.StructType(
     [
@@ -140,8 +140,8 @@ def _bronze_readback(spark, path):
 
 
 def q_layout_plan(spark, sf_dir):
-    """Per-day files plan for the bronze view's rows sized as JSON lines (SNK5)."""
-    sizes = bronze_plan.json_day_sizes(tv.bronze_events(_s(spark), sf_dir))
+    """Per-day file plan from an inventory of hourly landing files (SRC2, SNK5, AGG9)."""
+    sizes = bronze_plan.day_sizes(tv.landing_inventory(_s(spark), sf_dir))
     return bronze_plan.plan_days(sizes, target_bytes=LAYOUT_TARGET_BYTES, max_bytes=LAYOUT_MAX_BYTES)
 
 
@@ -153,40 +153,135 @@ def q_ingest_roundtrip(spark, sf_dir):
     return _bronze_readback(spark, path)
 
 
-def q_silver_roundtrip(spark, sf_dir):
-    """Bronze write → contracts learnt from the first day → every silver table written → the
-    purchase table read back (the whole bronze → silver layer on the given events)."""
+def q_json_ingest(spark, sf_dir):
+    """The whole landing job: events as JSON lines → ``ingest_bronze`` with a schema → read back."""
+    spark = _s(spark)
+    root = scratch_dir(spark, "json-ingest")
+    events = tv.bronze_events(spark, sf_dir).drop("day")
+    events.write.option("compression", "gzip").json(f"{root}/landing")
+    bronze_plan.ingest_bronze(spark, f"{root}/landing", f"{root}/bronze", _two_files_a_day(spark, sf_dir), schema=events.schema)
+    return _bronze_readback(spark, f"{root}/bronze")
+
+
+def q_mixed_ingest(spark, sf_dir):
+    """Half of the events by the batch load, half by the stream, into one bronze root, read together."""
     spark = _s(spark)
-    root = scratch_dir(spark, "silver-roundtrip")
-    bronze = tv.bronze_events(spark, sf_dir)
-    write_bounded_by_day(bronze, f"{root}/bronze", _two_files_a_day(spark, sf_dir))
-    stored = bronze_plan.read_bronze(spark, f"{root}/bronze")
-    first_day = stored.agg(F.min("day")).first()[0]
-    sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
-    contracts = silver.ensure_contracts(spark, sample, f"{root}/contracts", event_types=EVENT_TYPES)
-    written = silver.build_silver(spark, stored, contracts, f"{root}/silver", event_types=EVENT_TYPES)
-    back = spark.read.parquet(written["purchase_df"])
+    root = scratch_dir(spark, "mixed-ingest")
+    odd = F.pmod(F.col("id").cast("bigint"), F.lit(2)) == 1
+    events = tv.bronze_events(spark, sf_dir)
+    write_bounded_by_day(events.where(odd), f"{root}/bronze", _two_files_a_day(spark, sf_dir), load=bronze_plan.BATCH_LOAD)
+    source = landing_stream(spark, sf_dir, tv.table(spark, sf_dir, "events").schema, fmt="parquet", path_glob="events.parquet")
+    run_bronze_stream(tv.bronze_from_events(source).where(~odd), f"{root}/bronze", f"{root}/checkpoint",
+                      files_per_batch_day=2, partitions=spark.sparkContext.defaultParallelism)
+    return _bronze_readback(spark, f"{root}/bronze")
+
+
+_BUILT: dict[tuple, str] = {}
+
+
+def _built(spark, sf_dir, name, build) -> str:
+    """Root of a lake built once per application and input; the queries read its tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT:
+        root = scratch_dir(spark, name)
+        build(root)
+        _BUILT[key] = root
+    return _BUILT[key]
+
+
+def _silver_lake(spark, sf_dir, name, bronze, types) -> str:
+    def build(root):
+        write_bounded_by_day(bronze, f"{root}/bronze", _two_files_a_day(spark, sf_dir))
+        stored = bronze_plan.read_bronze(spark, f"{root}/bronze")
+        profile = silver.profile_bronze(stored)
+        silver.ensure_contracts(spark, stored, f"{root}/contracts", event_types=types, profile=profile)
+        # the contracts used are the stored ones
+        contracts = silver.load_contracts(spark, f"{root}/contracts")
+        silver.build_silver(spark, stored, contracts, f"{root}/silver", event_types=types, profile=profile)
+
+    return _built(spark, sf_dir, name, build)
+
+
+def _silver_table(spark, root, table):
+    back = spark.read.parquet(f"{root}/silver/{table}")
     return back.withColumn("day", F.col("day").cast("string"))
 
 
-def q_gold_job(spark, sf_dir):
-    """The whole lake on archive-shaped events: bronze → contracts → silver → all seven gold
-    datasets (language detector trained on the documents); the commits-per-push dataset is read
-    back for the check."""
+def _event_lake(spark, sf_dir) -> str:
+    return _silver_lake(spark, sf_dir, "event-lake", tv.bronze_events(spark, sf_dir), EVENT_TYPES)
+
+
+def q_silver_roundtrip(spark, sf_dir):
+    """Bronze write → contracts from all of it → every silver table written → the purchase table."""
+    spark = _s(spark)
+    return _silver_table(spark, _event_lake(spark, sf_dir), "purchase_df")
+
+
+def q_silver_fact(spark, sf_dir):
+    """The fact table of the same lake."""
+    spark = _s(spark)
+    return _silver_table(spark, _event_lake(spark, sf_dir), silver.FACT_TABLE)
+
+
+def _late_lake(spark, sf_dir) -> str:
+    return _silver_lake(spark, sf_dir, "late-lake", tv.late_field_events(spark, sf_dir), EVENT_TYPES)
+
+
+def q_late_fields(spark, sf_dir):
+    """A payload field that only late days fill is in the silver table."""
+    spark = _s(spark)
+    return _silver_table(spark, _late_lake(spark, sf_dir), "purchase_df")
+
+
+def q_late_child(spark, sf_dir):
+    """An array that only late days fill has its child table."""
+    spark = _s(spark)
+    return _silver_table(spark, _late_lake(spark, sf_dir), "purchase_df_tags_df")
+
+
+ARCHIVE_TYPES = tuple(tv.ARCHIVE_TYPE.values())
+
+
+def _archive_lake(spark, sf_dir) -> str:
+    """The whole lake on archive-shaped events: bronze → contracts → silver → all gold datasets
+    (language detector trained on the documents)."""
     from lakestrata.plans.build_gold import build_gold
 
+    base = _silver_lake(spark, sf_dir, "archive-lake", tv.archive_events(spark, sf_dir), ARCHIVE_TYPES)
+
+    def build(root):
+        model = language.train_language_detector(tv.table(spark, sf_dir, "documents"), "text", "lang")
+        build_gold(spark, f"{base}/silver", root, model=model)
+
+    return _built(spark, sf_dir, "archive-gold", build)
+
+
+def _gold_table(name):
+    def query(spark, sf_dir):
+        spark = _s(spark)
+        return spark.read.parquet(f"{_archive_lake(spark, sf_dir)}/{name}")
+
+    return query
+
+
+def q_gold_languages(spark, sf_dir):
+    """The gathered comments of the language dataset (the detected code is checked by held-out accuracy)."""
+    return _gold_table("event_languages_df")(spark, sf_dir).select("id", "created_at", "type", "actor_login", "org_login", "comment")
+
+
+def q_gold_language_totals(spark, sf_dir):
+    """Comments of each type over all language columns of the statistics dataset."""
+    stats = _gold_table("language_stats_df")(spark, sf_dir)
+    total = sum((F.col(f"`{c}`") for c in stats.columns if c != "type"), F.lit(0))
+    return stats.select("type", total.cast("bigint").alias("comments"))
+
+
+def q_silver_child(spark, sf_dir):
+    """The commits child table of the archive lake."""
     spark = _s(spark)
-    root = scratch_dir(spark, "gold-job")
-    types = tuple(tv.ARCHIVE_TYPE.values())
-    write_bounded_by_day(tv.archive_events(spark, sf_dir), f"{root}/bronze", _two_files_a_day(spark, sf_dir))
-    bronze = bronze_plan.read_bronze(spark, f"{root}/bronze")
-    first_day = bronze.agg(F.min("day")).first()[0]
-    sample = bronze_plan.read_bronze(spark, f"{root}/bronze", day=str(first_day))
-    contracts = silver.ensure_contracts(spark, sample, f"{root}/contracts", event_types=types)
-    silver.build_silver(spark, bronze, contracts, f"{root}/silver", event_types=types)
-    model = language.train_language_detector(tv.table(spark, sf_dir, "documents"), "text", "lang")
-    written = build_gold(spark, f"{root}/silver", f"{root}/gold", model=model)
-    return spark.read.parquet(written["num_commits_df"])
+    _archive_lake(spark, sf_dir)
+    root = _BUILT[(spark.sparkContext.applicationId, sf_dir, "archive-lake")]
+    return _silver_table(spark, root, "push_event_df_commits_df")
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -230,12 +325,24 @@ def q_language_stats(spark, sf_dir):
     return language.language_stats(q_label_languages(spark, sf_dir))
 
 
+def q_unlisted_languages(spark, sf_dir):
+    """A code outside the lookup is counted in the column ``null``, and dropped when asked (PRJ13)."""
+    docs = tv.coded_documents(_s(spark), sf_dir)
+    code = F.when(F.col("code") == "fr", F.lit("xx")).otherwise(F.col("code"))
+    return language.language_stats(language.label_languages(docs.withColumn("code", code)), drop_null=True)
+
+
+def _held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
 def q_detect_language(spark, sf_dir):
-    """Train the detector on the labelled documents and label every document's whole text."""
+    """Train the detector on three quarters of the documents and label every document's whole text."""
     spark = _s(spark)
     docs = tv.table(spark, sf_dir, "documents")
-    model = language.train_language_detector(docs, "text", "lang")
-    return language.detect_language(docs.select("doc_id", "lang", "text"), model, "text").drop("text")
+    model = language.train_language_detector(docs.where(~_held_out()), "text", "lang")
+    coded = language.detect_language(docs.select("doc_id", "lang", "text"), model, "text").drop("text")
+    return coded.withColumn("held_out", _held_out())
 
 
 def q_language_report(spark, sf_dir):
@@ -291,13 +398,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_types": q_event_types,
         "layout_plan": q_layout_plan,
         "ingest_roundtrip": q_ingest_roundtrip,
+        "json_ingest": q_json_ingest,
         "stream_ingest": q_stream_ingest,
+        "mixed_ingest": q_mixed_ingest,
         "silver_roundtrip": q_silver_roundtrip,
-        "gold_job": q_gold_job,
+        "silver_fact": q_silver_fact,
+        "late_fields": q_late_fields,
+        "late_child": q_late_child,
+        "gold_job": _gold_table("num_commits_df"),
+        "gold_events_per_hour": _gold_table("event_per_hour_df"),
+        "gold_pushes_by_branch": _gold_table("push_event_ref_df"),
+        "gold_user_weeks": _gold_table("user_type_week"),
+        "gold_push_activity": _gold_table("user_push_activity"),
+        "gold_languages": q_gold_languages,
+        "gold_language_totals": q_gold_language_totals,
+        "silver_child": q_silver_child,
         "concat_messages": q_concat_messages,
         "gather_comments": q_gather_comments,
         "label_languages": q_label_languages,
         "language_stats": q_language_stats,
+        "unlisted_languages": q_unlisted_languages,
         "detect_language": q_detect_language,
         "language_report": q_language_report,
         **_corpus_part("queries"),
@@ -399,6 +519,23 @@ _WEEKLY = f"""
             FROM w GROUP BY 1, 2"""
 
 
+# the archive view: event types renamed, document d at event d * (events // documents)
+_ARCHIVE = """
+    SELECT e.*, CASE type WHEN 'purchase' THEN 'PushEvent' WHEN 'click' THEN 'IssueCommentEvent'
+                          WHEN 'error' THEN 'CommitCommentEvent' WHEN 'signup' THEN 'PullRequestReviewCommentEvent'
+                          ELSE 'WatchEvent' END AS atype,
+           CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS org,
+           ['master', 'gh-pages', 'dev'][CAST(k % 3 AS INTEGER) + 1] AS branch, d.text
+    FROM (EVENTS) e
+    LEFT JOIN documents d ON CAST(e.id AS BIGINT)
+         = d.doc_id * greatest(1, (SELECT count(*) FROM events) // greatest(1, (SELECT count(*) FROM documents)))
+    """.replace("EVENTS", _EV)
+_ARCHIVE_COMMENTS = f"""
+    SELECT id, created_at, atype AS type, login AS actor_login, org AS org_login,
+           CASE WHEN type = 'purchase' THEN replace(text, chr(10), ',') ELSE text END AS comment
+    FROM ({_ARCHIVE}) WHERE type IN ('purchase', 'click', 'error', 'signup') AND (type <> 'purchase' OR text IS NOT NULL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_per_hour": f"""
@@ -469,12 +606,66 @@ def oracle_sql() -> dict[str, str]:
         "event_types": "SELECT DISTINCT event_type AS type FROM events",
         "ingest_roundtrip": _BRONZE_FLAT,
         "stream_ingest": _BRONZE_FLAT,
+        "json_ingest": _BRONZE_FLAT,
+        "mixed_ingest": _BRONZE_FLAT,
+        "layout_plan": f"""
+            WITH s AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(sum(octet_length(encode(props))) AS DOUBLE) * 2 AS b
+                       FROM events GROUP BY 1)
+            SELECT day, b AS parquet_bytes, round(b / {LAYOUT_TARGET_BYTES}, 1) AS files_upper,
+                   round(b / {LAYOUT_MAX_BYTES}, 1) AS files_lower,
+                   greatest(1, CAST(ceil(b / {LAYOUT_TARGET_BYTES}) AS BIGINT)) AS files
+            FROM s""",
         "gold_job": f"""
             SELECT id AS fact_id, CAST(id AS BIGINT) AS push_id, strftime(ts, '%m/%d/%Y %H:%M:%S') AS time,
-                   login AS "user", CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS organization,
-                   login || '/repo' || CAST(k AS VARCHAR) AS repository,
-                   ['master', 'gh-pages', 'dev'][CAST(k % 3 AS INTEGER) + 1] AS branch, k AS number_commits
+                   login AS "user", org AS organization, login || '/repo' || CAST(k AS VARCHAR) AS repository,
+                   branch, k AS number_commits
+            FROM ({_ARCHIVE}) WHERE type = 'purchase'""",
+        "gold_events_per_hour": f"""
+            SELECT strftime(date_trunc('hour', ts), '%m/%d/%Y %H:00:00') AS hour, {_counts('atype', tv.ARCHIVE_TYPE.values(), True)}
+            FROM ({_ARCHIVE}) GROUP BY 1""",
+        "gold_pushes_by_branch": f"""
+            SELECT strftime(date_trunc('day', ts), '%m/%d/%Y') AS day,
+                   CAST(sum(CAST(branch = 'master' AS BIGINT)) AS BIGINT) AS main,
+                   CAST(sum(CAST(branch = 'gh-pages' AS BIGINT)) AS BIGINT) AS "gh-pages",
+                   CAST(sum(CAST(branch NOT IN ('master', 'gh-pages') AS BIGINT)) AS BIGINT) AS other
+            FROM ({_ARCHIVE}) WHERE type = 'purchase' GROUP BY 1""",
+        "gold_user_weeks": _WEEKLY.replace(
+            _counts("event_type", EVENT_TYPES, False),
+            ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS \"{a}\"" for t, a in tv.ARCHIVE_TYPE.items()),
+        ),
+        "gold_push_activity": f"""
+            SELECT login AS actor_login, k AS repo_id, login AS repo_owner, 'repo' || CAST(k AS VARCHAR) AS project_name,
+                   CAST(sum(k) AS BIGINT) AS number_of_push_events,
+                   strftime(max(date_trunc('hour', ts)), '%m/%d/%Y %H:00:00') AS date_of_last_push,
+                   strftime(min(date_trunc('hour', ts)), '%m/%d/%Y %H:00:00') AS date_of_first_push
+            FROM ({_ARCHIVE}) WHERE type = 'purchase' GROUP BY 1, 2, 3, 4""",
+        "gold_languages": _ARCHIVE_COMMENTS,
+        "gold_language_totals": f"SELECT type, count(*) AS comments FROM ({_ARCHIVE_COMMENTS}) GROUP BY 1",
+        "silver_child": f"""
+            SELECT id AS fact_id, created_at AS event_created_at,
+                   CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS pos,
+                   id || '-' || CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS VARCHAR) AS sha,
+                   unnest(string_split(text, chr(10))) AS message, strftime(ts, '%Y-%m-%d') AS day
+            FROM ({_ARCHIVE}) WHERE type = 'purchase' AND text IS NOT NULL""",
+        "silver_fact": f"""
+            SELECT id, type, created_at, user_id AS actor_id, login AS actor_login, login AS actor_display_login,
+                   k AS repo_id, login || '/repo' || CAST(k AS VARCHAR) AS repo_name,
+                   CASE WHEN k < 10 THEN k END AS org_id,
+                   CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS org_login, strftime(ts, '%Y-%m-%d') AS day
+            FROM ({_EV})""",
+        "late_fields": f"""
+            SELECT id, created_at, value AS amount, k AS quantity,
+                   CASE WHEN day(ts) >= 21 THEN k * 2 END AS bonus, strftime(ts, '%Y-%m-%d') AS day
             FROM ({_EV}) WHERE type = 'purchase'""",
+        "late_child": f"""
+            SELECT id AS fact_id, created_at AS event_created_at, CAST(i - 1 AS INTEGER) AS pos,
+                   ['tag' || CAST(k % 7 AS VARCHAR), 'size' || CAST(k % 3 AS VARCHAR)][i] AS col,
+                   strftime(ts, '%Y-%m-%d') AS day
+            FROM ({_EV}), (VALUES (1), (2)) AS n(i) WHERE type = 'purchase' AND day(ts) >= 21""",
+        "unlisted_languages": f"""
+            SELECT type, count(*) FILTER (WHERE code <> 'fr' AND language = 'English') AS "English",
+                   count(*) FILTER (WHERE code <> 'fr' AND language = 'Spanish') AS "Spanish"
+            FROM ({_LABELLED}) GROUP BY type""",
         "silver_roundtrip": f"""
             SELECT id, created_at, value AS amount, k AS quantity, strftime(ts, '%Y-%m-%d') AS day
             FROM ({_EV}) WHERE type = 'purchase'""",

@@ -4,8 +4,9 @@ executors and ``spark.checkpoint.dir``; ship the package with ``--py-files``).
     spark-submit lakestrata/jobs.py plan   --landing <landing>
     spark-submit lakestrata/jobs.py bronze --landing <landing> --bronze <bronze> [--files-per-day N | --per-day-plan]
     spark-submit lakestrata/jobs.py stream --landing <landing> --bronze <bronze> --checkpoint <ckpt> --schema-from <bronze>
-    spark-submit lakestrata/jobs.py silver --bronze <bronze> --silver <silver> --contracts <contracts> --sample-day 2017-01-01
-    spark-submit lakestrata/jobs.py gold   --silver <silver> --gold <gold> [--labelled-text <table> --text-col text --label-col lang]
+    spark-submit lakestrata/jobs.py silver --bronze <bronze> --silver <silver> --contracts <contracts> [--days 2017-01-01:2017-01-31]
+    spark-submit lakestrata/jobs.py gold   --silver <silver> --gold <gold> --model <detector> [--days …] [--no-languages]
+    spark-submit lakestrata/jobs.py gold   … --labelled-text <table> --text-col text --label-col lang [--save-model <detector>]
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ def _bronze(spark, args) -> None:
         # one count for every day (the original layout), still placed one (day, file) per task
         n = args.files_per_day or bronze_plan.plan_layout(files).first().files_per_day
         plan = {day: n for day in plan}
-    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, schema=schema, mode=args.mode)
+    bronze_plan.ingest_bronze(spark, args.landing, args.bronze, plan, schema=schema, mode=args.mode, sampling_ratio=args.sampling_ratio)
+    bad = bronze_plan.corrupt_rows(bronze_plan.read_bronze(spark, args.bronze))
+    print(json.dumps({"corrupt_lines": bad}))
 
 
 def _stream(spark, args) -> None:
@@ -46,23 +49,41 @@ def _stream(spark, args) -> None:
                       days_per_batch=days)
 
 
+def _days(args) -> tuple[str, str] | None:
+    if not args.days:
+        return None
+    first, _, last = args.days.partition(":")
+    return first, last or first
+
+
 def _silver(spark, args) -> None:
     bronze = bronze_plan.read_bronze(spark, args.bronze)
-    sample = bronze_plan.read_bronze(spark, args.bronze, day=args.sample_day)
+    if days := _days(args):
+        day = bronze["day"].cast("string")
+        bronze = bronze.where((day >= days[0]) & (day <= days[1]))
     types = tuple(args.types.split(",")) if args.types else silver.EVENT_TYPES
-    contracts = silver.ensure_contracts(spark, sample, args.contracts, event_types=types)
-    written = silver.build_silver(spark, bronze, contracts, args.silver, event_types=types)
+    keep = tuple(args.keep.split(",")) if args.keep else ()
+    profile = silver.profile_bronze(bronze)
+    contracts = silver.ensure_contracts(spark, bronze, args.contracts, event_types=types, keep=keep, profile=profile)
+    written = silver.build_silver(spark, bronze, contracts, args.silver, event_types=types, profile=profile)
     print(json.dumps(written))
 
 
 def _gold(spark, args) -> None:
     from lakestrata.plans.build_gold import build_gold
-    from lakestrata.plans.language import train_language_detector
+    from lakestrata.plans.language import load_detector, save_detector, train_language_detector
 
     model = None
-    if args.labelled_text:
+    if args.model:
+        model = load_detector(args.model)
+    elif args.labelled_text:
         model = train_language_detector(spark.read.parquet(args.labelled_text), args.text_col, args.label_col)
-    print(json.dumps(build_gold(spark, args.silver, args.gold, model=model, threshold=args.threshold)))
+        if args.save_model:
+            save_detector(model, args.save_model)
+    written = build_gold(
+        spark, args.silver, args.gold, model=model, threshold=args.threshold, languages=not args.no_languages, days=_days(args)
+    )
+    print(json.dumps(written))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -76,6 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--files-per-day", type=int)
     p.add_argument("--per-day-plan", action="store_true")
     p.add_argument("--schema-from", help="an existing bronze table whose schema the JSON follows")
+    p.add_argument("--sampling-ratio", type=float, help="share of the rows schema inference reads")
     p.add_argument("--mode", default="errorifexists")
     p = sub.add_parser("stream")
     p.add_argument("--landing", required=True)
@@ -88,7 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bronze", required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--contracts", required=True)
-    p.add_argument("--sample-day", required=True)
+    p.add_argument("--days", help="first:last day, both included (default: all)")
+    p.add_argument("--keep", help="comma-separated columns to keep although their name says link or avatar")
     p.add_argument("--types", help="comma-separated event types (default: the 13 standard ones)")
     p = sub.add_parser("gold")
     p.add_argument("--silver", required=True)
@@ -97,6 +120,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--text-col", default="text")
     p.add_argument("--label-col", default="lang")
     p.add_argument("--threshold", type=float, default=0.1)
+    p.add_argument("--model", help="a stored language detector")
+    p.add_argument("--save-model", help="where to store the detector trained on --labelled-text")
+    p.add_argument("--no-languages", action="store_true", help="leave out the two language datasets")
+    p.add_argument("--days", help="first:last day, both included (default: all)")
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"lakestrata-{args.job}")
     {"plan": _plan, "bronze": _bronze, "stream": _stream, "silver": _silver, "gold": _gold}[args.job](spark, args)

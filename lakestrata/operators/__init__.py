@@ -4,12 +4,10 @@ from lakestrata.operators.columns import (
     all_null_columns,
     drop_all_null,
     drop_by_pattern,
-    drop_null_bucket,
-    fill_zero,
     null_profile,
     useless_columns,
 )
-from lakestrata.operators.contract import conform, contract_of, load_contract, save_contract
+from lakestrata.operators.contract import conform, contract_of, load_contracts, save_contracts, widen
 from lakestrata.operators.flatten import flatten_all, flatten_once, has_struct, struct_children
 
 __all__ = [
@@ -20,19 +18,18 @@ __all__ = [
     "distinct_values",
     "drop_all_null",
     "drop_by_pattern",
-    "drop_null_bucket",
     "explode_array",
-    "fill_zero",
     "flatten_all",
     "flatten_once",
     "has_struct",
-    "load_contract",
+    "load_contracts",
     "null_profile",
     "ordered_concat",
     "pivot_count",
-    "save_contract",
+    "save_contracts",
     "segment_tallies",
     "split_arrays",
     "struct_children",
     "useless_columns",
+    "widen",
 ]

@@ -32,7 +32,8 @@ def pivot_count(
     grouped = df.groupBy(*group_cols)
     pivoted = grouped.pivot(pivot_col, list(values)) if values is not None else grouped.pivot(pivot_col)
     out = pivoted.count()
-    return out.fillna(0) if fill_zero else out
+    # only the pivot's own columns: a null group key stays null
+    return out.fillna(0, subset=out.columns[len(group_cols) :]) if fill_zero else out
 
 
 def segment_tallies(

@@ -1,5 +1,5 @@
 """Column surgery: drop by name pattern, null profile, drop all-null columns, pivot clean-up
-(PRJ5-7, PRJ12-13, AGG8, FLT5)."""
+(PRJ5-7, AGG8, FLT5)."""
 
 from __future__ import annotations
 
@@ -50,13 +50,3 @@ def drop_all_null(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Drop every column that is null in all rows (``keep`` columns always stay)."""
     keep = set(keep)
     return df.drop(*[c for c in all_null_columns(df) if c not in keep])
-
-
-def fill_zero(df: DataFrame) -> DataFrame:
-    """Zero-fill numeric nulls (after a pivot: absent combination → 0)."""
-    return df.fillna(0)
-
-
-def drop_null_bucket(df: DataFrame) -> DataFrame:
-    """Drop the column a pivot creates for a null pivot value (it is named ``null``)."""
-    return df.drop("null")

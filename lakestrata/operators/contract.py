@@ -1,7 +1,7 @@
 """Schema contracts (SRC6, PRJ10): a stored ``StructType`` every run of a table is held to.
 
-A contract is learnt once from a sample (``plans.silver.learn_contracts``), saved as JSON text next
-to the data, and applied with ``DataFrame.to``: columns are reordered to the contract, extra columns
+A contract is learnt from bronze (``plans.silver.learn_contracts``), saved as JSON text next to the
+data, widened by name when a later load brings new fields (``widen``), and applied with ``DataFrame.to``: columns are reordered to the contract, extra columns
 are dropped, missing ones become typed nulls, and safe widenings (int → bigint, float → double) are
 applied. A narrowing or unrelated type (string where a bigint is due) raises instead of silently
 corrupting the table.
@@ -69,24 +69,32 @@ def contract_of(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
 
 
-def save_contract(spark: SparkSession, contract: T.StructType, path: str) -> None:
-    """Store the contract as one line of JSON at ``path`` (any Hadoop file system)."""
-    literal_table(spark, [(contract.json(),)], ("contract",)).coalesce(1).write.mode("overwrite").text(path)
+_WIDER = {("int", "bigint"): 1, ("int", "double"): 1, ("bigint", "double"): 1, ("float", "double"): 1, ("int", "float"): 1}
 
 
-def load_contract(spark: SparkSession, path: str) -> T.StructType:
-    row = spark.read.text(path).first()
-    if row is None:
-        raise FileNotFoundError(f"no contract stored at {path}")
-    return T.StructType.fromJson(json.loads(row[0]))
-
-
-def contract_exists(spark: SparkSession, path: str) -> bool:
-    """True when a contract was fully written at ``path`` (checked per table, not per folder)."""
-    try:
-        return spark.read.text(path).limit(1).count() == 1
-    except AnalysisException:
-        return False
+def widen(stored: T.DataType, learnt: T.DataType) -> T.DataType:
+    """``stored`` with everything ``learnt`` adds: new struct fields are appended by name at any
+    depth, a leaf takes the wider numeric type; any other conflict keeps the stored type."""
+    if isinstance(stored, T.StructType) and isinstance(learnt, T.StructType):
+        new = {f.name: f for f in learnt.fields}
+        fields = [
+            T.StructField(f.name, widen(f.dataType, new[f.name].dataType) if f.name in new else f.dataType, True, f.metadata)
+            for f in stored.fields
+        ]
+        have = set(stored.fieldNames())
+        return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in learnt.fields if f.name not in have])
+    if isinstance(stored, T.ArrayType) and isinstance(learnt, T.ArrayType):
+        return T.ArrayType(widen(stored.elementType, learnt.elementType), True)
+    if (stored.simpleString(), learnt.simpleString()) in _WIDER:
+        return learnt
+    return stored
+
+
+def widen_contracts(stored: dict[str, T.StructType], learnt: dict[str, T.StructType]) -> dict[str, T.StructType]:
+    return {
+        name: widen(stored[name], learnt[name]) if name in stored and name in learnt else (stored.get(name) or learnt[name])
+        for name in [*stored, *[n for n in learnt if n not in stored]]
+    }
 
 
 def save_contracts(spark: SparkSession, contracts: dict[str, T.StructType], path: str) -> None:

@@ -15,13 +15,16 @@ from pyspark.sql import types as T
 
 from lakestrata.functions.timefmt import add_day
 from lakestrata.operators.aggregates import distinct_values
-from lakestrata.sinks.parquet import write_bounded_by_day
+from lakestrata.sinks.parquet import LOAD, write_bounded_by_day
 
 # Fixed sizing rules of the bronze layout.
 PARQUET_TO_JSON_RATIO = 2.0  # Parquet bytes ≈ 2 × compressed JSON bytes
 TARGET_FILE_BYTES = 128_000_000  # aim: files of about 128 MB
 MAX_FILE_BYTES = 400_000_000  # never more than 400 MB per file
 
+BATCH_LOAD = "batch"
+CORRUPT = "_corrupt_record"
+
 # Hourly landing file names: ``2017-01-01-0.json.gz`` … ``2017-01-01-23.json.gz``.
 LANDING_NAME = r"^(\d{4})-(\d{2})-(\d{2})-(\d{1,2})\."
 
@@ -124,10 +127,17 @@ def json_day_sizes(events: DataFrame, time_col: str = "created_at") -> DataFrame
 
 
 def read_events_json(spark: SparkSession, src: str, schema: T.StructType | None = None,
-                     sampling_ratio: float | None = None) -> DataFrame:
-    """The landing JSON. Pass the bronze ``schema`` when known: inference is a full extra pass."""
+                     sampling_ratio: float | None = None, corrupt_col: str | None = None) -> DataFrame:
+    """The landing JSON. Pass the bronze ``schema`` when known: inference is a full extra pass (over
+    ``sampling_ratio`` of the rows if given).
+
+    With ``corrupt_col`` and a schema, a line that is not valid JSON keeps its text in that column
+    (null for good lines) instead of becoming an unexplained all-null row."""
     reader = spark.read
     if schema is not None:
+        if corrupt_col is not None:
+            schema = T.StructType([f for f in schema.fields if f.name != corrupt_col]).add(corrupt_col, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
         reader = reader.schema(schema)
     elif sampling_ratio is not None:
         reader = reader.option("samplingRatio", str(sampling_ratio))
@@ -147,14 +157,25 @@ def ingest_bronze(
     num_days: int | None = None,
     schema: T.StructType | None = None,
     mode: str = "errorifexists",
+    sampling_ratio: float | None = None,
+    load: str = BATCH_LOAD,
 ) -> str:
-    """Landing JSON → bronze Parquet partitioned by ``day`` with bounded files per day.
+    """Landing JSON → bronze Parquet partitioned by ``day`` and ``load`` with bounded files per day.
 
-    The default mode refuses to write over an existing month; pass ``mode="overwrite"`` to replace
-    only the days present in this load (dynamic partition overwrite).
+    The default mode refuses to write over an existing table; pass ``mode="overwrite"`` to replace
+    only this load's rows of the days present in it (dynamic partition overwrite). With a
+    ``schema``, a malformed line is kept as a row whose text is in ``_corrupt_record`` (its day is
+    null); ``corrupt_rows`` counts them.
     """
-    bronze = to_bronze(read_events_json(spark, src, schema))
-    return write_bounded_by_day(bronze, dst, files_per_day, num_days=num_days, mode=mode)
+    bronze = to_bronze(read_events_json(spark, src, schema, sampling_ratio, CORRUPT if schema is not None else None))
+    return write_bounded_by_day(bronze, dst, files_per_day, num_days=num_days, mode=mode, load=load)
+
+
+def corrupt_rows(bronze: DataFrame) -> int:
+    """How many lines of the landing files were not valid JSON."""
+    if CORRUPT not in bronze.columns:
+        return 0
+    return bronze.where(F.col(CORRUPT).isNotNull()).count()
 
 
 def per_day_plan(files: DataFrame, **kw) -> dict[str, int]:
@@ -163,8 +184,9 @@ def per_day_plan(files: DataFrame, **kw) -> dict[str, int]:
 
 
 def read_bronze(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
-    """Bronze (or any ``day``-partitioned) table; ``day`` filters by partition, keeping the column."""
-    df = spark.read.parquet(path)
+    """Bronze (or any ``day``-partitioned) table; ``day`` filters by partition, keeping the column.
+    The ``load`` partition is left out."""
+    df = spark.read.option("mergeSchema", "true").parquet(path).drop(LOAD)
     if day is not None:
         df = df.where(F.col("day") == F.lit(day).cast(df.schema["day"].dataType))
     return df

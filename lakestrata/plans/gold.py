@@ -135,12 +135,13 @@ def for_user(report: DataFrame, user: str, column: str = "user") -> DataFrame:
     return report.where(F.col(column) == F.lit(user))
 
 
-def gold_reports(fact: DataFrame, push: DataFrame) -> dict[str, DataFrame]:
-    """The five reports over the fact and push tables, keyed by their dataset names."""
+def gold_reports(fact: DataFrame, push: DataFrame, types: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The five reports over the fact and push tables, keyed by their dataset names; ``types``: the
+    event types, if known, so that the two reports by type need no pass of their own to find them."""
     return {
-        "event_per_hour_df": events_per_hour(fact),
+        "event_per_hour_df": events_per_hour(fact, types),
         "push_event_ref_df": pushes_by_branch(push),
         "num_commits_df": commits_per_push(push, fact),
-        "user_type_week": user_activity_by_week(fact),
+        "user_type_week": user_activity_by_week(fact, types),
         "user_push_activity": push_activity_by_project(push, fact),
     }

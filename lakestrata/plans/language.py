@@ -1,7 +1,7 @@
 """Comment language: detection, labelling and the type × language report (SRC7, PL15-PL17).
 
-Detection is a Spark ML pipeline trained on labelled text — tokens of the whole text (words, or
-character trigrams), hashed term frequencies and multinomial naive Bayes — so fitting is one
+Detection is a Spark ML pipeline trained on labelled text — tokens of the whole text (character
+trigrams, or words), hashed term frequencies and multinomial naive Bayes — so fitting is one
 distributed aggregation and scoring is a per-row JVM transform (no Python in the hot path). A prediction whose top class
 probability is below ``threshold`` is ``Unknown``.
 """
@@ -70,20 +70,21 @@ def language_stats(event_languages: DataFrame, type_col: str = "type", lang_col:
         counts = counts.checkpoint(eager=True)
     grouped = counts.groupBy(type_col)
     pivoted = grouped.pivot(lang_col, list(languages)) if languages is not None else grouped.pivot(lang_col)
-    out = pivoted.agg(F.sum("__n")).fillna(0).orderBy(type_col)
+    out = pivoted.agg(F.sum("__n"))
+    out = out.fillna(0, subset=[c for c in out.columns if c != type_col]).orderBy(type_col)
     return out.drop("null") if drop_null else out
 
 
 TEXT = "__text"
 
 
-def detector_stages(label_col: str = "lang", analyzer: str = "words", num_features: int = 1 << 16,
+def detector_stages(label_col: str = "lang", analyzer: str = "chars", num_features: int = 1 << 16,
                       ngram: int = 3, smoothing: float = 1.0) -> Pipeline:
     """Unfitted pipeline on column ``__text``: tokens → hashed counts → naive Bayes over the indexed
     ``label_col``.
 
-    ``analyzer="words"`` uses lower-cased runs of letters (any script); ``analyzer="chars"`` uses
-    character ``ngram``-grams, more robust on very short or unusual words but about twice the work.
+    ``analyzer="chars"`` uses character ``ngram``-grams, which also work for scripts without spaces;
+    ``analyzer="words"`` uses lower-cased runs of letters, about half the work.
     """
     if analyzer == "words":
         features = [RegexTokenizer(inputCol=TEXT, outputCol="__tokens", pattern="[^\\p{L}]+", toLowercase=True)]
@@ -114,14 +115,27 @@ def detect_language(df: DataFrame, model: PipelineModel, text_col: str = "text",
                     out_col: str = "code") -> DataFrame:
     """Add ``out_col``: the predicted language code, ``Unknown`` below ``threshold`` confidence.
 
-    The whole text is scored. A null or empty text has nothing to judge and is ``Unknown``.
+    The confidence is the top class probability scaled so that an even guess among the classes is
+    0 and certainty is 1. The whole text is scored. A null text or one without a letter has nothing
+    to judge and is ``Unknown``.
     """
     labels = next(s for s in model.stages if isinstance(s, StringIndexerModel)).labels
     # score with the feature stages and the classifier only: the label indexer needs a label column
     scorer = PipelineModel([s for s in model.stages if not isinstance(s, StringIndexerModel)])
     scored = scorer.transform(spread_rows(df).withColumn(TEXT, F.coalesce(F.col(text_col), F.lit(""))))
     scored = IndexToString(inputCol="__prediction", outputCol="__code", labels=labels).transform(scored)
-    confidence = F.array_max(vector_to_array(F.col("__probability")))
-    unsure = (F.length(F.col(TEXT)) == 0) | (confidence < F.lit(threshold))
+    even = 1.0 / max(1, len(labels))
+    top = F.array_max(vector_to_array(F.col("__probability")))
+    confidence = (top - even) / (1.0 - even) if len(labels) > 1 else top
+    unsure = ~F.col(TEXT).rlike(r"\p{L}") | (confidence < F.lit(threshold))
     code = F.when(unsure, F.lit(UNKNOWN)).otherwise(F.col("__code"))
     return scored.select(*[F.col(f"`{c}`") for c in df.columns], code.alias(out_col))
+
+
+def save_detector(model: PipelineModel, path: str) -> None:
+    """Store a fitted detector (any Hadoop file system)."""
+    model.write().overwrite().save(path)
+
+
+def load_detector(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -11,12 +11,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAY = "day"
+# Bronze is partitioned by day and, below it, by the load that wrote the files (the batch job, or one
+# micro-batch of a stream), so every load can be redone without touching another one's rows.
+LOAD = "load"
 # Bronze files are ~128 MB; 32 MB row groups give each file several groups whose ``type`` min/max
 # (rows are sorted by type inside a file) let per-type scans skip most of the file.
 BRONZE_ROW_GROUP_BYTES = 32 * 1024 * 1024
@@ -25,7 +28,7 @@ BRONZE_ROW_GROUP_BYTES = 32 * 1024 * 1024
 def write_partitioned(
     df: DataFrame,
     path: str,
-    partition_by: str = DAY,
+    partition_by: str | Sequence[str] = DAY,
     mode: str = "overwrite",
     row_group_bytes: int | None = None,
 ) -> str:
@@ -34,7 +37,7 @@ def write_partitioned(
     ``row_group_bytes`` sets the Parquet row-group size (smaller groups give min/max statistics
     finer grain, so a filter on a column the rows are sorted by skips more of each file).
     """
-    writer = df.write.mode(mode).partitionBy(partition_by)
+    writer = df.write.mode(mode).partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if row_group_bytes is not None:
@@ -48,34 +51,6 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-_SLOT_KEYS: dict[tuple[str, int], list[int]] = {}
-
-
-def slot_keys(spark: SparkSession, partitions: int) -> list[int]:
-    """For every output partition ``j`` of ``repartition(partitions, <bigint column>)``, one bigint
-    key that lands in ``j``.
-
-    Found by asking Spark where candidate keys go (one small ``range`` shuffle; the (partition, key)
-    pairs collected are a few times ``partitions`` — bounded by the number of files planned), so
-    placement is exact without assuming anything about how the partitioner hashes. The mapping is
-    deterministic, so it is remembered per application and partition count.
-    """
-    cache_key = (spark.sparkContext.applicationId, partitions)
-    if cache_key in _SLOT_KEYS:
-        return _SLOT_KEYS[cache_key]
-    keys: list[int | None] = [None] * partitions
-    missing, start, batch = partitions, 0, max(64, partitions * 4)
-    while missing:
-        probe = spark.range(start, start + batch).repartition(partitions, "id")
-        for row in probe.select(F.spark_partition_id().alias("p"), "id").collect():
-            if keys[row.p] is None:
-                keys[row.p] = row.id
-                missing -= 1
-        start += batch
-    _SLOT_KEYS[cache_key] = keys  # type: ignore[assignment]
-    return keys  # type: ignore[return-value]
-
-
 def spread_by_day(
     df: DataFrame,
     files_per_day: int | Mapping[str, int],
@@ -86,16 +61,18 @@ def spread_by_day(
     """Partition rows so that each (day, bucket) pair is written by exactly one task.
 
     ``bucket = pmod(xxhash64(key), n_day)``. With a per-day plan ``{day: files}`` (from
-    ``plans.bronze.plan_layout``) every pair gets a partition of its own: pair ``offset[day] +
-    bucket`` is mapped to a key known to land in that partition (``slot_keys``), so no task writes
-    two pairs and none is left idle, and a day holding a large share of the data gets
-    proportionally more files and tasks. With one count for every day and only ``num_days`` known,
-    rows are hash-partitioned on (day, bucket) into ``num_days × files_per_day`` tasks — still at
-    most ``files_per_day`` files per day, but hash collisions can give a task several pairs.
-    Rows inside a file are sorted by day and ``cluster_by`` so Parquet row-group statistics let
+    ``plans.bronze.plan_layout``) the partition id of a row is ``offset[day] + bucket``, given to Spark
+    directly (``repartitionById``): no task writes two pairs of planned days, none is left idle, and a
+    day holding a large share of the data gets proportionally more files and tasks. The plan holds
+    two numbers for each day, whatever the number of files. A day the plan does not name (late data,
+    an unreadable date) is cut into as many buckets as the busiest planned day has files, each sent
+    to a partition chosen by hash of (day, bucket). With one count for every day and only
+    ``num_days`` known, rows are hash-partitioned on (day, bucket) into ``num_days × files_per_day``
+    tasks. Rows inside a file are sorted by day and ``cluster_by`` so Parquet row-group statistics let
     ``type = …`` scans skip most row groups.
     """
     key_col = F.col(key) if isinstance(key, str) else key
+    hashed = F.xxhash64(key_col)
     day = F.col(DAY).cast("string")
     if isinstance(files_per_day, Mapping):
         if not files_per_day or min(files_per_day.values()) < 1:
@@ -105,21 +82,19 @@ def spread_by_day(
         for d in days:
             offsets[d] = total
             total += files_per_day[d]
-        n_day = F.create_map(*[F.lit(x) for d in days for x in (d, files_per_day[d])])[day]
-        offset = F.create_map(*[F.lit(x) for d in days for x in (d, offsets[d])])[day]
-        slots = F.array(*[F.lit(k) for k in slot_keys(df.sparkSession, total)])
-        pair = offset + F.pmod(F.xxhash64(key_col), n_day.cast("long"))
-        # a day missing from the plan (late data) shares slots by hash: still one day per slot
-        placement = F.coalesce(
-            F.element_at(slots, (pair + 1).cast("int")),
-            F.pmod(F.xxhash64(day, key_col), F.lit(total)),
+        plan = F.create_map(
+            *[x for d in days for x in (F.lit(d), F.struct(F.lit(offsets[d]).alias("offset"), F.lit(files_per_day[d]).alias("n")))]
         )
-        spread = df.repartition(total, placement.cast("long"))
+        place = F.try_element_at(plan, F.coalesce(day, F.lit("")))
+        late = F.pmod(hashed, F.lit(max(files_per_day.values())))
+        target = F.when(
+            place.isNull(), F.pmod(F.xxhash64(F.coalesce(day, F.lit("")), late), F.lit(total))
+        ).otherwise(place["offset"] + F.pmod(hashed, place["n"].cast("long")))
+        spread = df.repartitionById(total, target.cast("int"))
     else:
         if files_per_day < 1 or not num_days or num_days < 1:
             raise ValueError("files_per_day and num_days must be positive")
-        bucket = F.pmod(F.xxhash64(key_col), F.lit(files_per_day))
-        spread = df.repartition(num_days * files_per_day, F.col(DAY), bucket)
+        spread = df.repartition(num_days * files_per_day, F.col(DAY), F.pmod(hashed, F.lit(files_per_day)))
     present = [c for c in cluster_by if c in df.columns]
     return spread.sortWithinPartitions(DAY, *present)
 
@@ -132,8 +107,9 @@ def write_bounded_by_day(
     key: str = "id",
     mode: str = "errorifexists",
     row_group_bytes: int = BRONZE_ROW_GROUP_BYTES,
+    load: str | None = None,
 ) -> str:
-    """Write ``df`` partitioned by ``day`` with a bounded number of files per day.
+    """Write ``df`` partitioned by ``day`` (and by ``load``, a name for this load, if given) with a bounded number of files per day.
 
     ``files_per_day`` is a count or a per-day plan. With a single count, ``num_days`` (the number of
     distinct days, known from the landing plan) sizes the shuffle; when not given it is counted
@@ -142,4 +118,6 @@ def write_bounded_by_day(
     if not isinstance(files_per_day, Mapping) and num_days is None:
         num_days = max(1, df.select(DAY).distinct().count())
     out = spread_by_day(df, files_per_day, num_days, key=key)
-    return write_partitioned(out, path, DAY, mode, row_group_bytes=row_group_bytes)
+    if load is None:
+        return write_partitioned(out, path, DAY, mode, row_group_bytes=row_group_bytes)
+    return write_partitioned(out.withColumn(LOAD, F.lit(load)), path, (DAY, LOAD), mode, row_group_bytes=row_group_bytes)

@@ -222,14 +222,17 @@ BRANCHES = ("master", "gh-pages", "dev")
 
 
 def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events ⟕ documents`` (on id) as archive-shaped bronze: push events whose commits are every
-    line of the matching document, comment events whose body is the whole document, watch events.
+    """``events ⟕ documents`` as archive-shaped bronze: push events whose commits are every line of the
+    matching document, comment events whose body is the whole document, watch events. The documents
+    are spread evenly over the events, and so over all their days: document ``d`` belongs to event
+    ``d × (events // documents)``.
 
     Same ``actor``/``repo``/``org`` structs as ``bronze_events``; ``type`` uses the archive names.
     """
     ev = table(spark, sf_dir, "events")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    base = ev.join(docs, ev["event_id"] == docs["doc_id"], "left").select(
+    step = max(1, ev.count() // max(1, docs.count()))
+    base = ev.join(docs, ev["event_id"] == docs["doc_id"] * step, "left").select(
         "event_id", "ts", "user_id", "event_type", props_k().alias("__k"), "text"
     )
     k = F.col("__k")
@@ -281,3 +284,24 @@ def event_days(spark: SparkSession, sf_dir: str) -> list[str]:
         return []
     first, last = row.lo.date(), row.hi.date()
     return [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
+def late_field_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bronze_events`` whose purchases carry one more payload field and an array, but only in the
+    last third of the days (from the 21st on): what a new version of the event source looks like."""
+    bronze = bronze_events(spark, sf_dir)
+    late = (F.col("type") == "purchase") & (F.substring("created_at", 9, 2) >= "21")
+    quantity = F.col("payload.quantity")
+    fields = [F.col("payload").getField(f).alias(f) for f in bronze.schema["payload"].dataType.fieldNames()]
+    tags = F.array(F.concat(F.lit("tag"), _txt(quantity % 7)), F.concat(F.lit("size"), _txt(quantity % 3)))
+    return bronze.withColumn(
+        "payload",
+        F.struct(*fields, F.when(late, quantity * 2).alias("bonus"), F.when(late, tags).alias("tags")),
+    )
+
+
+def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as an inventory of hourly landing files: ``name``, ``length`` (bytes of the props)."""
+    ev = table(spark, sf_dir, "events")
+    name = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("-"), _txt(F.hour("ts")), F.lit(".json.gz"))
+    return ev.groupBy(name.alias("name")).agg(F.sum(F.octet_length("props")).alias("length"))

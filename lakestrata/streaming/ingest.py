@@ -2,9 +2,10 @@
 
 The batch ingest (``plans.bronze.ingest_bronze``) loads a whole month at once. The same job as a
 stream picks up only the landing files it has not seen yet: the file source keeps the list of
-processed files in the checkpoint, and the Parquet file sink commits every micro-batch to its
-``_spark_metadata`` log, so a batch that failed half-way (a lost executor, a killed driver) is
-redone from the checkpoint without duplicates. ``availableNow`` processes the backlog in bounded
+processed files in the checkpoint, and every micro-batch is written by the batch writer as a load of
+its own (``load=<stream>-<batch id>`` below the day) with dynamic overwrite, so a batch that failed
+half-way (a lost executor, a killed driver) is redone from the checkpoint over its own files, without
+duplicates. Batch loads and streams share one bronze root. ``availableNow`` processes the backlog in bounded
 micro-batches and stops, which suits a scheduled run; a continuous trigger works the same way.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.functions.timefmt import add_day
-from lakestrata.sinks.parquet import DAY
+from lakestrata.sinks.parquet import DAY, LOAD, write_partitioned
 
 
 def landing_stream(
@@ -54,24 +55,25 @@ def start_bronze_stream(
     every (day, bucket) pair is written by one task, so a micro-batch adds at most
     ``files_per_batch_day`` files to each day whatever its size. The shuffle has ``partitions``
     tasks, by default ``files_per_batch_day × days_per_batch`` (AQE does not resize streaming
-    shuffles, so this is sized from the expected batch rather than the cluster's batch setting);
+    shuffles, so this is sized from the expected batch rather than the cluster's batch setting). Two
+    streams into one root need different ``query_name``s (they name the loads);
     bound the batch with ``maxFilesPerTrigger`` on the source (e.g. 24 hourly files per day).
     """
     bronze = events if DAY in events.columns else add_day(events, time_col)
     if partitions is None:
         partitions = max(1, files_per_batch_day * days_per_batch)
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_batch_day))
-    spread = bronze.repartition(partitions, F.col(DAY), bucket)
-    writer = (
-        spread.writeStream.format("parquet")
-        .partitionBy(DAY)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    name = query_name or "stream"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_batch_day))
+        spread = batch.repartition(partitions, F.col(DAY), bucket).withColumn(LOAD, F.lit(f"{name}-{batch_id}"))
+        write_partitioned(spread, dst, (DAY, LOAD))
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(dst)
+    return writer.start()
 
 
 def run_bronze_stream(events: DataFrame, dst: str, checkpoint: str, **kw) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from lakestrata.operators.arrays import array_columns, explode_array, split_arrays
 from lakestrata.operators.columns import all_null_columns, drop_all_null, drop_by_pattern, null_profile
-from lakestrata.operators.contract import conform, load_contract, save_contract
+from lakestrata.operators.contract import conform, load_contracts, save_contracts, widen
 from lakestrata.operators.flatten import flatten_all, flatten_once, has_struct, struct_children
 
 NESTED = T.StructType(
@@ -125,8 +125,16 @@ def test_conform_adds_drops_reorders_and_widens(spark, tmp_dir):
     assert out.first().asDict() == {"b": 1, "a": "x", "missing": None}
     assert conform(out, contract).collect() == out.collect()  # idempotent
     path = tmp_dir + "/contract"
-    save_contract(spark, contract, path)
-    assert load_contract(spark, path) == contract
+    save_contracts(spark, {"t": contract}, path)
+    assert load_contracts(spark, path) == {"t": contract} and load_contracts(spark, path + "-none") == {}
+
+
+def test_widen_appends_new_fields_by_name_at_any_depth():
+    old = T.StructType.fromDDL("a int, s struct<x:string>, l array<struct<p:int>>")
+    new = T.StructType.fromDDL("b string, s struct<y:int, x:string>, a bigint, l array<struct<q:string>>")
+    want = T.StructType.fromDDL("a bigint, s struct<x:string, y:int>, l array<struct<p:int, q:string>>, b string")
+    assert widen(old, new).simpleString() == want.simpleString()
+    assert widen(T.StructType.fromDDL("a string"), T.StructType.fromDDL("a int")).simpleString() == "struct<a:string>"
 
 
 def test_conform_rejects_string_where_int_is_due(spark):

@@ -67,3 +67,20 @@ def test_gather_comments_union_and_filter(spark):
     assert out.columns == ["id", "created_at", "type", "actor_login", "org_login", "comment"]
     got = sorted((r.id, r.comment) for r in out.collect())
     assert got == [("1", "first,second"), ("2", "again"), ("2", "hello")]
+
+
+def test_text_without_letters_and_even_guesses_are_unknown(spark):
+    train = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 5, "text string, lang string")
+    model = language.train_language_detector(train, "text", "lang")
+    probe = spark.createDataFrame([("n", "12345 67890"), ("p", "!!! ???"), ("z", "zzzz"), ("e", "the dog")], "k string, t string")
+    got = {r.k: r.code for r in language.detect_language(probe, model, "t").collect()}
+    assert got == {"n": "Unknown", "p": "Unknown", "z": "Unknown", "e": "en"}  # zzzz: nothing in favour of either
+
+
+def test_detector_works_for_scripts_without_spaces(spark):
+    zh = ["今天天气很好", "我们去公园玩", "他在学校学习", "这本书很有意思", "她喜欢吃水果", "我的朋友来了"]
+    ja = ["今日はとても暑いです", "彼は本を読んでいます", "私は日本語を話します", "これはペンです", "明日は雨が降ります", "電車で行きました"]
+    train = spark.createDataFrame([(t, "zh") for t in zh] + [(t, "ja") for t in ja], "text string, lang string")
+    model = language.train_language_detector(train, "text", "lang", ngram=2)
+    probe = spark.createDataFrame([("我们的学校很好",), ("私は電車で行きます",)], "t string")
+    assert [r.code for r in language.detect_language(probe, model, "t").collect()] == ["zh", "ja"]

@@ -56,14 +56,20 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle_or_is_documented():
     rows_only = LAKE_QUERIES - set(LAKE_SQL)
-    assert rows_only == {"detect_language", "language_report", "layout_plan"}
+    assert rows_only == {"detect_language", "language_report"}
 
 
 def test_rows_only_queries_run(spark):
-    for name in ("detect_language", "language_report", "layout_plan"):
+    for name in ("detect_language", "language_report"):
         assert entry.queries()[name](spark, SF_SMALL).count() > 0
 
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "hour" and df.count() > 0
+
+
+def test_language_detection_on_held_out_documents(spark):
+    got = entry.queries()["detect_language"](spark, SF_SMALL).where("held_out")
+    right = got.where("code = lang").count()
+    assert right >= 0.9 * got.count() > 0

@@ -79,7 +79,7 @@ def test_bronze_silver_gold(spark, landing, tmp_dir):
     day_dirs = [d for d in os.listdir(bronze_path) if d.startswith("day=")]
     assert len(day_dirs) == 30
     for d in day_dirs:
-        parts = [f for f in os.listdir(f"{bronze_path}/{d}") if f.endswith(".parquet")]
+        parts = [f for _, _, names in os.walk(f"{bronze_path}/{d}") for f in names if f.endswith(".parquet")]
         assert 1 <= len(parts) <= 2
     bronze = bronze_plan.read_bronze(spark, bronze_path)
     assert bronze.count() == len(rows)
@@ -226,7 +226,7 @@ def test_jobs_command_line(spark, landing, tmp_dir, capsys):
     assert spark.read.parquet(f"{tmp_dir}/bronze").count() >= len(rows)
     jobs.main([
         "silver", "--bronze", f"{tmp_dir}/bronze", "--silver", f"{tmp_dir}/silver",
-        "--contracts", f"{tmp_dir}/contracts", "--sample-day", "2024-01-02", "--types", ",".join(TYPES),
+        "--contracts", f"{tmp_dir}/contracts", "--types", ",".join(TYPES),
     ])
     written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert spark.read.parquet(written["main_df"]).count() >= len(rows)
@@ -274,3 +274,95 @@ def test_contracts_skip_types_missing_from_the_sample(spark, tmp_dir):
     # a table without a contract is profiled on the full data
     parent, _ = silver.build_event_tables(bronze, "signup", contracts)
     assert parent.columns == ["id", "created_at", "campaign", "day"]
+
+
+def _two_days(spark):
+    payload = "struct<push_id:bigint, forced:boolean, commits:array<struct<message:string>>>"
+    rows = [
+        ("1", "PushEvent", "2017-01-01T00:00:00Z", (1, None, None)),
+        ("2", "PushEvent", "2017-01-02T00:00:00Z", (2, True, [("m1",), ("m2",)])),
+    ]
+    df = spark.createDataFrame(rows, f"id string, type string, created_at string, payload {payload}")
+    return bronze_plan.to_bronze(df)
+
+
+def test_fields_and_arrays_of_late_days_are_kept(spark, tmp_dir):
+    bronze = _two_days(spark)
+    first = bronze.where("day = '2017-01-01'")
+    early = silver.ensure_contracts(spark, first, f"{tmp_dir}/c", event_types=["PushEvent"])
+    assert "forced" not in early["push_event_df"].fieldNames()
+    assert silver.dropped_columns(bronze, early, ["PushEvent"])["push_event_df"] == ["forced", "commits"]
+    # the stored contract is widened by the later load, and the child table appears
+    contracts = silver.ensure_contracts(spark, bronze, f"{tmp_dir}/c", event_types=["PushEvent"])
+    assert silver.dropped_columns(bronze, contracts, ["PushEvent"]) == {}
+    assert contracts["push_event_df"].fieldNames()[:3] == early["push_event_df"].fieldNames()
+    written = silver.build_silver(spark, bronze, contracts, f"{tmp_dir}/s", event_types=["PushEvent"])
+    commits = spark.read.parquet(written["push_event_df_commits_df"])
+    assert [r.message for r in commits.orderBy("pos").collect()] == ["m1", "m2"]
+    assert {r.id: r.forced for r in spark.read.parquet(written["push_event_df"]).collect()} == {"1": None, "2": True}
+
+
+def test_silver_files_per_day_are_bounded(spark, tmp_dir):
+    bronze = tv.bronze_events(spark, SF_SMALL).repartition(23)
+    profile = silver.profile_bronze(bronze)
+    assert sum(p["rows"] for p in profile) == bronze.count()
+    contracts = silver.ensure_contracts(spark, bronze, f"{tmp_dir}/c", event_types=TYPES, profile=profile)
+    written = silver.build_silver(spark, bronze, contracts, f"{tmp_dir}/s", event_types=TYPES, profile=profile, rows_per_file=20)
+    per_day = {}
+    for p in profile:
+        per_day[p["day"]] = per_day.get(p["day"], 0) + p["rows"]
+    for d, n in per_day.items():
+        files = [f for f in os.listdir(f"{written['main_df']}/day={d}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= -(-n // 20)
+
+
+def test_gold_without_some_event_types(spark, tmp_dir):
+    from lakestrata.plans.build_gold import build_gold
+
+    bronze = _two_days(spark).withColumns({
+        "actor": F.struct(F.lit(1).alias("id"), F.lit("u").alias("login"), F.lit("u").alias("display_login")),
+        "repo": F.struct(F.lit(7).cast("bigint").alias("id"), F.lit("o/p").alias("name")),
+        "org": F.struct(F.lit("g").alias("login")),
+    })
+    types = ("PushEvent", "CommitCommentEvent")
+    contracts = silver.ensure_contracts(spark, bronze, f"{tmp_dir}/c", event_types=types)
+    silver.build_silver(spark, bronze, contracts, f"{tmp_dir}/s", event_types=types)
+    with pytest.raises(ValueError, match="languages"):
+        build_gold(spark, f"{tmp_dir}/s", f"{tmp_dir}/g")
+    docs = tv.table(spark, SF_SMALL, "documents")
+    from lakestrata.plans import language
+
+    model = language.train_language_detector(docs, "text", "lang")
+    language.save_detector(model, f"{tmp_dir}/detector")
+    written = build_gold(spark, f"{tmp_dir}/s", f"{tmp_dir}/g", model=language.load_detector(f"{tmp_dir}/detector"))
+    assert len(written) == 7
+    assert spark.read.parquet(written["event_languages_df"]).count() == 1  # the push with commits
+    one_day = build_gold(spark, f"{tmp_dir}/s", f"{tmp_dir}/g1", languages=False, days=("2017-01-01", "2017-01-01"))
+    assert len(one_day) == 5 and spark.read.parquet(one_day["num_commits_df"]).count() == 1
+
+
+def test_stream_adds_to_a_batch_root(spark, tmp_dir):
+    src = f"{tmp_dir}/landing"
+    os.makedirs(src)
+    rows = [{"id": str(i), "type": "click", "created_at": f"2024-01-0{1 + i % 3}T00:00:00Z"} for i in range(107)]
+    schema = spark.createDataFrame(rows[:1]).select("id", "type", "created_at").schema
+    for name, part in (("a", rows[:100]), ("b", rows[100:])):
+        with open(f"{src}/2024-01-01-{name}.json", "w") as fh:
+            fh.write("\n".join(map(json.dumps, part)) + "\n")
+    bronze_plan.ingest_bronze(spark, f"{src}/2024-01-01-a.json", f"{tmp_dir}/bronze", 2, num_days=3, schema=schema)
+    stream = landing_stream(spark, src, schema, path_glob="*-b.json")
+    run_bronze_stream(stream, f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt", partitions=3)
+    back = bronze_plan.read_bronze(spark, f"{tmp_dir}/bronze")
+    assert sorted(int(r.id) for r in back.collect()) == list(range(107)) and "load" not in back.columns
+
+
+def test_malformed_lines_are_kept_and_counted(spark, tmp_dir):
+    src = f"{tmp_dir}/landing"
+    os.makedirs(src)
+    with open(f"{src}/2024-01-01-0.json", "w") as fh:
+        fh.write('{"id": "1", "type": "click", "created_at": "2024-01-01T00:00:00Z"}\n{"id": broken\n')
+    schema = spark.createDataFrame([("1", "t", "c")], "id string, type string, created_at string").schema
+    bronze_plan.ingest_bronze(spark, src, f"{tmp_dir}/bronze", {"2024-01-01": 1}, schema=schema)
+    bronze = bronze_plan.read_bronze(spark, f"{tmp_dir}/bronze")
+    assert bronze.count() == 2 and bronze_plan.corrupt_rows(bronze) == 1
+    assert bronze.where("day is null").first()[bronze_plan.CORRUPT].strip() == '{"id": broken'

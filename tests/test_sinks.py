@@ -111,3 +111,26 @@ def test_per_day_plan_places_each_pair_in_its_own_task(spark):
     )
     assert max(r.pairs for r in per_task) == 1
     assert len(per_task) == sum(plan.values())  # every task has exactly one pair: none idle
+
+
+def test_unplanned_and_null_days_are_split_over_tasks(spark):
+    planned = [("2024-01-%02d" % (1 + i % 30), str(i)) for i in range(600)]
+    late = [(d, f"{d}-{i}") for d in ("2024-02-01", "2024-02-02", None) for i in range(900)]
+    df = spark.createDataFrame(planned + late, "day string, id string")
+    plan = {f"2024-01-{d:02d}": 4 for d in range(1, 31)}
+    spread = spread_by_day(df, plan)
+    assert spread.rdd.getNumPartitions() == 120
+    tasks = spread.select("day", F.spark_partition_id().alias("p")).distinct().groupBy("day").count().collect()
+    assert all(2 <= r["count"] <= 4 for r in tasks if r.day not in plan)
+    # the plan's size follows the days, not the files
+    small = spread._jdf.queryExecution().optimizedPlan().toString()
+    large = spread_by_day(df, {d: 4000 for d in plan})._jdf.queryExecution().optimizedPlan().toString()
+    assert len(large) < 2 * len(small)
+
+
+def test_pivot_fills_only_its_own_columns(spark):
+    from lakestrata.operators.aggregates import pivot_count
+
+    df = spark.createDataFrame([(None, "a"), (0, "b"), (0, "a")], "g int, t string")
+    got = {r.g: (r.a, r.b) for r in pivot_count(df, ["g"], "t", fill_zero=True).collect()}
+    assert got == {None: (1, 0), 0: (1, 1)}
