@@ -1,4 +1,4 @@
-"""Landing → bronze (SRC1-SRC3, SNK5, PL1, PL18).
+"""Landing → bronze (SNK5, PL1, PL18); the landing readers are in ``sources.landing``.
 
 ``list_landing`` reads only file metadata (never the bytes), ``plan_layout`` turns the per-day byte
 totals into a files-per-day plan inside Spark (one small aggregate), and ``ingest_bronze`` writes
@@ -16,41 +16,17 @@ from pyspark.sql import types as T
 from lakestrata.functions.timefmt import add_day
 from lakestrata.operators.aggregates import distinct_values
 from lakestrata.sinks.parquet import LOAD, write_bounded_by_day
+from lakestrata.sources.landing import CORRUPT, list_landing, parse_landing_names, read_events_json
 
 # Fixed sizing rules of the bronze layout.
 PARQUET_TO_JSON_RATIO = 2.0  # Parquet bytes ≈ 2 × compressed JSON bytes
 TARGET_FILE_BYTES = 128_000_000  # aim: files of about 128 MB
 MAX_FILE_BYTES = 400_000_000  # never more than 400 MB per file
 
-BATCH_LOAD = "batch"
-CORRUPT = "_corrupt_record"
-
-# Hourly landing file names: ``2017-01-01-0.json.gz`` … ``2017-01-01-23.json.gz``.
-LANDING_NAME = r"^(\d{4})-(\d{2})-(\d{2})-(\d{1,2})\."
-
-
-def list_landing(spark: SparkSession, src: str) -> DataFrame:
-    """``path, name, length, modificationTime`` of every file under ``src`` (metadata only)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(src)
-        .select("path", "length", "modificationTime")
-    )
-    return files.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+__all__ = ["CORRUPT", "list_landing", "parse_landing_names", "read_events_json"]  # readers, for callers of this module
 
+BATCH_LOAD = "batch"
 
-def parse_landing_names(files: DataFrame, name_col: str = "name") -> DataFrame:
-    """Add int ``year, month, day, hour`` parsed from hourly file names; drop name and mtime.
-
-    One- and two-digit hours both parse; a name that does not match gets nulls.
-    """
-    parts = {
-        field: F.regexp_extract(F.col(name_col), LANDING_NAME, i + 1).try_cast("int")
-        for i, field in enumerate(("year", "month", "day", "hour"))
-    }
-    out = files.withColumns(parts).drop(name_col, "modificationTime")
-    return out.orderBy("year", "month", "day", "hour")
 
 
 def day_sizes(files: DataFrame) -> DataFrame:
@@ -126,24 +102,6 @@ def json_day_sizes(events: DataFrame, time_col: str = "created_at") -> DataFrame
     )
 
 
-def read_events_json(spark: SparkSession, src: str, schema: T.StructType | None = None,
-                     sampling_ratio: float | None = None, corrupt_col: str | None = None) -> DataFrame:
-    """The landing JSON. Pass the bronze ``schema`` when known: inference is a full extra pass (over
-    ``sampling_ratio`` of the rows if given).
-
-    With ``corrupt_col`` and a schema, a line that is not valid JSON keeps its text in that column
-    (null for good lines) instead of becoming an unexplained all-null row."""
-    reader = spark.read
-    if schema is not None:
-        if corrupt_col is not None:
-            schema = T.StructType([f for f in schema.fields if f.name != corrupt_col]).add(corrupt_col, T.StringType())
-            reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-        reader = reader.schema(schema)
-    elif sampling_ratio is not None:
-        reader = reader.option("samplingRatio", str(sampling_ratio))
-    return reader.json(src)
-
-
 def to_bronze(events: DataFrame, time_col: str = "created_at") -> DataFrame:
     """Bronze rows: the events plus their partition key ``day``."""
     return add_day(events, time_col)

@@ -1 +1 @@
-"""Readers: landing listing, bronze/silver Parquet tables, contracts, the driver's test tables."""
+"""Readers: the landing archive of hourly JSON files."""

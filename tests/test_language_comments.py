@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
 from lakestrata.plans import comments, language
-from lakestrata.sources import testdata as tv
+import example_views as tv
 
 
 def test_lookup_is_fixed_44_rows(spark):

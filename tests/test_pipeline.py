@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from lakestrata.plans import bronze as bronze_plan
 from lakestrata.plans import gold, silver
 from lakestrata.sinks.parquet import write_partitioned
-from lakestrata.sources import testdata as tv
+import example_views as tv
 from lakestrata.streaming.ingest import landing_stream, run_bronze_stream
 
 TYPES = ("click", "error", "purchase", "signup", "view")

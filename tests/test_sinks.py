@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE, SF_SMALL
 from lakestrata.sinks.parquet import spread_by_day, write_bounded_by_day, write_partitioned
-from lakestrata.sources import testdata as tv
+import example_views as tv
 
 
 def _files_per_day(path):
