@@ -12,15 +12,16 @@ point, so two signatures agree in a slot with the probability of the weighted Ja
 Points are made in order of time and a process ends once its time is beyond every slot.
 
 Links: equal texts collapse to one node. Nodes that share a band's ``rows`` values meet in a bucket;
-32 bands of 4 rows miss a pair of similarity 0.8 with probability 5e-8. A bucket is never expanded
-into all its pairs: every member is compared with the bucket's first node. Members not linked to it
-go on to further rounds as long as they belong to different components: there up to ``PIVOTS``
-members of the bucket's rarest components are compared with the members of other components (all
-of them in buckets of at most ``SMALL`` members left over). A member
-that failed with the first node but has similarity of at least 0.6 to it could still be linked to a
-node linked with the first one (the similarity's distance is a metric, so less cannot); those few
-pairs are compared too when their components still differ. So no link between texts that share a
-bucket is lost, whatever the bucket's size.
+40 bands of 5 rows miss a pair of similarity 0.8 with probability 1e-7. A bucket is never expanded into
+all its pairs: every member is compared with the bucket's most central node. Members that are not
+linked to it, in buckets where these belong to different components, are compared with each other;
+and a member that failed with a node but may have similarity of at least 0.6 to it is compared with
+the nodes linked to that one (the similarity's distance is a metric, so farther ones cannot be linked
+to them). Two filters inside the joins rule out pairs before their texts are fetched. Exactly: shingles
+that stand in no other text are never shared, which bounds the overlap of any pair from both sides
+(an edited copy's edits are mostly its own, so copies too far from each other go here). And by one
+hashed bit of every slot: a linked pair differs in more slots than allowed with probability below
+1e-5. What remains is decided by the overlap of the texts, so no link between texts that share a bucket is lost otherwise.
 
 Everything is joins and partially aggregated groups in Spark; signatures and compared pairs are
 written tables in the shared scratch folder, components use alternating stars with checkpoints.
@@ -35,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import doc_columns, fresh, prepare, read, text_column, text_map
@@ -43,9 +44,11 @@ from lakestrata.session import checkpoint_root, scratch_dir
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 4
-SMALL = 12  # a mixed bucket of so many members left over is compared in full
-PIVOTS = 8
+BANDS, ROWS = 40, 5
+WORDS = 4  # 64-bit words of one-bit slots, for up to 256 slots
+BITS = tuple(f"w{i}" for i in range(WORDS))
+CARRY = (*BITS, "n", "own")  # what members carry into the joins
+SPREAD = 5.0  # standard errors of the bit estimate
 
 # Word bytes as in benchmark decontamination: A-Z lowered, digits, a-z and non-ASCII kept, the rest separates.
 _TABLE = bytes(
@@ -155,19 +158,78 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return h.view(np.int64)
 
 
+def one_bit_slots(sig: np.ndarray) -> np.ndarray:
+    """(documents x WORDS) signed 64-bit words with one hashed bit a slot."""
+    bits = (_mix(sig) & _U(1)).astype(np.uint8)
+    full = np.zeros((len(sig), 64 * WORDS), np.uint8)
+    full[:, : bits.shape[1]] = bits
+    return np.packbits(full, axis=1).view(np.int64)
+
+
 def _bands_map(bands: int, rows: int):
     def factory():
         def run(texts):
-            out = []
+            keys, bits = [], []
             for i in range(0, len(texts), 200):
                 bags = [shingle_counts(t) for t in texts[i : i + 200]]
-                keys = band_keys(signatures(bags, bands * rows), bands, rows)
-                out += [k if len(bag[0]) else [] for k, bag in zip(keys.tolist(), bags, strict=True)]
-            return pa.array(out, pa.list_(pa.int64()))
+                sig = signatures(bags, bands * rows)
+                keys += [k if len(bag[0]) else [] for k, bag in zip(band_keys(sig, bands, rows).tolist(), bags, strict=True)]
+                bits.append(one_bit_slots(sig))
+            words = np.concatenate(bits) if bits else np.empty((0, WORDS), np.int64)
+            return pa.StructArray.from_arrays(
+                [pa.array(keys, pa.list_(pa.int64())), *[pa.array(words[:, j], pa.int64()) for j in range(WORDS)]],
+                names=["bands", *BITS],
+            )
+
+        return run
+
+    return text_map("bands array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS), factory)
+
+
+def _differ(x: str, y: str):
+    """In how many one-bit slots two nodes differ; ``x`` and ``y`` prefix their words' names."""
+    return sum((F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in BITS[1:]), F.bit_count(F.col(x + BITS[0]).bitwiseXOR(F.col(y + BITS[0]))))
+
+
+def _bag_map():
+    """Number of shingles of a text, and its distinct shingles with their counts."""
+
+    def factory():
+        def run(texts):
+            bags = [shingle_counts(t) for t in texts]
+            return pa.StructArray.from_arrays(
+                [
+                    pa.array([int(c.sum()) for _, c in bags], pa.int64()),
+                    pa.array([h.view(np.int64).tolist() for h, _ in bags], pa.list_(pa.int64())),
+                    pa.array([c.tolist() for _, c in bags], pa.list_(pa.int32())),
+                ],
+                names=["n", "h", "c"],
+            )
 
         return run
 
-    return text_map("array<bigint>", factory)
+    return text_map("n bigint, h array<bigint>, c array<int>", factory)
+
+
+def node_sizes(texts: DataFrame) -> DataFrame:
+    """(node, n, own): shingles of each text, and how many of them stand in no other text."""
+    bags = _materialise(texts.select("node", _bag_map()(F.col("text")).alias("bag")), "near-dup-bags")
+    each = bags.select("node", F.explode(F.arrays_zip(F.col("bag.h").alias("h"), F.col("bag.c").alias("c"))).alias("e"))
+    alone = (
+        each.groupBy("e.h")
+        .agg(F.count("*").alias("k"), F.min("node").alias("node"), F.min("e.c").alias("c"))
+        .where("k = 1")
+        .groupBy("node")
+        .agg(F.sum("c").alias("own"))
+    )
+    return bags.select("node", "bag.n").join(alone, "node", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("bigint")))
+
+
+def _may_reach(x: str, y: str, threshold: float):
+    """Whether two nodes can have the similarity at all: shingles of their own are never shared, so
+    the overlap is at most what either has besides them."""
+    most = F.least(F.col(x + "n") - F.col(x + "own"), F.col(y + "n") - F.col(y + "own"))
+    return most >= (threshold - 1e-9) * (F.col(x + "n") + F.col(y + "n") - most)
 
 
 def _similarity():
@@ -222,65 +284,70 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their similarity; ``texts``: one row for each node."""
+    """``pairs`` (a, b) with ``sim``, the overlap of their texts, as a written table."""
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", _similarity()(F.col("ta"), F.col("tb")).alias("sim"))
-
-
-def link_nodes(members: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Compared pairs (a, b, sim) that connect the nodes of every bucket (key, node), and the
-    components (node, comp) of the linked ones."""
-    firsts = members.groupBy("key").agg(F.min("node").alias("first"))
-    stars = members.join(firsts, "key").where("node <> first")
-    pairs = stars.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    compared = _materialise(_compare(pairs, texts), "near-dup-compared")
-    comps = components(_links(compared, threshold))
-    linked = _links(compared, threshold).select(F.col("a").alias("node"), F.col("b").alias("first"))
-    left = stars.join(linked, ["node", "first"], "left_anti").select("key", "node")
-    while True:
-        # buckets whose members left over are in one component have nothing more to tell
-        placed = left.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-        left = _materialise(placed.join(mixed.where("lo <> hi").select("key", "n"), "key"), "near-dup-left")
-        if left.isEmpty():
-            return compared, comps
-        # pivots: the members of the bucket's rarest components, all members of a small bucket
-        rare = left.withColumn("same", F.count("*").over(Window.partitionBy("key", "comp")))
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("same", "comp", "node"))
-        pivots = rare.withColumn("rank", rank).where((F.col("rank") <= PIVOTS) | (F.col("n") <= SMALL))
-        pivots = pivots.select("key", F.col("node").alias("p"), F.col("comp").alias("pc"))
-        met = left.join(pivots, "key").where("comp <> pc and node <> p")
-        pairs = met.select(F.greatest("node", "p").alias("a"), F.least("node", "p").alias("b")).distinct()
-        done = compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        found = _materialise(_compare(pairs.join(done, ["a", "b"], "left_anti"), texts), "near-dup-compared")
-        compared = compared.union(found)
-        if not found.where(F.col("sim") >= threshold).isEmpty():
-            comps = components(_links(compared, threshold))
-        left = left.where(F.col("n") > SMALL).join(
-            pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti"
-        ).select("key", "node")
+    return _materialise(both.select("a", "b", _similarity()(F.col("ta"), F.col("tb")).alias("sim")), "near-dup-compared")
 
 
 def _links(compared: DataFrame, threshold: float) -> DataFrame:
     return compared.where(F.col("sim") >= threshold).select("a", "b")
 
 
-def _grey_pairs(compared: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (x, y) still to compare: y is linked to p, x is not but near enough, and x and y are apart."""
-    d = F.lit(1.0) - F.col("sim")
-    comp = lambda col, name: comps.select(F.col("node").alias(col), F.col("comp").alias(name))
-    reach = 1.0 - 2 * (1.0 - threshold)
-    both = compared.select("a", "b", d.alias("d")).union(compared.select(F.col("b"), F.col("a"), d.alias("d")))
-    grey = both.where((F.col("d") > 1 - threshold + 1e-12) & (F.col("d") <= 1 - reach + 1e-12))
-    grey = grey.join(comp("a", "ca"), "a", "left").join(comp("b", "cb"), "b", "left")
-    grey = grey.withColumns({"ca": F.coalesce("ca", "a"), "cb": F.coalesce("cb", "b")}).where("ca <> cb")
-    grey = grey.select(F.col("a").alias("x"), F.col("b").alias("p"), F.col("d").alias("dx")).distinct()
-    linked = both.where(F.col("d") <= 1 - threshold).select(F.col("a").alias("y"), F.col("b").alias("p"), F.col("d").alias("dy")).distinct()
-    pairs = grey.join(linked, "p").where(F.col("dy") >= F.col("dx") - (1 - threshold) - 1e-12).where("x <> y")
-    pairs = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    done = compared.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+def _placed(df: DataFrame, comps: DataFrame, node: str, out: str) -> DataFrame:
+    """``df`` with the component of ``node`` (the node itself if it has no link)."""
+    named = comps.select(F.col("node").alias(node), F.col("comp").alias(out))
+    return df.join(named, node, "left").withColumn(out, F.coalesce(out, node))
+
+
+def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
+
+
+def link_nodes(members: DataFrame, texts: DataFrame, threshold: float, slots: int) -> DataFrame:
+    """Components (node, comp) of the linked nodes; ``members``: key, node and CARRY."""
+    # slots in which a linked pair can differ at most, and a pair near enough to pass a link on
+    far = int(slots * (1 - threshold) / 2 + SPREAD * (slots * (1 - threshold) / 2 * (1 + threshold) / 2) ** 0.5)
+    least = 2 * threshold - 1
+    grey_far = int(slots * (1 - least) / 2 + (SPREAD - 1) * (slots * (1 - least) / 2 * (1 + least) / 2) ** 0.5)
+
+    # every member against its bucket's most central node: the one that meets most others in all buckets
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    met = members.select("key", "node").join(sizes, "key").groupBy("node").agg(F.sum("n").alias("central"))
+    first = F.max(F.struct("central", "node", *CARRY)).alias("r")
+    firsts = members.join(met, "node").groupBy("key").agg(first).select("key", F.col("r.node").alias("p_node"), *[F.col(f"r.{b}").alias("p_" + b) for b in CARRY])
+    stars = members.join(firsts, "key").where("node <> p_node").withColumn("differ", _differ("", "p_"))
+    stars = _materialise(stars, "near-dup-stars")
+    pairs = stars.where((F.col("differ") <= far) & _may_reach("", "p_", threshold)).select(F.col("node").alias("a"), F.col("p_node").alias("b")).distinct()
+    compared = _compare(pairs, texts)
+    comps = components(_links(compared, threshold))
+    linked = _links(compared, threshold).select(F.col("a").alias("node"), F.col("b").alias("p_node"))
+
+    # members left over, in buckets that still mix components, against each other: the bits are compared
+    # inside the join, so only pairs that may be linked come out of it
+    left = stars.join(linked, ["node", "p_node"], "left_anti").select("key", "node", *CARRY)
+    left = _placed(left, comps, "node", "comp")
+    mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    left = _materialise(left.join(mixed, "key"), "near-dup-left")
+    l, r = _prefixed(left, "l_"), _prefixed(left, "r_")  # noqa: E741
+    near = (F.col("l_key") == F.col("r_key")) & (F.col("l_node") > F.col("r_node")) & (F.col("l_comp") != F.col("r_comp")) & (_differ("l_", "r_") <= far) & _may_reach("l_", "r_", threshold)
+    pairs = l.join(r, near).select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
+    found = _compare(pairs, texts)
+    compared = compared.union(found)
+    if not _links(found, threshold).isEmpty():
+        comps = components(_links(compared, threshold))
+
+    # x was near its bucket's first node p without a link; y is linked to p: the two may still be linked
+    grey = stars.where((F.col("differ") <= grey_far) & _may_reach("", "p_", least)).join(linked, ["node", "p_node"], "left_anti")
+    grey = _placed(grey.select("node", "p_node", *CARRY).distinct(), comps, "node", "comp")
+    friend = stars.join(linked, ["node", "p_node"], "left_semi").select("node", "p_node", *CARRY).distinct()
+    x, y = _prefixed(grey, "x_", ("p_node",)), _prefixed(_placed(friend, comps, "node", "comp"), "y_")
+    near = (F.col("p_node") == F.col("y_p_node")) & (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") != F.col("y_node")) & (_differ("x_", "y_") <= far) & _may_reach("x_", "y_", threshold)
+    pairs = x.join(y, near).select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
+    found = _compare(pairs, texts)
+    if not _links(found, threshold).isEmpty():
+        comps = components(_links(compared.union(found), threshold))
+    return comps
 
 
 def near_duplicates(
@@ -293,20 +360,20 @@ def near_duplicates(
     base = docs.select(F.col(f"`{key}`").alias("key"), text_column(docs, text_col).alias("text")).withColumn(
         "node", F.xxhash64("text")
     )
-    sig = _materialise(base.select("key", "node", _bands_map(bands, rows)(F.col("text")).alias("bands")), "near-dup-bands")
+    made = base.select("key", "node", _bands_map(bands, rows)(F.col("text")).alias("s"))
+    sig = _materialise(made.select("key", "node", "s.*"), "near-dup-signatures")
     nodes = sig.groupBy("node").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
-    put = sig.select(F.explode("bands").alias("key"), "node")
+    put = sig.select(F.explode("bands").alias("key"), "node", *BITS)
     shared = put.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    # equal texts have equal rows here, so one row stays of each bucket and node
     members = _materialise(put.join(shared, "key").distinct(), "near-dup-members")
     involved = members.select("node").distinct()
     texts = _materialise(
-        base.groupBy("node").agg(F.first("text").alias("text")).join(involved, "node"), "near-dup-texts"
+        base.select("node", "text").join(involved, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")),
+        "near-dup-texts",
     )
-    compared, comps = link_nodes(members, texts, threshold)
-    grey = _materialise(_grey_pairs(compared, comps, threshold), "near-dup-grey")
-    if not grey.isEmpty():
-        more = _materialise(_compare(grey, texts), "near-dup-compared")
-        comps = components(_links(compared.union(more), threshold))
+    members = _materialise(members.join(node_sizes(texts), "node"), "near-dup-members")
+    comps = link_nodes(members, texts, threshold, bands * rows)
     placed = nodes.join(comps, "node", "left").withColumn("class_node", F.coalesce("comp", "node"))
     heads = placed.groupBy("class_node").agg(F.min("least").alias("class_id"))
     placed = placed.join(heads, "class_node").select("node", "class_node", "class_id", "copies")
