@@ -6,7 +6,9 @@ a closed syncmer, and so an anchor, when its least inner s-mer is the first or t
 a k-mer is chosen depends on the k-mer alone, so anchors outside an edit stay, and the fingerprint
 lists them in text order for matching by position. A text of fewer than ``K`` pieces has one anchor,
 all its pieces. Texts of at most ``FINE_CHARS`` code points, for which pieces are too coarse, add the
-closed syncmers of their single code points (``K_FINE``, ``S``). The likeness of two fingerprints is the weighted Jaccard similarity of their anchors.
+closed syncmers of their single code points (``K_FINE``, ``S``). The likeness of two texts is the
+weighted Jaccard similarity of their anchors: of both kinds if both texts are short, else of the piece
+anchors, which every text has, so like is compared with like on both sides of the border.
 
 The next document in key order is found without one sorted stream: keys are cut into at most
 ``MAX_RANGES`` ranges at approximate quantiles, each range is one window group, and every range gets
@@ -40,11 +42,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def anchors(text: Column) -> Column:
-    """32-bit hashes of the anchors of ``text`` (array<int>): pieces first, then code points if short."""
+def marks(text: Column) -> Column:
+    """Anchors of ``text`` as (coarse, fine): of its pieces, and of its code points, null if it is not short."""
     coarse = closed_syncmers(F.regexp_extract_all(text, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)), K, S)
     fine = closed_syncmers(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), K_FINE, S)
-    return F.when(F.length(text) <= FINE_CHARS, F.concat(coarse, fine)).otherwise(coarse)
+    return F.struct(coarse.alias("coarse"), F.when(F.length(text) <= FINE_CHARS, fine).alias("fine"))
+
+
+def listed(m: Column) -> Column:
+    """All anchors of ``marks`` (array<int>): pieces first, then code points if short."""
+    return F.when(m["fine"].isNull(), m["coarse"]).otherwise(F.concat(m["coarse"], m["fine"]))
+
+
+def anchors(text: Column) -> Column:
+    """32-bit hashes of the anchors of ``text`` (array<int>)."""
+    return let(marks(text), listed)
+
+
+def alike(a: Column, b: Column) -> Column:
+    """Likeness of two texts by their ``marks``, by the kinds of anchors that both have."""
+    short_ = a["fine"].isNotNull() & b["fine"].isNotNull()
+    pick = lambda m: F.when(short_, listed(m)).otherwise(m["coarse"])
+    return let(F.struct(pick(a).alias("a"), pick(b).alias("b")), lambda x: likeness(x["a"], x["b"]))
 
 
 def closed_syncmers(pieces: Column, k: int, s: int) -> Column:
@@ -151,22 +170,22 @@ def compare_with_edit(docs: DataFrame, *, key: str = "doc_id", text_col: str = "
     """Per document: ``key``, ``n_chars``, ``edited`` (its last quarter replaced by the start of the next
     document), both fingerprints as arrays, ``near_edited`` and ``near_next``."""
     base = docs.select(F.col(f"`{key}`").alias("key"), text_column(docs, text_col).alias("text"))
-    base = base.withColumn("hash", F.xxhash64("text")).withColumn("marks", anchors(F.col("text")))
+    base = base.withColumn("hash", F.xxhash64("text")).withColumn("marks", marks(F.col("text")))
     led = with_next(base, key="key", carry=["text", "marks"], hash_col="hash", prefix="next_")
     n = F.length("text").cast("bigint")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), n.cast("int") - quarter), F.substring("next_text", F.lit(1), quarter)
     )
-    done = led.withColumn("edited", edited).withColumn("edited_marks", anchors(F.col("edited")))
+    done = led.withColumn("edited", edited).withColumn("edited_marks", marks(F.col("edited")))
     return done.select(
         F.col("key").alias(key),
         n.alias("n_chars"),
         "edited",
-        F.col("marks").alias("fingerprint"),
-        F.col("edited_marks").alias("edited_fingerprint"),
-        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
+        listed(F.col("marks")).alias("fingerprint"),
+        listed(F.col("edited_marks")).alias("edited_fingerprint"),
+        alike(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
+        alike(F.col("marks"), F.col("next_marks")).alias("near_next"),
     )
 
 

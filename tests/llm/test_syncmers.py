@@ -49,6 +49,15 @@ def test_edited_text_next_document_and_likeness(corpus, monkeypatch):
     assert 0.5 < sum(r.near_edited for r in got.values()) / len(got) < 0.75
 
 
+def test_likeness_across_the_border_of_short_texts(corpus):
+    words = " ".join(f"w{i * 7919 % 1000:03d}" for i in range(130))
+    rows = [(1, words[:520]), (2, words[:510]), (3, words[5:605]), (4, "twenty other letters")]
+    got = {r.doc_id: r for r in sy.compare_with_edit(corpus.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1].near_next > 0.85 and got[2].near_next > 0.6  # 520 against 510, 510 against 600
+    assert len(got[3].edited) == 470 and got[3].near_edited > 0.5 and got[3].near_next == 0
+    assert len(got[1].fingerprint) < 60 < 200 < len(got[2].fingerprint)
+
+
 def test_odd_rows(corpus, odd_docs, no_docs):
     got = sy.compare_with_edit(odd_docs).collect()
     assert len(got) == 9
