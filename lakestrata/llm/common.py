@@ -97,6 +97,24 @@ def structs(fields: dict[str, tuple[list, pa.DataType]]) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(v, t) for v, t in fields.values()], names=list(fields))
 
 
+# Word bytes: A-Z lowered; a-z, digits and all bytes of non-ASCII characters kept; the rest separates.
+WORD_BYTES = bytes(
+    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
+)
+
+
+def word_lists(text: str | None, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a whole text, in order, a list for about every ``piece`` bytes: a very long text is
+    never held as one list of words."""
+    data = (text or "").encode("utf-8").translate(WORD_BYTES)
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + piece)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
 def doc_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     """``df`` cut back to the columns of ``like``, in their order."""
     return df.select(*[F.col(f"`{c}`") for c in like.columns])

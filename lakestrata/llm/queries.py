@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from lakestrata.llm import bpe, decontaminate, html_wrappers, katz, language_id, near_dup, pii, secrets, syncmers, toxicity
+from lakestrata.llm import (
+    ball_tree,
+    bpe,
+    decontaminate,
+    html_wrappers,
+    importance,
+    katz,
+    language_id,
+    near_dup,
+    packing,
+    pii,
+    secrets,
+    syncmers,
+    toxicity,
+)
 
 
 def queries() -> dict:
@@ -17,8 +31,15 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe": bpe.op9_bpe,
         "op10_near_dup": near_dup.op10_near_dup,
+        "op11_search": ball_tree.op11_search,
+        "op12_resample": importance.op12_resample,
+        "op13_packing": packing.op13_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": decontaminate.ORACLE}
+    return {
+        "op6_decontaminate": decontaminate.ORACLE,
+        "op11_search": ball_tree.ORACLE,
+        "op12_resample": importance.ORACLE,
+    }
