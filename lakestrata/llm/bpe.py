@@ -16,6 +16,8 @@ text are encoded as the library does; repeated rows give equal results; long tex
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,19 +27,20 @@ from lakestrata.llm.common import fresh, text_column, text_map
 
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_BITS = 9  # about 2**9 bytes a chunk
-WORD_CACHE = 120_000
-CHUNK_CACHE = 6_000
+WORD_CACHE = 24 << 20  # bytes of entries in half of the word cache, and of the chunk cache
+CHUNK_CACHE = 12 << 20
+ENTRY = 300  # bytes that an entry's objects take besides their characters
 _STOPS = frozenset(b".,")
 _LETTERS = frozenset(range(97, 123))
 _DDL = "n_tokens bigint, ids string, decoded string"
 
 
 class Cache:
-    """A bounded map: when the young half is full it becomes the old half, whose entries are
-    dropped unless they were used again."""
+    """A map bounded in bytes: when the young half is full it becomes the old half, whose entries are
+    dropped unless they were used again. ``size`` gives an entry's characters."""
 
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+    def __init__(self, limit: int, size):
+        self.limit, self.size, self.held, self.young, self.old = limit, size, 0, {}, {}
 
     def get(self, key):
         value = self.young.get(key)
@@ -48,9 +51,10 @@ class Cache:
         return value
 
     def put(self, key, value) -> None:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
+        if self.held >= self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
         self.young[key] = value
+        self.held += ENTRY + len(key) + self.size(value)
 
 
 def cut_points(data: bytes, bits: int = CHUNK_BITS) -> list[int]:
@@ -76,14 +80,36 @@ def cut_points(data: bytes, bits: int = CHUNK_BITS) -> list[int]:
     return [*ends.tolist(), n]
 
 
+# The splitter whose pieces hold no white space, and part full stops and commas from letters (fixed value).
+_SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def check_tokenizer(spec: dict) -> bool:
+    """Whether the tokenizer lowers its text; raises if chunks could not be joined exactly under it."""
+    normalizer = spec.get("normalizer") or {}
+    steps = normalizer.get("normalizers", [normalizer] if normalizer else [])
+    blank = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    if any(n.get("type") not in ("NFC", "Lowercase") and n != blank for n in steps):
+        raise ValueError("the tokenizer's normalizer is not one of NFC, white space and lower case")
+    split = spec.get("pre_tokenizer") or {}
+    parts = split.get("pretokenizers", [split])
+    first = parts[0]
+    cuts = first.get("type") == "Split" and first.get("pattern") == {"Regex": _SPLITTER} and first.get("invert") and first.get("behavior") == "Removed"
+    plain = [p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex") for p in parts[1:]]
+    if not cuts or not all(plain) or spec.get("decoder") or any("<|" not in t["content"] for t in spec.get("added_tokens", [])):
+        raise ValueError("the tokenizer does not drop white space between its pieces; its texts cannot be joined from chunks")
+    return any(n.get("type") == "Lowercase" for n in steps)
+
+
 class ChunkCoder:
-    def __init__(self, path: str, bits: int = CHUNK_BITS, words: int = WORD_CACHE, chunks: int = CHUNK_CACHE):
-        from tokenizers import Tokenizer
+    """Encodes texts chunk by chunk; the caches hold chunks and words and live as long as the coder."""
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.bits, self.words, self.chunks = bits, Cache(words), Cache(chunks)
+    def __init__(self, path: str, bits: int = CHUNK_BITS, words: int = WORD_CACHE, chunks: int = CHUNK_CACHE):
+        self.tok = _tokenizer(path)
+        self.lowers = check_tokenizer(json.loads(self.tok.to_str()))
+        self.bits = bits
+        self.words = Cache(words, lambda pair: len(pair[0]) + len(pair[1]))
+        self.chunks = Cache(chunks, lambda e: sum(len(x) for x in e if x))
         self.encoded = 0  # chunks encoded, not found
         size = max(self.tok.get_vocab(with_added_tokens=True).values()) + 1
         self.number = [str(i) for i in range(size)]
@@ -113,7 +139,7 @@ class ChunkCoder:
         plans, need, fresh_chunks = [], set(), {}
         for text in texts:
             data = (text or "").encode("utf-8")
-            if b"<|" not in data:  # the tokenizer lowers all but its special tokens
+            if self.lowers and b"<|" not in data:  # the tokenizer lowers all but its special tokens
                 data = data.lower()
             parts, carry, at = [], b"", 0
             for end in cut_points(data, self.bits):
@@ -192,15 +218,19 @@ class ChunkCoder:
         )
 
 
-_CODERS: dict[tuple, ChunkCoder] = {}
+_TOKENIZERS: dict = {}
+
 
+def _tokenizer(path: str):
+    """The tokenizer of a file, loaded once per Python worker (of fixed size, unlike a coder's caches)."""
+    from tokenizers import Tokenizer
 
-def _coder(path: str, bits: int) -> ChunkCoder:
-    """One coder per Python worker: its caches outlive a task."""
-    key = (path, bits)
-    if key not in _CODERS:
-        _CODERS[key] = ChunkCoder(path, bits)
-    return _CODERS[key]
+    if path not in _TOKENIZERS:
+        tok = Tokenizer.from_file(path)
+        tok.no_truncation()
+        tok.no_padding()
+        _TOKENIZERS[path] = tok
+    return _TOKENIZERS[path]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -219,13 +249,13 @@ def bpe_code(
 ) -> DataFrame:
     """``docs`` plus struct ``out``: ``n_tokens``, ``ids`` (decimal, joined by one space) and
     ``decoded``. ``path`` is the tokenizer file on every machine; without it each worker takes the
-    installed vocabulary."""
+    installed vocabulary. A tokenizer whose pieces can hold white space is refused (ValueError)."""
 
     def factory():
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder = _coder(path or vocabulary_path(), bits)
+        coder = ChunkCoder(path or vocabulary_path(), bits)  # its caches go with the task
 
         def run(texts):
             coded = coder.code(texts)

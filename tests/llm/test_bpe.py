@@ -7,7 +7,7 @@ from lakestrata.llm import bpe
 
 @pytest.fixture(scope="module")
 def coder():
-    return bpe.ChunkCoder(bpe.vocabulary_path(), bits=5, words=50, chunks=20)
+    return bpe.ChunkCoder(bpe.vocabulary_path(), bits=5, words=15_000, chunks=8_000)
 
 
 def library(coder, text):
@@ -49,3 +49,43 @@ def test_operator_on_odd_rows(odd_docs, no_docs, coder):
     for r in got:
         assert (r.n_tokens, r.ids, r.decoded) == library(coder, r.text or "")
     assert bpe.bpe_code(no_docs).count() == 0
+
+
+def test_a_tokenizer_that_keeps_white_space_is_refused(tmp_path, coder):
+    import json
+
+    with pytest.raises(ValueError):
+        bpe.ChunkCoder(bpe.vocabulary_path("byte_bpe_50k.json"))
+    # one that keeps case is read from its file and equals the library
+    spec = json.loads(coder.tok.to_str())
+    spec["normalizer"]["normalizers"] = [n for n in spec["normalizer"]["normalizers"] if n["type"] != "Lowercase"]
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(spec))
+    cased = bpe.ChunkCoder(str(path), bits=5)
+    for t in ("Hello THERE, hello there. ÀÉ A" * 20, "<|endoftext|> Ab"):
+        assert cased.code([t])[0] == library(cased, t)
+
+
+def test_cache_is_bounded_in_bytes():
+    c = bpe.Cache(10_000, len)
+    for i in range(5_000):
+        c.put(i.to_bytes(4, "big"), "x" * 50)
+        assert len(c.young) + len(c.old) <= 2 * (10_000 // (bpe.ENTRY + 54) + 1)
+    c.put(b"kept", "x")
+    assert c.get(b"kept") == "x"
+
+
+def test_query_against_the_library(corpus):
+    import hashlib
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    tok = bpe.ChunkCoder(bpe.vocabulary_path())
+    docs = corpus.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    want = {}
+    for d in docs:
+        n, ids, text = library(tok, d.text or "")
+        want[d.doc_id] = (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    got = entry.queries()["op9_bpe"](corpus, SF_SMALL).collect()
+    assert len(got) == len(docs) and {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == want
