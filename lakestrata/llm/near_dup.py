@@ -34,6 +34,8 @@ equal keys with different texts are judged by their texts; an empty table has no
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +51,7 @@ WORDS = 4  # 64-bit words of one-bit slots, for up to 256 slots
 BITS = tuple(f"w{i}" for i in range(WORDS))
 CARRY = (*BITS, "n", "own")  # what members carry into the joins
 SPREAD = 5.0  # standard errors of the bit estimate
+SIGNED_TOGETHER = 500_000  # characters of texts whose processes run side by side
 
 # Word bytes as in benchmark decontamination: A-Z lowered, digits, a-z and non-ASCII kept, the rest separates.
 _TABLE = bytes(
@@ -166,12 +169,25 @@ def one_bit_slots(sig: np.ndarray) -> np.ndarray:
     return np.packbits(full, axis=1).view(np.int64)
 
 
+def _by_size(texts: list, limit: int) -> Iterator[list]:
+    """The texts in runs of about ``limit`` characters: what a task holds does not depend on their number."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t or "")
+        if size >= limit:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _bands_map(bands: int, rows: int):
     def factory():
         def run(texts):
             keys, bits = [], []
-            for i in range(0, len(texts), 200):
-                bags = [shingle_counts(t) for t in texts[i : i + 200]]
+            for some in _by_size(texts, SIGNED_TOGETHER):
+                bags = [shingle_counts(t) for t in some]
                 sig = signatures(bags, bands * rows)
                 keys += [k if len(bag[0]) else [] for k, bag in zip(band_keys(sig, bands, rows).tolist(), bags, strict=True)]
                 bits.append(one_bit_slots(sig))
@@ -234,8 +250,6 @@ def _may_reach(x: str, y: str, threshold: float):
 
 def _similarity():
     """Multiset overlap of two texts; the last few texts' shingles are kept, since pairs come sorted."""
-    from collections.abc import Iterator
-
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         kept: dict[str, tuple] = {}
 
@@ -391,19 +405,20 @@ def stage(spark, docs, sf_dir) -> DataFrame:
 
     Rows that repeat the chosen document's id and text are dropped too."""
     classes = near_duplicates(docs)
+    k, t, node = fresh(docs, "_key"), fresh(docs, "_text_node"), fresh(docs, "_node")
     # one (id, text) of each class; null ids come last
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("k"), F.col("node").alias("t"))
-    chosen = classes.groupBy("class_node").agg(F.min(order).alias("c")).select(F.col("c.k").alias("k"), F.col("c.t").alias("t"))
-    slim = _materialise(classes.select(F.col("doc_id").alias("k"), F.col("node").alias("t")), "near-dup-classes")
+    chosen = classes.groupBy("class_node").agg(F.min(order).alias("c")).select(F.col("c.k").alias(k), F.col("c.t").alias(t))
+    slim = _materialise(classes.select(F.col("doc_id").alias(k), F.col("node").alias(t)), "near-dup-classes")
     chosen = _materialise(chosen, "near-dup-chosen")
-    node, k, t = fresh(docs, "_node"), F.col("k"), F.col("t")
     marked = docs.withColumn(node, F.xxhash64(text_column(docs, "text")))
-    kept = marked.join(chosen, marked["doc_id"].eqNullSafe(k) & (marked[node] == t), "left_semi")
-    repeated = slim.groupBy("k", "t").count().where("count > 1").join(
-        chosen.withColumnsRenamed({"k": "k2", "t": "t2"}), k.eqNullSafe(F.col("k2")) & (t == F.col("t2")), "left_semi"
+    same = F.col("doc_id").eqNullSafe(F.col(k)) & (F.col(node) == F.col(t))
+    kept = marked.join(chosen, same, "left_semi")
+    other = chosen.withColumnsRenamed({k: k + "2", t: t + "2"})
+    repeated = slim.groupBy(k, t).count().where("count > 1").select(k, t).join(
+        other, F.col(k).eqNullSafe(F.col(k + "2")) & (F.col(t) == F.col(t + "2")), "left_semi"
     )
     if not repeated.isEmpty():
-        again = marked["doc_id"].eqNullSafe(k) & (marked[node] == t)
-        once = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", node])
-        kept = kept.join(repeated, again, "left_anti").unionByName(once)
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", node])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
     return doc_columns(kept, docs)

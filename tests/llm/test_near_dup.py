@@ -94,3 +94,16 @@ def test_stage_keeps_one_of_each_class(corpus, odd_docs, no_docs):
         texts[r.text or ""] += 1
     assert all(n == 1 for n in texts.values()) and len(rows) == len({t or "" for t in [r.text for r in odd_docs.collect()]})
     assert nd.stage(corpus, no_docs, SF_SMALL).count() == 0
+
+
+def test_stage_with_columns_called_like_its_own(corpus, odd_docs):
+    clash = odd_docs.selectExpr("*", *[f"'{c}' as {c}" for c in ("k", "t", "n", "c", "_node", "_key", "_text_node", "k2", "t2", "band")])
+    kept = nd.stage(corpus, clash, SF_SMALL)
+    assert kept.columns == clash.columns and kept.count() == nd.stage(corpus, odd_docs, SF_SMALL).count()
+    assert {(r.k, r.t) for r in kept.collect()} == {("k", "t")}
+
+
+def test_signatures_do_not_depend_on_how_texts_are_grouped():
+    texts = ["a b c d e f g " * n for n in range(30)] + [None, ""]
+    assert [t for some in nd._by_size(texts, 500) for t in some] == texts
+    assert max(sum(len(t or "") for t in some[:-1]) for some in nd._by_size(texts, 500)) < 500
