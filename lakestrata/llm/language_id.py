@@ -33,10 +33,14 @@ from lakestrata.llm.common import crc_mod, read, text_map, unit_hash
 MAX_PER_LANGUAGE = 2_000
 BUCKETS = 1 << 14
 AMBIGUOUS = 0.15  # relative gap between the two least losses
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # letters, but also fractions, superscripts, Roman and circled numerals
 _DDL = "lang string, score double, ambiguous boolean, second string"
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 def gram_buckets(text: str) -> np.ndarray:
     """Buckets of the text's character 1- to 3-grams (letters lowered, runs of others as one space)."""
     c = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
@@ -93,7 +97,7 @@ class LanguageModel:
         return (self.trust * np.exp(-np.clip(signs * margins, -8, 8))).sum(1) / self.trust.sum()
 
     def predict(self, text: str | None) -> tuple[str, float, bool, str | None]:
-        if not self.langs or not text or not _LETTER.search(text):
+        if not self.langs or not text or not has_letter(text):
             return "und", 0.0, False, None
         if len(self.langs) == 1:
             return self.langs[0], 1.0, False, None

@@ -42,3 +42,37 @@ def test_grams_of_short_texts():
     assert len(li.gram_buckets("")) == 0 and len(li.gram_buckets("a")) == 1 and len(li.gram_buckets("ab")) == 3
     assert li.gram_buckets("Ab,  ..c").max() < li.BUCKETS
     assert np.array_equal(li.gram_buckets("A b"), li.gram_buckets("a..b"))
+
+
+def test_numerals_are_no_letters(corpus):
+    docs = corpus.createDataFrame([("das ist ein Haus", "de"), ("this is a house", "en")] * 4, "text string, lang string")
+    model = li.train_languages(docs.selectExpr("monotonically_increasing_id() doc_id", "*"))
+    texts = ["½", "²³¹", "①②", "Ⅷ", "12 _ ½ ...", "٣", "½ a", "é", "中"]
+    rows = corpus.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r.language for r in li.identify_languages(rows, model).collect()}
+    assert [got[i].lang == "und" for i in range(9)] == [True] * 6 + [False] * 3
+    assert all(got[i].score == 0 for i in range(6))
+
+
+def test_query_equals_its_learned_codewords(corpus):
+    """Every row of the query, decoded by hand from the model that its training rows give."""
+    import zlib
+
+    docs = corpus.read.parquet(f"{SF_SMALL}/documents.parquet")
+    train = [r.doc_id for r in docs.collect() if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    model = li.train_languages(docs.where(docs.doc_id.isin(train)))
+    rows = {r.doc_id: r for r in docs.collect()}
+    got = li.op2_language(corpus, SF_SMALL).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = rows[r.doc_id].text
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not text or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        margin = model.margins(text)
+        loss = []
+        for word in model.code:
+            per_bit = [t * np.exp(-np.clip(m if bit else -m, -8, 8)) for bit, m, t in zip(word, margin, model.trust, strict=True)]
+            loss.append(sum(per_bit) / sum(model.trust))
+        assert r.lang_pred == model.langs[int(np.argmin(loss))] and 0 <= r.score <= 1
