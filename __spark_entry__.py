@@ -17,10 +17,18 @@ from lakestrata.operators.arrays import split_arrays
 from lakestrata.operators.columns import drop_by_pattern, null_profile
 from lakestrata.operators.contract import conform
 from lakestrata.operators.flatten import flatten_all
+from lakestrata.operators.schema_union import cast_to, merge_schemas
+from lakestrata.operators.variant import event_table_with_rest, read_events_variant, with_rest_fields
+from lakestrata.operators.variant import field as variant_field
 from lakestrata.plans import bronze as bronze_plan
-from lakestrata.plans import comments, gold, language, silver
+from lakestrata.plans import comments, gold, increments, lake, language, silver
+from lakestrata.plans.build_gold import FACT_SCHEMA, PUSH_SCHEMA, read_silver
 from lakestrata.session import configure, scratch_dir
+from lakestrata.sinks.bucketed import buckets_for, write_bucketed
+from lakestrata.sinks.clustered import read_containing, read_range, write_clustered
+from lakestrata.sinks.commits import files_of, history
 from lakestrata.sinks.parquet import write_bounded_by_day
+from lakestrata.sources.table import read_table
 import example_views as tv
 from lakestrata.streaming.ingest import landing_stream, run_bronze_stream
 
@@ -296,6 +304,178 @@ def q_stream_ingest(spark, sf_dir):
     return _bronze_readback(spark, path)
 
 
+# ---------------------------------------------------------------- tables with a commit log
+DOCUMENT_TYPES = ("PushEvent", "IssueCommentEvent", "PullRequestReviewCommentEvent")
+
+
+def _two_loads(spark, sf_dir) -> str:
+    """A lake that got two loads of JSON files, the second with more and wider fields: ingest of the new files,
+    refresh of the changed days of silver, twice; between them an ingest that died before its commit."""
+
+    def build(root):
+        for number, load in enumerate(("first", "second"), 1):
+            events = tv.document_events(spark, sf_dir, load)
+            landing = events.withColumn("landing_day", F.col("day")).drop("day").repartition("landing_day")
+            landing.write.partitionBy("landing_day").option("compression", "gzip").json(f"{root}/landing/{load}")
+            lake.ingest_landing(spark, f"{root}/landing", f"{root}/bronze", load)
+            lake.refresh_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/contracts", event_types=DOCUMENT_TYPES)
+            increments.refresh_gold(spark, f"{root}/silver", f"{root}/gold")
+            if number == 1:  # what a killed job leaves: written files that no entry names
+                bronze = read_table(spark, f"{root}/bronze")
+                bronze.write.partitionBy("day").parquet(f"{root}/bronze/load=killed.0")
+
+    return _built(spark, sf_dir, "two-loads", build)
+
+
+def _two_loads_table(table, *columns):
+    def query(spark, sf_dir):
+        spark = _s(spark)
+        return read_silver(spark, f"{_two_loads(spark, sf_dir)}/silver", table).select(*columns)
+
+    return query
+
+
+def q_two_loads_bronze(spark, sf_dir):
+    """Bronze of both loads: a field that was a whole number in one and a fraction in the other."""
+    spark = _s(spark)
+    back = bronze_plan.read_bronze(spark, f"{_two_loads(spark, sf_dir)}/bronze")
+    return back.select("id", "type", "created_at", "payload.size", "payload.distinct_size", F.col("day").cast("string").alias("day"))
+
+
+def q_two_loads_activity(spark, sf_dir):
+    """Push activity over both loads; only the second fills the summed field."""
+    spark = _s(spark)
+    silver_root = f"{_two_loads(spark, sf_dir)}/silver"
+    push = read_silver(spark, silver_root, "push_event_df", PUSH_SCHEMA)
+    return gold.push_activity_by_project(push, read_silver(spark, silver_root, silver.FACT_TABLE, FACT_SCHEMA))
+
+
+def q_ingested_files(spark, sf_dir):
+    """The ledger: landing files each load has read (the second ingest sees the files of both, reads the new ones)."""
+    spark = _s(spark)
+    return lake.ledger(spark, f"{_two_loads(spark, sf_dir)}/bronze").groupBy("load").agg(F.count("*").alias("files"))
+
+
+def q_silver_refreshes(spark, sf_dir):
+    """Which days each refresh of silver rewrote."""
+    spark = _s(spark)
+    entries = [e for e in history(spark, f"{_two_loads(spark, sf_dir)}/silver") if e["kind"] == "refresh"]
+    rows = [(i, d) for i, e in enumerate(entries, 1) for d in e["about"]["days"]]
+    return spark.createDataFrame(rows, "refresh int, day string")
+
+
+def _kept_report(name):
+    """A report that was merged from per-day partial results, those of changed days replaced by the second refresh."""
+
+    def query(spark, sf_dir):
+        spark = _s(spark)
+        return spark.read.parquet(f"{_two_loads(spark, sf_dir)}/gold/{name}")
+
+    return query
+
+
+FIRST_CONTRACT = "push_id bigint, ref string, size bigint, commits array<struct<message:string>>"
+
+
+def q_variant_rest(spark, sf_dir):
+    """Push events of both loads from JSON with a VARIANT payload, held to a contract of the first load's fields and
+    written as a silver table; the fields that no contract names, and the sizes that are fractions, come from ``rest``."""
+    spark = _s(spark)
+
+    def build(root):
+        landing = f"{_two_loads(spark, sf_dir)}/landing/*/*"
+        head = T.StructType.fromDDL("id string, type string, created_at string")
+        bronze = read_events_variant(spark, landing, head)
+        push = event_table_with_rest(bronze, "PushEvent", T.StructType.fromDDL(FIRST_CONTRACT))
+        push.drop("commits").write.parquet(f"{root}/push_event_df")
+
+    back = spark.read.parquet(f"{_built(spark, sf_dir, 'variant', build)}/push_event_df")
+    wide = with_rest_fields(back, {"distinct_size": "bigint", "labels": "array<string>"})
+    wide = wide.withColumn("fraction", variant_field("rest", "size", "double"))
+    return wide.select("id", "created_at", "push_id", "ref", "size", "fraction", "distinct_size", F.get("labels", 1).alias("label"))
+
+
+# the test tables are megabytes: small buckets and files, so that there are several
+BUCKET_BYTES = 16_000_000
+CLUSTER_ROWS = 500
+PROJECT_TEXT = "repo1"
+
+
+def _bucketed(spark, sf_dir):
+    """Silver tables of the two loads as bucketed tables, by name."""
+    names = {"push_event_df": "id", "push_event_df_commits_df": "fact_id", silver.FACT_TABLE: "id",
+             "issue_comment_event_df": "id", "pull_request_review_comment_event_df": "id"}
+    source = f"{_two_loads(spark, sf_dir)}/silver"
+
+    def build(root):
+        sizes = [files_of(spark, f"{source}/{n}").agg(F.sum("length")).first()[0] for n in names]
+        buckets = buckets_for(max(sizes), BUCKET_BYTES)
+        for n, key in names.items():
+            write_bucketed(read_silver(spark, source, n), f"{root}/{n}", _table_name(root, n), key, buckets)
+
+    root = _built(spark, sf_dir, "bucketed", build)
+    return {n: spark.table(_table_name(root, n)) for n in names}
+
+
+def _table_name(root, table):
+    return f"{table}_{root.rsplit('-', 1)[1]}"
+
+
+def q_bucketed_commits_per_push(spark, sf_dir):
+    t = _bucketed(_s(spark), sf_dir)
+    return gold.commits_per_push(t["push_event_df"], t[silver.FACT_TABLE])
+
+
+def q_bucketed_push_activity(spark, sf_dir):
+    t = _bucketed(_s(spark), sf_dir)
+    return gold.push_activity_by_project(t["push_event_df"], t[silver.FACT_TABLE])
+
+
+def q_bucketed_comments(spark, sf_dir):
+    """Comments of all kinds with their events, joined bucket by bucket."""
+    t = _bucketed(_s(spark), sf_dir)
+    sources = [comments.comment_source(t[n]) for n in ("issue_comment_event_df", "pull_request_review_comment_event_df")]
+    return comments.gather_colocated(t[silver.FACT_TABLE], [*sources, comments.commit_messages(t["push_event_df_commits_df"])])
+
+
+def q_clustered_user_weeks(spark, sf_dir):
+    """One user's weeks from the report clustered by user: only files that hold the user are read."""
+    spark = _s(spark)
+    report = _kept_report("user_type_week")(spark, sf_dir)
+    root = _built(spark, sf_dir, "clustered-weeks", lambda r: write_clustered(report, r, "user", rows_per_file=CLUSTER_ROWS))
+    return read_range(spark, root, "user", EXAMPLE_USER, EXAMPLE_USER)
+
+
+def q_clustered_projects(spark, sf_dir):
+    """Projects whose name contains a text: only files that hold all its trigrams are read."""
+    spark = _s(spark)
+    report = _kept_report("user_push_activity")(spark, sf_dir)
+    build = lambda r: write_clustered(report, r, "project_name", contains=["project_name"], rows_per_file=CLUSTER_ROWS)
+    root = _built(spark, sf_dir, "clustered-projects", build)
+    return read_containing(spark, root, "project_name", PROJECT_TEXT)
+
+
+MICRO_LOADS = 12
+
+
+def q_compacted_days(spark, sf_dir):
+    """Twelve small loads into one table, compacted: files and rows of each day."""
+    spark = _s(spark)
+
+    def build(root):
+        loads = [tv.document_events(spark, sf_dir, load) for load in ("first", "second")]
+        schema = merge_schemas(e.schema for e in loads)
+        events = cast_to(loads[0], schema).unionByName(cast_to(loads[1], schema))
+        for i in range(MICRO_LOADS):
+            lake.append_load(events.where(F.pmod(F.col("id").cast("bigint"), F.lit(MICRO_LOADS)) == i), f"{root}/bronze", f"micro-{i}")
+        lake.compact(spark, f"{root}/bronze")
+
+    root = f"{_built(spark, sf_dir, 'compacted', build)}/bronze"
+    files = lake.day_files(spark, root).groupBy("day").agg(F.count("*").alias("files"))
+    rows = read_table(spark, root).groupBy("day").agg(F.count("*").alias("rows"), F.sum(F.length("payload.comment.body")).alias("chars"))
+    return files.join(rows, "day")
+
+
 # ---------------------------------------------------------------- comments and languages
 def _comment_sources(spark, sf_dir):
     t = tv.comment_tables(spark, sf_dir)
@@ -413,6 +593,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_languages": q_gold_languages,
         "gold_language_totals": q_gold_language_totals,
         "silver_child": q_silver_child,
+        "two_loads_bronze": q_two_loads_bronze,
+        "two_loads_push": _two_loads_table("push_event_df", "id", "created_at", "push_id", "size", "distinct_size", "ref", "day"),
+        "two_loads_commits": _two_loads_table("push_event_df_commits_df", "fact_id", "event_created_at", "pos", "message", "day"),
+        "two_loads_labels": _two_loads_table("push_event_df_labels_df", "fact_id", "event_created_at", "pos", "col", "day"),
+        "two_loads_fact": _two_loads_table(
+            silver.FACT_TABLE, "id", "type", "created_at", "actor_id", "actor_login", "actor_display_login", "repo_id", "repo_name", "org_login", "day"
+        ),
+        "two_loads_activity": q_two_loads_activity,
+        "ingested_files": q_ingested_files,
+        "silver_refreshes": q_silver_refreshes,
+        "compacted_days": q_compacted_days,
+        "kept_events_per_hour": _kept_report("event_per_hour_df"),
+        "kept_pushes_by_branch": _kept_report("push_event_ref_df"),
+        "kept_commits_per_push": _kept_report("num_commits_df"),
+        "kept_user_weeks": _kept_report("user_type_week"),
+        "kept_push_activity": _kept_report("user_push_activity"),
+        "variant_rest": q_variant_rest,
+        "bucketed_commits_per_push": q_bucketed_commits_per_push,
+        "bucketed_push_activity": q_bucketed_push_activity,
+        "bucketed_comments": q_bucketed_comments,
+        "clustered_user_weeks": q_clustered_user_weeks,
+        "clustered_projects": q_clustered_projects,
         "concat_messages": q_concat_messages,
         "gather_comments": q_gather_comments,
         "label_languages": q_label_languages,
@@ -536,6 +738,38 @@ _ARCHIVE_COMMENTS = f"""
     FROM ({_ARCHIVE}) WHERE type IN ('purchase', 'click', 'error', 'signup') AND (type <> 'purchase' OR text IS NOT NULL)"""
 
 
+# documents as archive events (mirrors example_views.document_events)
+_DOC_EV = f"""
+    SELECT doc_id, CAST(doc_id AS VARCHAR) AS id, text, lang, source, doc_id % {tv.SECOND_LOAD} = 0 AS late,
+           CASE WHEN doc_id % 4 <= 1 THEN 'PushEvent' WHEN doc_id % 4 = 2 THEN 'IssueCommentEvent'
+                ELSE 'PullRequestReviewCommentEvent' END AS type,
+           '2024-03-' || lpad(CAST(doc_id % 20 + 1 AS VARCHAR), 2, '0') AS day,
+           '2024-03-' || lpad(CAST(doc_id % 20 + 1 AS VARCHAR), 2, '0') || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00Z' AS created_at,
+           doc_id % 97 AS user_id, 'user' || CAST(doc_id % 97 AS VARCHAR) AS login, doc_id % 31 AS repo_id,
+           'owner' || CAST(doc_id % 13 AS VARCHAR) AS owner, 'repo' || CAST(doc_id % 31 AS VARCHAR) AS project,
+           ['master', 'gh-pages', 'dev'][CAST(doc_id % 3 AS INTEGER) + 1] AS branch,
+           CASE WHEN doc_id % 4 <= 1 THEN length(text) / CASE WHEN doc_id % {tv.SECOND_LOAD} = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END END AS size,
+           CASE WHEN doc_id % 4 <= 1 AND doc_id % {tv.SECOND_LOAD} = 0 THEN doc_id % 7 END AS distinct_size
+    FROM documents"""
+
+
+_DOC_TIME = "substr(created_at, 6, 2) || '/' || substr(created_at, 9, 2) || '/2024 ' || substr(created_at, 12, 2) || ':00:00'"
+_DOC_COMMITS = f"""
+    SELECT id AS fact_id, doc_id AS push_id, {_DOC_TIME} AS time, login AS "user", lang AS organization,
+           owner || '/' || project AS repository, branch, distinct_size AS number_commits
+    FROM ({_DOC_EV}) WHERE type = 'PushEvent'"""
+# 2024 began on a Monday, so its weeks, from Sunday on, are those of strftime's %U plus one
+_DOC_WEEKS = f"""
+    SELECT CAST(CAST(strftime(CAST(day AS DATE), '%U') AS INTEGER) + 1 AS VARCHAR) AS week_of_year, login AS "user",
+           {_counts('type', DOCUMENT_TYPES, False)}
+    FROM ({_DOC_EV}) GROUP BY 1, 2"""
+_DOC_ACTIVITY = f"""
+    SELECT login AS actor_login, repo_id, owner AS repo_owner, project AS project_name,
+           CAST(sum(distinct_size) AS BIGINT) AS number_of_push_events,
+           max({_DOC_TIME}) AS date_of_last_push, min({_DOC_TIME}) AS date_of_first_push
+    FROM ({_DOC_EV}) WHERE type = 'PushEvent' GROUP BY 1, 2, 3, 4"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "events_per_hour": f"""
@@ -669,6 +903,55 @@ def oracle_sql() -> dict[str, str]:
         "silver_roundtrip": f"""
             SELECT id, created_at, value AS amount, k AS quantity, strftime(ts, '%Y-%m-%d') AS day
             FROM ({_EV}) WHERE type = 'purchase'""",
+        "two_loads_bronze": f"SELECT id, type, created_at, size, distinct_size, day FROM ({_DOC_EV})",
+        "two_loads_push": f"""
+            SELECT id, created_at, doc_id AS push_id, size, distinct_size, 'refs/heads/' || branch AS ref, day
+            FROM ({_DOC_EV}) WHERE type = 'PushEvent'""",
+        "two_loads_commits": f"""
+            SELECT id AS fact_id, created_at AS event_created_at,
+                   CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS pos,
+                   unnest(string_split(text, chr(10))) AS message, day
+            FROM ({_DOC_EV}) WHERE type = 'PushEvent' AND text IS NOT NULL""",
+        "two_loads_labels": f"""
+            SELECT id AS fact_id, created_at AS event_created_at, CAST(i - 1 AS INTEGER) AS pos,
+                   CASE i WHEN 1 THEN lang ELSE source END AS col, day
+            FROM ({_DOC_EV}), (VALUES (1), (2)) AS n(i) WHERE type = 'PushEvent' AND late""",
+        "two_loads_fact": f"""
+            SELECT id, type, created_at, user_id AS actor_id, login AS actor_login, login AS actor_display_login, repo_id,
+                   owner || '/' || project AS repo_name, lang AS org_login, day
+            FROM ({_DOC_EV})""",
+        "two_loads_activity": _DOC_ACTIVITY,
+        "kept_push_activity": _DOC_ACTIVITY,
+        "kept_events_per_hour": f"""
+            SELECT {_DOC_TIME} AS hour, {_counts('type', DOCUMENT_TYPES, True)} FROM ({_DOC_EV}) GROUP BY 1""",
+        "kept_pushes_by_branch": f"""
+            SELECT substr(created_at, 6, 2) || '/' || substr(created_at, 9, 2) || '/2024' AS day,
+                   count(*) FILTER (WHERE branch = 'master') AS main, count(*) FILTER (WHERE branch = 'gh-pages') AS "gh-pages",
+                   count(*) FILTER (WHERE branch = 'dev') AS other
+            FROM ({_DOC_EV}) WHERE type = 'PushEvent' GROUP BY 1""",
+        "kept_commits_per_push": _DOC_COMMITS,
+        "bucketed_commits_per_push": _DOC_COMMITS,
+        "bucketed_push_activity": _DOC_ACTIVITY,
+        "bucketed_comments": f"""
+            SELECT id, created_at, type, login AS actor_login, lang AS org_login,
+                   CASE WHEN type = 'PushEvent' THEN replace(text, chr(10), ',') ELSE text END AS comment
+            FROM ({_DOC_EV}) WHERE type <> 'PushEvent' OR text IS NOT NULL""",
+        "clustered_user_weeks": f"SELECT * FROM ({_DOC_WEEKS}) WHERE \"user\" = '{EXAMPLE_USER}'",
+        "clustered_projects": f"SELECT * FROM ({_DOC_ACTIVITY}) WHERE contains(project_name, '{PROJECT_TEXT}')",
+        "kept_user_weeks": _DOC_WEEKS,
+        "variant_rest": f"""
+            SELECT id, created_at, doc_id AS push_id, 'refs/heads/' || branch AS ref,
+                   CASE WHEN NOT late OR size = floor(size) THEN CAST(size AS BIGINT) END AS size,
+                   CASE WHEN late AND size <> floor(size) THEN size END AS fraction, distinct_size,
+                   CASE WHEN late THEN source END AS label
+            FROM ({_DOC_EV}) WHERE type = 'PushEvent'""",
+        "ingested_files": f"""
+            SELECT CASE WHEN late THEN 'second' ELSE 'first' END AS load, count(DISTINCT day) AS files FROM ({_DOC_EV}) GROUP BY 1""",
+        "silver_refreshes": f"SELECT DISTINCT CAST(CASE WHEN late THEN 2 ELSE 1 END AS INTEGER) AS refresh, day FROM ({_DOC_EV})",
+        "compacted_days": f"""
+            SELECT day, CAST(1 AS BIGINT) AS files, count(*) AS rows,
+                   CAST(sum(length(text)) FILTER (WHERE type <> 'PushEvent') AS BIGINT) AS chars
+            FROM ({_DOC_EV}) GROUP BY 1""",
         "concat_messages": _MESSAGES,
         "gather_comments": f"""
             WITH f AS (

@@ -274,6 +274,47 @@ def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_day(bronze, "created_at")
 
 
+SECOND_LOAD = 3  # every third document comes with the second load
+
+
+def document_events(spark: SparkSession, sf_dir: str, load: str) -> DataFrame:
+    """``documents`` as archive events over twenty days, one event a document, in two loads that share all days: push
+    events whose commits are the document's lines, and two kinds of comment events whose body is the whole text.
+
+    The second load's pushes also carry ``distinct_size`` and an array ``labels``, and their ``size`` is a fraction."""
+    d = table(spark, sf_dir, "documents")
+    late = F.pmod("doc_id", F.lit(SECOND_LOAD)) == 0
+    d = d.where(late if load == "second" else ~late)
+    n = F.col("doc_id")
+    kind, user, repo = F.pmod(n, F.lit(4)), F.pmod(n, F.lit(97)), F.pmod(n, F.lit(31))
+    login = F.concat(F.lit("user"), _txt(user))
+    is_push = kind <= 1
+    day = F.format_string("2024-03-%02d", F.pmod(n, F.lit(20)) + 1)
+    commits = F.transform(F.split("text", "\n"), lambda line: F.struct(line.alias("message")))
+    branch = F.element_at(F.array(*[F.lit(b) for b in BRANCHES]), (F.pmod(n, F.lit(len(BRANCHES))) + 1).cast("int"))
+    fields = {
+        "push_id": n,
+        "ref": F.concat(F.lit("refs/heads/"), branch),
+        "commits": commits,
+        "size": F.length("text") / F.lit(2.0) if load == "second" else F.length("text").cast("bigint"),
+    }
+    if load == "second":
+        fields |= {"distinct_size": F.pmod(n, F.lit(7)), "labels": F.array("lang", "source")}
+    return d.select(
+        _txt(n).alias("id"),
+        F.when(is_push, "PushEvent").when(kind == 2, "IssueCommentEvent").otherwise("PullRequestReviewCommentEvent").alias("type"),
+        F.concat(day, F.format_string("T%02d:00:00Z", F.pmod(n, F.lit(24)))).alias("created_at"),
+        F.struct(user.alias("id"), login.alias("login"), login.alias("display_login")).alias("actor"),
+        F.struct(repo.alias("id"), F.concat(F.lit("owner"), _txt(F.pmod(n, F.lit(13))), F.lit("/repo"), _txt(repo)).alias("name")).alias("repo"),
+        F.struct(F.col("lang").alias("login")).alias("org"),
+        F.struct(
+            *[F.when(is_push, c).alias(name) for name, c in fields.items()],
+            F.when(~is_push, F.struct(F.col("text").alias("body"))).alias("comment"),
+        ).alias("payload"),
+        day.alias("day"),
+    )
+
+
 def event_days(spark: SparkSession, sf_dir: str) -> list[str]:
     """Every calendar day from the first to the last event (``yyyy-MM-dd``), from one aggregate over
     the ``ts`` column: the day list of a per-day file plan."""

@@ -5,6 +5,9 @@ executors and ``spark.checkpoint.dir``; ship the package with ``--py-files``).
     spark-submit lakestrata/jobs.py bronze --landing <landing> --bronze <bronze> [--files-per-day N | --per-day-plan]
     spark-submit lakestrata/jobs.py stream --landing <landing> --bronze <bronze> --checkpoint <ckpt> --schema-from <bronze>
     spark-submit lakestrata/jobs.py silver --bronze <bronze> --silver <silver> --contracts <contracts> [--days 2017-01-01:2017-01-31]
+    spark-submit lakestrata/jobs.py ingest  --landing <landing> --bronze <bronze> --load 2017-01    # new files only, committed
+    spark-submit lakestrata/jobs.py refresh --bronze <bronze> --silver <silver> --contracts <contracts>  # changed days only
+    spark-submit lakestrata/jobs.py compact --table <table> [--target-bytes N]
     spark-submit lakestrata/jobs.py gold   --silver <silver> --gold <gold> --model <detector> [--days …] [--no-languages]
     spark-submit lakestrata/jobs.py gold   … --labelled-text <table> --text-col text --label-col lang [--save-model <detector>]
 """
@@ -28,7 +31,7 @@ def _plan(spark, args) -> None:
 def _bronze(spark, args) -> None:
     files = bronze_plan.list_landing(spark, args.landing)
     # a known schema skips the inference pass over every JSON byte
-    schema = spark.read.parquet(args.schema_from).drop("day").schema if args.schema_from else None
+    schema = bronze_plan.read_bronze(spark, args.schema_from).drop("day").schema if args.schema_from else None
     plan = bronze_plan.per_day_plan(files)
     if not args.per_day_plan:
         # one count for every day (the original layout), still placed one (day, file) per task
@@ -42,7 +45,7 @@ def _bronze(spark, args) -> None:
 def _stream(spark, args) -> None:
     from lakestrata.streaming.ingest import landing_stream, run_bronze_stream
 
-    schema = spark.read.parquet(args.schema_from).drop("day").schema
+    schema = bronze_plan.read_bronze(spark, args.schema_from).drop("day").schema
     events = landing_stream(spark, args.landing, schema, max_files_per_trigger=args.max_files_per_trigger)
     days = max(1, -(-args.max_files_per_trigger // 24))  # hourly files: 24 per day
     run_bronze_stream(events, args.bronze, args.checkpoint, files_per_batch_day=args.files_per_day or 1,
@@ -69,6 +72,27 @@ def _silver(spark, args) -> None:
     print(json.dumps(written))
 
 
+def _ingest(spark, args) -> None:
+    from lakestrata.plans import lake
+
+    version = lake.ingest_landing(spark, args.landing, args.bronze, args.load, sampling_ratio=args.sampling_ratio)
+    print(json.dumps({"version": version}))
+
+
+def _refresh(spark, args) -> None:
+    from lakestrata.plans import lake
+
+    types = tuple(args.types.split(",")) if args.types else silver.EVENT_TYPES
+    keep = tuple(args.keep.split(",")) if args.keep else ()
+    print(json.dumps(lake.refresh_silver(spark, args.bronze, args.silver, args.contracts, event_types=types, keep=keep)))
+
+
+def _compact(spark, args) -> None:
+    from lakestrata.plans import lake
+
+    print(json.dumps({"version": lake.compact(spark, args.table, target_bytes=args.target_bytes, key=args.key)}))
+
+
 def _gold(spark, args) -> None:
     from lakestrata.plans.build_gold import build_gold
     from lakestrata.plans.language import load_detector, save_detector, train_language_detector
@@ -113,6 +137,21 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--days", help="first:last day, both included (default: all)")
     p.add_argument("--keep", help="comma-separated columns to keep although their name says link or avatar")
     p.add_argument("--types", help="comma-separated event types (default: the 13 standard ones)")
+    p = sub.add_parser("ingest")
+    p.add_argument("--landing", required=True)
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--load", required=True, help="name of this load, e.g. its month")
+    p.add_argument("--sampling-ratio", type=float)
+    p = sub.add_parser("refresh")
+    p.add_argument("--bronze", required=True)
+    p.add_argument("--silver", required=True)
+    p.add_argument("--contracts", required=True)
+    p.add_argument("--keep")
+    p.add_argument("--types")
+    p = sub.add_parser("compact")
+    p.add_argument("--table", required=True)
+    p.add_argument("--target-bytes", type=int, default=bronze_plan.TARGET_FILE_BYTES)
+    p.add_argument("--key", default="id", help="column whose hash spreads a day over its files")
     p = sub.add_parser("gold")
     p.add_argument("--silver", required=True)
     p.add_argument("--gold", required=True)
@@ -126,7 +165,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--days", help="first:last day, both included (default: all)")
     args = parser.parse_args(argv)
     spark = build_session(app_name=f"lakestrata-{args.job}")
-    {"plan": _plan, "bronze": _bronze, "stream": _stream, "silver": _silver, "gold": _gold}[args.job](spark, args)
+    job = {
+        "plan": _plan, "bronze": _bronze, "stream": _stream, "ingest": _ingest, "refresh": _refresh, "compact": _compact,
+        "silver": _silver, "gold": _gold,
+    }
+    job[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from lakestrata.functions.literal import literal_table
+from lakestrata.sinks.commits import CommitConflict, put_if_absent
+
+_FILES = "contracts-*.json"
 
 
 def _reshape(c: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -97,16 +99,31 @@ def widen_contracts(stored: dict[str, T.StructType], learnt: dict[str, T.StructT
     }
 
 
+def _stored(spark: SparkSession, path: str) -> tuple[int, dict[str, T.StructType]]:
+    """Number and content of the latest stored set; (0, {}) where there is none."""
+    try:
+        rows = spark.read.option("wholetext", "true").text(f"{path.rstrip('/')}/{_FILES}").select("value", F.input_file_name().alias("file"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, {}
+    last = rows.orderBy(F.desc("file")).first()
+    if last is None:
+        return 0, {}
+    stored = json.loads(last["value"])
+    return stored["version"], {name: T.StructType.fromJson(c) for name, c in stored["contracts"].items()}
+
+
 def save_contracts(spark: SparkSession, contracts: dict[str, T.StructType], path: str) -> None:
-    """Store a set of contracts as one small table of ``(table, contract)`` JSON rows."""
-    rows = [(name, c.json()) for name, c in sorted(contracts.items())]
-    literal_table(spark, rows, ("table", "contract")).coalesce(1).write.mode("overwrite").json(path)
+    """Store a set of contracts as the next version; earlier ones stay, and a write that fails leaves the latest
+    as it was. Raises if another writer stored that version in the meantime."""
+    version = _stored(spark, path)[0] + 1
+    text = json.dumps({"version": version, "contracts": {n: json.loads(c.json()) for n, c in sorted(contracts.items())}})
+    if not put_if_absent(spark, f"{path.rstrip('/')}/contracts-{version:010d}.json", text):
+        raise CommitConflict(f"contracts version {version} was stored by another writer")
 
 
 def load_contracts(spark: SparkSession, path: str) -> dict[str, T.StructType]:
-    """All stored contracts at ``path`` (empty when none were stored yet)."""
-    try:
-        rows = spark.read.schema("table string, contract string").json(path).collect()  # one row per table
-    except AnalysisException:
-        return {}
-    return {r["table"]: T.StructType.fromJson(json.loads(r["contract"])) for r in rows}
+    """The latest stored contracts at ``path`` (empty when none were stored yet; anything else that keeps them
+    from being read raises)."""
+    return _stored(spark, path)[1]

@@ -8,15 +8,21 @@ the JSON as Parquet partitioned by ``day`` with that many files per day.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions.timefmt import add_day
 from lakestrata.operators.aggregates import distinct_values
+from lakestrata.operators.schema_union import cast_to, merge_schemas
+from lakestrata.sinks.commits import has_log
 from lakestrata.sinks.parquet import LOAD, write_bounded_by_day
 from lakestrata.sources.landing import CORRUPT, list_landing, parse_landing_names, read_events_json
+from lakestrata.sources.table import read_table
 
 # Fixed sizing rules of the bronze layout.
 PARQUET_TO_JSON_RATIO = 2.0  # Parquet bytes ≈ 2 × compressed JSON bytes
@@ -143,13 +149,32 @@ def per_day_plan(files: DataFrame, **kw) -> dict[str, int]:
 
 def read_bronze(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """Bronze (or any ``day``-partitioned) table; ``day`` filters by partition, keeping the column.
-    The ``load`` partition is left out."""
-    df = spark.read.option("mergeSchema", "true").parquet(path).drop(LOAD)
+    The ``load`` partition is left out. A table with a commit log is read through it; without one, loads whose
+    schemas do not merge (a field that was a whole number and is a fraction now) are read one by one and
+    cast to the union of their schemas."""
+    if has_log(spark, path):
+        df = read_table(spark, path).withColumn("day", F.col("day").cast("date"))
+    else:
+        try:
+            df = spark.read.option("mergeSchema", "true").parquet(path)
+        except (PySparkException, Py4JJavaError) as e:  # Spark raises it unconverted
+            if "CANNOT_MERGE" not in str(e):
+                raise
+            df = _read_by_load(spark, path)
+    df = df.drop(LOAD)
     if day is not None:
         df = df.where(F.col("day") == F.lit(day).cast(df.schema["day"].dataType))
     return df
 
 
+def _read_by_load(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    loads = [r[0] for r in files.select(F.regexp_extract("path", rf"/{LOAD}=([^/]+)/", 1)).distinct().collect()]
+    frames = [spark.read.option("mergeSchema", "true").option("basePath", path).parquet(f"{path.rstrip('/')}/*/{LOAD}={load}") for load in sorted(loads)]
+    union = merge_schemas(f.schema for f in frames)
+    return reduce(DataFrame.unionByName, [cast_to(f, union) for f in frames])
+
+
 def event_types(df: DataFrame) -> DataFrame:
     """Distinct event types present."""
     return distinct_values(df, "type")

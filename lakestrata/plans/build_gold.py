@@ -21,7 +21,9 @@ from lakestrata.functions.text import child_table_name, event_table_name
 from lakestrata.operators.aggregates import distinct_values
 from lakestrata.plans import comments, gold, language
 from lakestrata.plans.silver import FACT_TABLE
+from lakestrata.sinks.commits import has_log
 from lakestrata.sinks.parquet import write_plain
+from lakestrata.sources.table import read_table
 
 PUSH = "PushEvent"
 COMMENT_TABLES = ("CommitCommentEvent", "IssueCommentEvent", "PullRequestReviewCommentEvent")
@@ -44,8 +46,11 @@ def read_silver(
     its event type did not occur, is empty, and columns that no row ever filled are typed nulls.
     ``days``: first and last day to read, both included."""
     try:
-        df = spark.read.parquet(f"{silver.rstrip('/')}/{table}")
-        if days is not None:
+        path = f"{silver.rstrip('/')}/{table}"
+        # files of one table may differ in their columns: the log, or else the files' merged schema, has all
+        logged = has_log(spark, path)
+        df = read_table(spark, path, days) if logged else spark.read.option("mergeSchema", "true").parquet(path)
+        if days is not None and not logged:
             day = F.col("day").cast("string")
             df = df.where((day >= days[0]) & (day <= days[1]))
     except AnalysisException as e:

@@ -231,6 +231,30 @@ def _file_plan(counts: dict[str | None, int], rows_per_file: int) -> dict[str, i
     return {day: max(1, math.ceil(n / rows_per_file)) for day, n in counts.items() if day is not None and n}
 
 
+def silver_tables(
+    bronze: DataFrame, contracts: dict, profile: list[dict], event_types: Sequence[str] = EVENT_TYPES
+) -> dict[str, tuple]:
+    """Every table of ``bronze`` as (rows with ``day``, key that spreads them, rows of each day)."""
+    tables: dict[str, tuple] = {}
+    for event_type in event_types:
+        mine = [p for p in profile if p["type"] == event_type]
+        if not mine:
+            continue
+        name = event_table_name(event_type)
+        parent, children = split_event_table(event_table(bronze, event_type, contracts.get(name)), name, contracts)
+        tables[name] = (parent, F.col("id"), {p["day"]: p["rows"] for p in mine})
+        for child_name, child in children.items():
+            array = next((a for a in mine[0]["elements"] if child_table_name(name, a) == child_name), None)
+            # an array inside a struct is not counted apart: at least one file a day, more by its parent's rows
+            counts = {p["day"]: p["elements"][array] if array else p["rows"] for p in mine}
+            tables[child_name] = (child, F.struct("fact_id", "pos"), counts)
+    per_day: dict[str | None, int] = {}
+    for p in profile:
+        per_day[p["day"]] = per_day.get(p["day"], 0) + p["rows"]
+    tables[FACT_TABLE] = (build_fact(bronze, contracts.get(FACT_TABLE)), F.col("id"), per_day)
+    return tables
+
+
 def build_silver(
     spark: SparkSession,
     bronze: DataFrame,
@@ -252,23 +276,7 @@ def build_silver(
     """
     base = dst.rstrip("/")
     profile = profile_bronze(bronze) if profile is None else profile
-    tables: dict[str, tuple] = {}
-    for event_type in event_types:
-        mine = [p for p in profile if p["type"] == event_type]
-        if not mine:
-            continue
-        name = event_table_name(event_type)
-        parent, children = split_event_table(event_table(bronze, event_type, contracts.get(name)), name, contracts)
-        tables[name] = (parent, F.col("id"), {p["day"]: p["rows"] for p in mine})
-        for child_name, child in children.items():
-            array = next((a for a in mine[0]["elements"] if child_table_name(name, a) == child_name), None)
-            # an array inside a struct is not counted apart: at least one file a day, more by its parent's rows
-            counts = {p["day"]: p["elements"][array] if array else p["rows"] for p in mine}
-            tables[child_name] = (child, F.struct("fact_id", "pos"), counts)
-    per_day: dict[str | None, int] = {}
-    for p in profile:
-        per_day[p["day"]] = per_day.get(p["day"], 0) + p["rows"]
-    tables[FACT_TABLE] = (build_fact(bronze, contracts.get(FACT_TABLE)), F.col("id"), per_day)
+    tables = silver_tables(bronze, contracts, profile, event_types)
 
     def write(name: str) -> str:
         df, key, counts = tables[name]
