@@ -1,14 +1,13 @@
 """Document fingerprints by closed syncmers, in SQL expressions only.
 
-The text's alphabet is its pieces: runs of non-space characters, cut every eight code points, each
-hashed. A k-mer is ``K`` consecutive pieces and holds ``K - S + 1`` inner s-mers of ``S`` pieces; it is
-a closed syncmer, and so an anchor, when its least inner s-mer is the first or the last one. Whether
-a k-mer is chosen depends on the k-mer alone, so anchors outside an edit stay, and the fingerprint
-lists them in text order for matching by position. A text of fewer than ``K`` pieces has one anchor,
-all its pieces. Texts of at most ``FINE_CHARS`` code points, for which pieces are too coarse, add the
-closed syncmers of their single code points (``K_FINE``, ``S``). The likeness of two texts is the
-weighted Jaccard similarity of their anchors: of both kinds if both texts are short, else of the piece
-anchors, which every text has, so like is compared with like on both sides of the border.
+The text's alphabet is its pieces, each hashed: a run of at most ``WORD`` non-space code points is one piece, and
+of a longer run (text without spaces, encoded data) every code point is one. So whether and where a piece is
+cut depends on its own run only, and one more character in a long run moves no other cut. A k-mer is ``K``
+consecutive pieces and holds ``K - S + 1`` inner s-mers of ``S`` pieces; it is a closed syncmer, and so an
+anchor, when its least inner s-mer is the first or the last one. Whether a k-mer is chosen depends on the
+k-mer alone, so anchors outside an edit stay, and the fingerprint lists them in text order for matching
+by position. A text of fewer than ``K`` pieces has one anchor, all its pieces. The scheme is the same for texts of all
+lengths. The likeness of two texts is the weighted Jaccard similarity of their anchors.
 
 The next document in key order is found without one sorted stream: keys are cut into at most
 ``MAX_RANGES`` ranges at approximate quantiles, each range is one window group, and every range gets
@@ -29,10 +28,9 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm.common import fresh, read, text_column
 
-K, S = 8, 2
-PIECE = 8
-K_FINE = 5
-FINE_CHARS = 512
+K, S = 6, 2  # K is a multiple of S
+WORD = 16
+PIECES = rf"(?<!\S)\S{{1,{WORD}}}(?!\S)|\S"
 PER_RANGE = 4_000
 MAX_RANGES = 1_024
 
@@ -42,28 +40,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def marks(text: Column) -> Column:
-    """Anchors of ``text`` as (coarse, fine): of its pieces, and of its code points, null if it is not short."""
-    coarse = closed_syncmers(F.regexp_extract_all(text, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)), K, S)
-    fine = closed_syncmers(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), K_FINE, S)
-    return F.struct(coarse.alias("coarse"), F.when(F.length(text) <= FINE_CHARS, fine).alias("fine"))
-
-
-def listed(m: Column) -> Column:
-    """All anchors of ``marks`` (array<int>): pieces first, then code points if short."""
-    return F.when(m["fine"].isNull(), m["coarse"]).otherwise(F.concat(m["coarse"], m["fine"]))
-
-
 def anchors(text: Column) -> Column:
-    """32-bit hashes of the anchors of ``text`` (array<int>)."""
-    return let(marks(text), listed)
-
-
-def alike(a: Column, b: Column) -> Column:
-    """Likeness of two texts by their ``marks``, by the kinds of anchors that both have."""
-    short_ = a["fine"].isNotNull() & b["fine"].isNotNull()
-    pick = lambda m: F.when(short_, listed(m)).otherwise(m["coarse"])
-    return let(F.struct(pick(a).alias("a"), pick(b).alias("b")), lambda x: likeness(x["a"], x["b"]))
+    """32-bit hashes of the anchors of ``text``, in order (array<int>)."""
+    return closed_syncmers(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), K, S)
 
 
 def closed_syncmers(pieces: Column, k: int, s: int) -> Column:
@@ -79,7 +58,8 @@ def closed_syncmers(pieces: Column, k: int, s: int) -> Column:
                 return (least == F.get(m, i)) | (least == F.get(m, i + (k - s)))
 
             starts = F.filter(F.sequence(F.lit(0), F.size(h) - k), is_anchor)
-            return F.transform(starts, lambda i: short(F.xxhash64(F.slice(h, i + 1, F.lit(k)))))
+            # a k-mer's hash from that of the s-mers it is made of
+            return F.transform(starts, lambda i: short(F.xxhash64(*[F.get(m, i + j) for j in range(0, k, s)])))
 
         whole = F.when(F.size(h) > 0, F.array(short(F.xxhash64(h)))).otherwise(F.array().cast("array<int>"))
         return F.when(F.size(h) >= k, let(inner, pick)).otherwise(whole)
@@ -130,13 +110,15 @@ def fingerprint(docs: DataFrame, *, text_col: str = "text", out: str = "fingerpr
     return docs.withColumn(out, anchors(text_column(docs, text_col)))
 
 
-def with_next(docs: DataFrame, *, key: str, carry: list[str], hash_col: str, prefix: str) -> DataFrame:
+def with_next(docs: DataFrame, *, key: str, carry: list[str], hash_col: str, prefix: str, derived: dict[str, Column] | None = None) -> DataFrame:
     """``docs`` plus ``prefix + c`` for c in ``carry``: the value in the next row by (key, hash_col),
-    the first row's after the last. ``key`` is numeric."""
+    the first row's after the last. ``key`` is numeric. ``derived`` columns are computed once for every row (and once
+    more for the few that also close a range) and may be carried."""
+    derived = derived or {}
     spark = docs.sparkSession
     n = docs.count()
     if not n:
-        return docs.withColumns({prefix + c: F.col(c) for c in carry})
+        return docs.withColumns(derived).withColumns({prefix + c: F.col(c) for c in carry})
     ranges = max(1, min(MAX_RANGES, n // PER_RANGE))
     cuts = [i / ranges for i in range(1, ranges)]
     bounds: list = []
@@ -162,7 +144,8 @@ def with_next(docs: DataFrame, *, key: str, carry: list[str], hash_col: str, pre
         .select(*placed.columns)
     )
     order = Window.partitionBy(bucket).orderBy(last, F.col(key).asc_nulls_first(), hash_col)
-    led = placed.unionByName(guests).withColumns({prefix + c: F.lead(c).over(order) for c in carry})
+    # after the join that keeps few rows, not below it
+    led = placed.unionByName(guests).withColumns(derived).withColumns({prefix + c: F.lead(c).over(order) for c in carry})
     return led.where(F.col(last) == 0).drop(bucket, last)
 
 
@@ -170,22 +153,22 @@ def compare_with_edit(docs: DataFrame, *, key: str = "doc_id", text_col: str = "
     """Per document: ``key``, ``n_chars``, ``edited`` (its last quarter replaced by the start of the next
     document), both fingerprints as arrays, ``near_edited`` and ``near_next``."""
     base = docs.select(F.col(f"`{key}`").alias("key"), text_column(docs, text_col).alias("text"))
-    base = base.withColumn("hash", F.xxhash64("text")).withColumn("marks", marks(F.col("text")))
-    led = with_next(base, key="key", carry=["text", "marks"], hash_col="hash", prefix="next_")
+    base = base.withColumn("hash", F.xxhash64("text"))
+    led = with_next(base, key="key", carry=["text", "anchors"], hash_col="hash", prefix="next_", derived={"anchors": anchors(F.col("text"))})
     n = F.length("text").cast("bigint")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), n.cast("int") - quarter), F.substring("next_text", F.lit(1), quarter)
     )
-    done = led.withColumn("edited", edited).withColumn("edited_marks", marks(F.col("edited")))
+    done = led.withColumn("edited", edited).withColumn("edited_anchors", anchors(F.col("edited")))
     return done.select(
         F.col("key").alias(key),
         n.alias("n_chars"),
         "edited",
-        listed(F.col("marks")).alias("fingerprint"),
-        listed(F.col("edited_marks")).alias("edited_fingerprint"),
-        alike(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-        alike(F.col("marks"), F.col("next_marks")).alias("near_next"),
+        F.col("anchors").alias("fingerprint"),
+        F.col("edited_anchors").alias("edited_fingerprint"),
+        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
     )
 
 

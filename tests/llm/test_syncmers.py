@@ -1,5 +1,4 @@
 import hashlib
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +10,8 @@ from lakestrata.llm import syncmers as sy
 def test_anchors_are_the_closed_syncmers(corpus):
     """Against the definition, with Spark's own hashes of the pieces."""
     text = "the cat sat on the mat and then the dog ran off over extraordinarily green hills to the sea " * 8
-    pieces = re.findall(r"\S{1,8}", text)
+    text += "unspacedtextofmorethansixteenletters " * 2
+    pieces = [c for run in text.split() for c in ([run] if len(run) <= sy.WORD else run)]
     p = corpus.createDataFrame([(pieces,)], "p array<string>").select(F.transform("p", lambda x: F.xxhash64(x)).alias("h"))
     h = p.first().h
     k, s = sy.K, sy.S
@@ -19,8 +19,8 @@ def test_anchors_are_the_closed_syncmers(corpus):
         F.transform(F.sequence(F.lit(0), F.size("h") - s), lambda i: F.xxhash64(F.get("h", i), F.get("h", i + 1))).alias("m")
     ).first().m
     chosen = [i for i in range(len(h) - k + 1) if min(smers[i : i + k - s + 1]) in (smers[i], smers[i + k - s])]
-    want = corpus.createDataFrame([(h, chosen)], "h array<bigint>, c array<int>").select(
-        F.transform("c", lambda i: sy.short(F.xxhash64(F.slice("h", i + 1, F.lit(k))))).alias("a")
+    want = corpus.createDataFrame([(smers, chosen)], "m array<bigint>, c array<int>").select(
+        F.transform("c", lambda i: sy.short(F.xxhash64(F.get("m", i), F.get("m", i + 2), F.get("m", i + 4)))).alias("a")
     ).first().a
     got = sy.fingerprint(corpus.createDataFrame([(1, text)], "doc_id int, text string")).first().fingerprint
     assert got == want and 0.1 < len(want) / len(h) < 0.6
@@ -49,13 +49,35 @@ def test_edited_text_next_document_and_likeness(corpus, monkeypatch):
     assert 0.5 < sum(r.near_edited for r in got.values()) / len(got) < 0.75
 
 
-def test_likeness_across_the_border_of_short_texts(corpus):
+def test_likeness_is_the_same_measure_at_all_lengths(corpus):
     words = " ".join(f"w{i * 7919 % 1000:03d}" for i in range(130))
     rows = [(1, words[:520]), (2, words[:510]), (3, words[5:605]), (4, "twenty other letters")]
     got = {r.doc_id: r for r in sy.compare_with_edit(corpus.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[1].near_next > 0.85 and got[2].near_next > 0.6  # 520 against 510, 510 against 600
     assert len(got[3].edited) == 470 and got[3].near_edited > 0.5 and got[3].near_next == 0
-    assert len(got[1].fingerprint) < 60 < 200 < len(got[2].fingerprint)
+    assert abs(len(got[1].fingerprint) - len(got[2].fingerprint)) < 4
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghij", "".join(map(chr, range(0x4E00, 0x4E40)))])
+def test_one_more_character_in_text_without_spaces(corpus, alphabet):
+    import random
+
+    rng = random.Random(6)
+    rows, sizes = [], (40, 500, 512, 513, 600, 2000)
+    for n in sizes:
+        text = "".join(rng.choices(alphabet, k=n))
+        rows += [(len(rows), text), (len(rows) + 1, alphabet[0] + text), (len(rows) + 2, text[: n // 2] + alphabet[1] + text[n // 2 :])]
+    got = {r.doc_id: r for r in sy.compare_with_edit(corpus.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, n in enumerate(sizes):
+        least = 0.6 if n < 100 else 0.9
+        assert got[3 * i].near_next >= least and got[3 * i + 1].near_next >= least - 0.15, n
+
+
+def test_anchors_are_computed_above_the_join_of_the_heads(corpus):
+    docs = corpus.createDataFrame([(i, f"text {i} of some words " * 3) for i in range(40)], "doc_id bigint, text string")
+    plan = sy.compare_with_edit(docs)._jdf.queryExecution().optimizedPlan().toString()
+    guests = plan[plan.index("Join") :]  # below the join no text is cut into pieces
+    assert "regexp_extract_all" in plan and "regexp_extract_all" not in guests
 
 
 def test_odd_rows(corpus, odd_docs, no_docs):
