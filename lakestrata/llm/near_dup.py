@@ -28,8 +28,8 @@ written tables in the shared scratch folder, components use alternating stars wi
 
 Defined results: null counts as empty; a text without words is a copy of equal texts only; class ids
 are the least non-null key of the class (null if it has none); repeated rows fall into one class;
-equal keys with different texts are judged by their texts; an empty table has no classes. Nodes are
-64-bit text hashes.
+equal keys with different texts are judged by their texts; an empty table has no classes; columns of any
+name may stand beside. Nodes are 128-bit text digests, so that no two texts of a corpus of any size meet in one.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import doc_columns, fresh, prepare, read, text_column, text_map
@@ -51,6 +51,7 @@ WORDS = 4  # 64-bit words of one-bit slots, for up to 256 slots
 BITS = tuple(f"w{i}" for i in range(WORDS))
 CARRY = (*BITS, "n", "own")  # what members carry into the joins
 SPREAD = 5.0  # standard errors of the bit estimate
+MEETING = 2_000  # rows of a hot key that meet others in one task
 SIGNED_TOGETHER = 500_000  # characters of texts whose processes run side by side
 
 # Word bytes as in benchmark decontamination: A-Z lowered, digits, a-z and non-ASCII kept, the rest separates.
@@ -60,6 +61,11 @@ _TABLE = bytes(
 _U = np.uint64
 
 
+def node_of(text: Column) -> Column:
+    """The node of a text: its 16-byte digest."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixing (splitmix64 finaliser)."""
     x = x ^ (x >> _U(30))
@@ -276,7 +282,7 @@ def _materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges`` (a, b: bigint) by alternating large and small stars:
+    """Connected components of ``edges`` (a, b: of one ordered type) by alternating large and small stars:
     (node, comp) with comp the component's least node, for all nodes but those themselves."""
     spark = edges.sparkSession
     checkpoint_root(spark)
@@ -318,6 +324,21 @@ def _prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...] = ()) -> DataFra
     return df.select(*[F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
 
 
+def _chunked(df: DataFrame, key: str, node: str, limit: int) -> DataFrame:
+    """``df`` with ``chunk``, its row's share of the key's rows, and ``chunks``, in how many of about ``limit`` rows they are cut."""
+    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(limit)).cast("int").alias("chunks"))
+    return df.join(sizes, key).withColumn("chunk", F.pmod(F.xxhash64(node), F.col("chunks")).cast("int"))
+
+
+def _meetings(left: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the self-join of ``left`` on ``key``, cut so that no task holds all pairs of a hot key: a key's rows
+    are chunks, and each pair of chunks (``lo``, ``hi``) meets apart."""
+    cut = _materialise(_chunked(left, "key", "node", limit), "near-dup-chunks")
+    many = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    many = many.withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")}).drop("other", "chunks")
+    return _prefixed(many, "l_"), _prefixed(many, "r_")
+
+
 def link_nodes(members: DataFrame, texts: DataFrame, threshold: float, slots: int) -> DataFrame:
     """Components (node, comp) of the linked nodes; ``members``: key, node and CARRY."""
     # slots in which a linked pair can differ at most, and a pair near enough to pass a link on
@@ -343,8 +364,10 @@ def link_nodes(members: DataFrame, texts: DataFrame, threshold: float, slots: in
     left = _placed(left, comps, "node", "comp")
     mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     left = _materialise(left.join(mixed, "key"), "near-dup-left")
-    l, r = _prefixed(left, "l_"), _prefixed(left, "r_")  # noqa: E741
-    near = (F.col("l_key") == F.col("r_key")) & (F.col("l_node") > F.col("r_node")) & (F.col("l_comp") != F.col("r_comp")) & (_differ("l_", "r_") <= far) & _may_reach("l_", "r_", threshold)
+    l, r = _meetings(left, MEETING)  # noqa: E741
+    near = (F.col("l_key") == F.col("r_key")) & (F.col("l_lo") == F.col("r_lo")) & (F.col("l_hi") == F.col("r_hi"))
+    near &= ((F.col("l_chunk") != F.col("r_chunk")) | (F.col("l_lo") == F.col("l_hi"))) & (F.col("l_node") > F.col("r_node"))
+    near &= (F.col("l_comp") != F.col("r_comp")) & (_differ("l_", "r_") <= far) & _may_reach("l_", "r_", threshold)
     pairs = l.join(r, near).select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
     found = _compare(pairs, texts)
     compared = compared.union(found)
@@ -355,8 +378,14 @@ def link_nodes(members: DataFrame, texts: DataFrame, threshold: float, slots: in
     grey = stars.where((F.col("differ") <= grey_far) & _may_reach("", "p_", least)).join(linked, ["node", "p_node"], "left_anti")
     grey = _placed(grey.select("node", "p_node", *CARRY).distinct(), comps, "node", "comp")
     friend = stars.join(linked, ["node", "p_node"], "left_semi").select("node", "p_node", *CARRY).distinct()
-    x, y = _prefixed(grey, "x_", ("p_node",)), _prefixed(_placed(friend, comps, "node", "comp"), "y_")
-    near = (F.col("p_node") == F.col("y_p_node")) & (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") != F.col("y_node")) & (_differ("x_", "y_") <= far) & _may_reach("x_", "y_", threshold)
+    # a hot first node's rows of both sides are chunks too, each pair of which meets apart
+    grey, friend = _chunked(grey, "p_node", "node", MEETING), _chunked(_placed(friend, comps, "node", "comp"), "p_node", "node", MEETING)
+    sides = grey.groupBy("p_node").agg(F.first("chunks").alias("xs")).join(friend.groupBy("p_node").agg(F.first("chunks").alias("ys")), "p_node")
+    sides = _materialise(sides, "near-dup-sides")
+    grey = grey.drop("chunks").join(sides, "p_node").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("ys") - 1))).drop("xs", "ys")
+    friend = friend.drop("chunks").join(sides, "p_node").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("xs") - 1))).drop("xs", "ys")
+    x, y = _prefixed(grey, "x_", ("p_node",)), _prefixed(friend, "y_")
+    near = (F.col("p_node") == F.col("y_p_node")) & (F.col("x_meets") == F.col("y_chunk")) & (F.col("x_chunk") == F.col("y_meets")) & (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") != F.col("y_node")) & (_differ("x_", "y_") <= far) & _may_reach("x_", "y_", threshold)
     pairs = x.join(y, near).select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
     found = _compare(pairs, texts)
     if not _links(found, threshold).isEmpty():
@@ -372,7 +401,7 @@ def near_duplicates(
     class), ``class_node`` (least node of the class), ``copies`` (rows with equal text)."""
     spark = prepare(docs.sparkSession)
     base = docs.select(F.col(f"`{key}`").alias("key"), text_column(docs, text_col).alias("text")).withColumn(
-        "node", F.xxhash64("text")
+        "node", node_of(F.col("text"))
     )
     made = base.select("key", "node", _bands_map(bands, rows)(F.col("text")).alias("s"))
     sig = _materialise(made.select("key", "node", "s.*"), "near-dup-signatures")
@@ -411,7 +440,7 @@ def stage(spark, docs, sf_dir) -> DataFrame:
     chosen = classes.groupBy("class_node").agg(F.min(order).alias("c")).select(F.col("c.k").alias(k), F.col("c.t").alias(t))
     slim = _materialise(classes.select(F.col("doc_id").alias(k), F.col("node").alias(t)), "near-dup-classes")
     chosen = _materialise(chosen, "near-dup-chosen")
-    marked = docs.withColumn(node, F.xxhash64(text_column(docs, "text")))
+    marked = docs.withColumn(node, node_of(text_column(docs, "text")))
     same = F.col("doc_id").eqNullSafe(F.col(k)) & (F.col(node) == F.col(t))
     kept = marked.join(chosen, same, "left_semi")
     other = chosen.withColumnsRenamed({k: k + "2", t: t + "2"})

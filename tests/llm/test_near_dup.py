@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lakestrata.llm import near_dup as nd
@@ -54,7 +56,9 @@ def _chain(rng, length):
     return out
 
 
-def test_classes_equal_brute_force(corpus):
+@pytest.mark.parametrize("meeting", [nd.MEETING, 3])
+def test_classes_equal_brute_force(corpus, monkeypatch, meeting):
+    monkeypatch.setattr(nd, "MEETING", meeting)  # small: hot buckets meet in many parts
     rng = random.Random(3)
     texts = [" ".join(f"u{rng.randrange(300)}" for _ in range(60)) for _ in range(40)]
     for base in texts[:6]:
@@ -107,3 +111,16 @@ def test_signatures_do_not_depend_on_how_texts_are_grouped():
     texts = ["a b c d e f g " * n for n in range(30)] + [None, ""]
     assert [t for some in nd._by_size(texts, 500) for t in some] == texts
     assert max(sum(len(t or "") for t in some[:-1]) for some in nd._by_size(texts, 500)) < 500
+
+
+def test_pairs_of_a_hot_key_meet_once_in_some_part(corpus):
+    rows = [(k, f"n{k}-{i}".encode()) for k, n in ((1, 57), (2, 1), (3, 12)) for i in range(n)]
+    left = corpus.createDataFrame(rows, "key bigint, node binary")
+    l, r = nd._meetings(left, 10)
+    on = (F.col("l_key") == F.col("r_key")) & (F.col("l_lo") == F.col("r_lo")) & (F.col("l_hi") == F.col("r_hi"))
+    on &= ((F.col("l_chunk") != F.col("r_chunk")) | (F.col("l_lo") == F.col("l_hi"))) & (F.col("l_node") > F.col("r_node"))
+    met = [(x.l_node, x.r_node) for x in l.join(r, on).collect()]
+    want = {(a, b) for k, a in rows for j, b in rows if k == j and a > b}
+    assert len(met) == len(set(met)) and {(bytes(a), bytes(b)) for a, b in met} == want
+    parts = l.groupBy("l_key", "l_lo", "l_hi").count().where("l_key = 1").collect()
+    assert max(p["count"] for p in parts) < 57 / 2
