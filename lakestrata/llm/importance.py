@@ -157,13 +157,17 @@ def weigh(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = np.array(gains, np.int64)
         for batch in batches:
+            texts = _batch_texts(batch)
+            seen: set[bytes] = set()
+            for text in texts:
+                for found in _features(text, low, high):
+                    seen.update(found)
+            distinct = list(seen)
+            known = dict(zip(distinct, gain[_buckets_of(distinct, buckets)].tolist(), strict=True))
             n_words, n_features, weight = [], [], []
-            known: dict[bytes, int] = {}
-            for text in _batch_texts(batch):
-                words = features = total = 0
+            for text in texts:  # cut into features again: a very long text is never held as its features
+                features = total = 0
                 for found in _features(text, low, high):
-                    missing = [f for f in set(found) if f not in known]
-                    known.update(zip(missing, gain[_buckets_of(missing, buckets)].tolist(), strict=True))
                     features += len(found)
                     total += sum(map(known.__getitem__, found))
                 n_features.append(features)
