@@ -21,12 +21,12 @@ from lakestrata.operators.schema_union import cast_to, merge_schemas
 from lakestrata.operators.variant import event_table_with_rest, read_events_variant, with_rest_fields
 from lakestrata.operators.variant import field as variant_field
 from lakestrata.plans import bronze as bronze_plan
-from lakestrata.plans import comments, gold, increments, lake, language, silver
+from lakestrata.plans import comments, gold, increments, lake, language, open_set, silver
 from lakestrata.plans.build_gold import FACT_SCHEMA, PUSH_SCHEMA, read_silver
 from lakestrata.session import configure, scratch_dir
 from lakestrata.sinks.bucketed import buckets_for, write_bucketed
 from lakestrata.sinks.clustered import read_containing, read_range, write_clustered
-from lakestrata.sinks.commits import files_of, history
+from lakestrata.sinks.commits import exists, files_of, history
 from lakestrata.sinks.parquet import write_bounded_by_day
 from lakestrata.sources.table import read_table
 import example_views as tv
@@ -190,7 +190,7 @@ _BUILT: dict[tuple, str] = {}
 def _built(spark, sf_dir, name, build) -> str:
     """Root of a lake built once per application and input; the queries read its tables."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _BUILT:
+    if key not in _BUILT or not exists(spark, _BUILT[key]):
         root = scratch_dir(spark, name)
         build(root)
         _BUILT[key] = root
@@ -211,7 +211,7 @@ def _silver_lake(spark, sf_dir, name, bronze, types) -> str:
 
 
 def _silver_table(spark, root, table):
-    back = spark.read.parquet(f"{root}/silver/{table}")
+    back = read_silver(spark, f"{root}/silver", table)
     return back.withColumn("day", F.col("day").cast("string"))
 
 
@@ -250,12 +250,16 @@ def q_late_child(spark, sf_dir):
 ARCHIVE_TYPES = tuple(tv.ARCHIVE_TYPE.values())
 
 
+def _archive_silver(spark, sf_dir) -> str:
+    return _silver_lake(spark, sf_dir, "archive-lake", tv.archive_events(spark, sf_dir), ARCHIVE_TYPES)
+
+
 def _archive_lake(spark, sf_dir) -> str:
     """The whole lake on archive-shaped events: bronze → contracts → silver → all gold datasets
     (language detector trained on the documents)."""
     from lakestrata.plans.build_gold import build_gold
 
-    base = _silver_lake(spark, sf_dir, "archive-lake", tv.archive_events(spark, sf_dir), ARCHIVE_TYPES)
+    base = _archive_silver(spark, sf_dir)
 
     def build(root):
         model = language.train_language_detector(tv.table(spark, sf_dir, "documents"), "text", "lang")
@@ -284,12 +288,23 @@ def q_gold_language_totals(spark, sf_dir):
     return stats.select("type", total.cast("bigint").alias("comments"))
 
 
+def q_archive_texts(spark, sf_dir):
+    """Characters (but line breaks) of the texts that silver holds, by event type: together those of all documents."""
+    spark = _s(spark)
+    root = f"{_archive_silver(spark, sf_dir)}/silver"
+    names = {"IssueCommentEvent": "issue_comment_event_df", "CommitCommentEvent": "commit_comment_event_df",
+             "PullRequestReviewCommentEvent": "pull_request_review_comment_event_df"}
+    texts = [read_silver(spark, root, t, "comment_body string").select(F.lit(n).alias("type"), F.col("comment_body").alias("t")) for n, t in names.items()]
+    lines = read_silver(spark, root, "push_event_df_commits_df", "message string")
+    texts.append(lines.select(F.lit("PushEvent").alias("type"), F.col("message").alias("t")))
+    chars = F.sum(F.length(F.replace("t", F.lit("\n")))).cast("bigint")
+    return comments.union_sources(texts).groupBy("type").agg(chars.alias("chars")).where("chars is not null")
+
+
 def q_silver_child(spark, sf_dir):
     """The commits child table of the archive lake."""
     spark = _s(spark)
-    _archive_lake(spark, sf_dir)
-    root = _BUILT[(spark.sparkContext.applicationId, sf_dir, "archive-lake")]
-    return _silver_table(spark, root, "push_event_df_commits_df")
+    return _silver_table(spark, _archive_silver(spark, sf_dir), "push_event_df_commits_df")
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -525,6 +540,19 @@ def q_detect_language(spark, sf_dir):
     return coded.withColumn("held_out", _held_out())
 
 
+UNTAUGHT = "fr"
+
+
+def q_open_set_languages(spark, sf_dir):
+    """Every document's language by a detector that was taught all languages but one (on three quarters of the others'
+    documents): those of the left-out language should be ``Unknown``."""
+    spark = _s(spark)
+    docs = tv.table(spark, sf_dir, "documents")
+    detector = open_set.train_open_set(docs.where(~_held_out() & (F.col("lang") != UNTAUGHT)))
+    coded = open_set.detect_open_set(docs.select("doc_id", "lang", "text"), detector).drop("text")
+    return coded.withColumn("held_out", _held_out())
+
+
 def q_language_report(spark, sf_dir):
     """Gathered comments → detected code → language → type × language counts."""
     spark = _s(spark)
@@ -593,6 +621,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_languages": q_gold_languages,
         "gold_language_totals": q_gold_language_totals,
         "silver_child": q_silver_child,
+        "archive_texts": q_archive_texts,
         "two_loads_bronze": q_two_loads_bronze,
         "two_loads_push": _two_loads_table("push_event_df", "id", "created_at", "push_id", "size", "distinct_size", "ref", "day"),
         "two_loads_commits": _two_loads_table("push_event_df_commits_df", "fact_id", "event_created_at", "pos", "message", "day"),
@@ -622,6 +651,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unlisted_languages": q_unlisted_languages,
         "detect_language": q_detect_language,
         "language_report": q_language_report,
+        "open_set_languages": q_open_set_languages,
         **_corpus_part("queries"),
     }
 
@@ -709,33 +739,38 @@ _BRONZE_FLAT = f"""
     FROM ({_EV})"""
 
 
-_WEEKLY = f"""
-            WITH b AS (SELECT CAST(ts AS DATE) AS d, 'user' || CAST(user_id AS VARCHAR) AS u, event_type
-                       FROM events),
+def _weekly(source: str, types) -> str:
+    """Events of each type per US week and user; ``source`` has ``ts``, ``login`` and ``type``."""
+    return f"""
+            WITH b AS (SELECT CAST(ts AS DATE) AS d, login AS u, type FROM ({source})),
                  w AS (SELECT *, CAST(date_trunc('year', d) AS DATE) AS j1,
                               CAST(date_trunc('year', d) + INTERVAL 1 YEAR AS DATE) AS nj FROM b)
             SELECT CAST(CASE WHEN date_diff('day', d, nj) <= dayofweek(nj) THEN 1
                              ELSE CAST(floor((dayofyear(d) + dayofweek(j1) - 1) / 7) AS BIGINT) + 1
                         END AS VARCHAR) AS week_of_year,
-                   u AS "user", {_counts('event_type', EVENT_TYPES, False)}
+                   u AS "user", {_counts('type', types, False)}
             FROM w GROUP BY 1, 2"""
 
 
-# the archive view: event types renamed, document d at event d * (events // documents)
+_WEEKLY = _weekly(_EV, EVENT_TYPES)
+
+
+# the archive view: event types renamed, every document at some event (mirrors example_views.archive_events)
 _ARCHIVE = """
-    SELECT e.*, CASE type WHEN 'purchase' THEN 'PushEvent' WHEN 'click' THEN 'IssueCommentEvent'
-                          WHEN 'error' THEN 'CommitCommentEvent' WHEN 'signup' THEN 'PullRequestReviewCommentEvent'
-                          ELSE 'WatchEvent' END AS atype,
+    SELECT e.*, CASE WHEN type = 'purchase' THEN 'PushEvent' WHEN type = 'click' THEN 'IssueCommentEvent'
+                     WHEN type = 'signup' THEN 'PullRequestReviewCommentEvent'
+                     WHEN type = 'error' OR d.slot IS NOT NULL THEN 'CommitCommentEvent' ELSE 'WatchEvent' END AS atype,
            CASE WHEN k < 10 THEN 'org' || CAST(k AS VARCHAR) END AS org,
            ['master', 'gh-pages', 'dev'][CAST(k % 3 AS INTEGER) + 1] AS branch, d.text
     FROM (EVENTS) e
-    LEFT JOIN documents d ON CAST(e.id AS BIGINT)
-         = d.doc_id * greatest(1, (SELECT count(*) FROM events) // greatest(1, (SELECT count(*) FROM documents)))
+    LEFT JOIN (SELECT doc_id * greatest(1, (SELECT count(*) FROM events) // greatest(1, (SELECT count(*) FROM documents)))
+                      % (SELECT count(*) FROM events) AS slot, string_agg(text, chr(10) ORDER BY doc_id) AS text
+               FROM documents GROUP BY 1) d ON CAST(e.id AS BIGINT) = d.slot
     """.replace("EVENTS", _EV)
 _ARCHIVE_COMMENTS = f"""
     SELECT id, created_at, atype AS type, login AS actor_login, org AS org_login,
            CASE WHEN type = 'purchase' THEN replace(text, chr(10), ',') ELSE text END AS comment
-    FROM ({_ARCHIVE}) WHERE type IN ('purchase', 'click', 'error', 'signup') AND (type <> 'purchase' OR text IS NOT NULL)"""
+    FROM ({_ARCHIVE}) WHERE atype <> 'WatchEvent' AND (type <> 'purchase' OR text IS NOT NULL)"""
 
 
 # documents as archive events (mirrors example_views.document_events)
@@ -863,10 +898,10 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(CAST(branch = 'gh-pages' AS BIGINT)) AS BIGINT) AS "gh-pages",
                    CAST(sum(CAST(branch NOT IN ('master', 'gh-pages') AS BIGINT)) AS BIGINT) AS other
             FROM ({_ARCHIVE}) WHERE type = 'purchase' GROUP BY 1""",
-        "gold_user_weeks": _WEEKLY.replace(
-            _counts("event_type", EVENT_TYPES, False),
-            ", ".join(f"count(*) FILTER (WHERE event_type = '{t}') AS \"{a}\"" for t, a in tv.ARCHIVE_TYPE.items()),
-        ),
+        "gold_user_weeks": _weekly(f"SELECT ts, login, atype AS type FROM ({_ARCHIVE})", tv.ARCHIVE_TYPE.values()),
+        "archive_texts": f"""
+            SELECT atype AS type, CAST(sum(length(replace(text, chr(10), ''))) AS BIGINT) AS chars
+            FROM ({_ARCHIVE}) WHERE text IS NOT NULL GROUP BY 1""",
         "gold_push_activity": f"""
             SELECT login AS actor_login, k AS repo_id, login AS repo_owner, 'repo' || CAST(k AS VARCHAR) AS project_name,
                    CAST(sum(k) AS BIGINT) AS number_of_push_events,

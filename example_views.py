@@ -223,17 +223,23 @@ BRANCHES = ("master", "gh-pages", "dev")
 
 def archive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events ⟕ documents`` as archive-shaped bronze: push events whose commits are every line of the
-    matching document, comment events whose body is the whole document, watch events. The documents
-    are spread evenly over the events, and so over all their days: document ``d`` belongs to event
-    ``d × (events // documents)``.
+    matching documents, comment events whose body is their whole text, watch events. Every document is some event's,
+    spread evenly over the events and so over all their days: document ``d`` belongs to event
+    ``d × (events // documents)`` modulo the number of events (their ids are dense); where several meet, their texts are
+    joined by line breaks. A view that has a document is a commit comment.
 
     Same ``actor``/``repo``/``org`` structs as ``bronze_events``; ``type`` uses the archive names.
     """
     ev = table(spark, sf_dir, "events")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    step = max(1, ev.count() // max(1, docs.count()))
-    base = ev.join(docs, ev["event_id"] == docs["doc_id"] * step, "left").select(
-        "event_id", "ts", "user_id", "event_type", props_k().alias("__k"), "text"
+    n = max(1, ev.count())
+    step = max(1, n // max(1, docs.count()))
+    meet = docs.groupBy(F.pmod(F.col("doc_id") * step, F.lit(n)).alias("slot")).agg(F.collect_list(F.struct("doc_id", "text")).alias("d"))
+    texts = F.transform(F.filter(F.array_sort("d"), lambda x: x["text"].isNotNull()), lambda x: x["text"])
+    joined = meet.select("slot", F.when(F.size(texts) > 0, F.array_join(texts, "\n")).alias("text"))
+    base = ev.join(joined, ev["event_id"] == joined["slot"], "left").select(
+        "event_id", "ts", "user_id", F.when((F.col("event_type") == "view") & F.col("slot").isNotNull(), "error").otherwise(F.col("event_type")).alias("event_type"),
+        props_k().alias("__k"), "text",
     )
     k = F.col("__k")
     etype = F.col("event_type")

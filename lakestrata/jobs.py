@@ -19,7 +19,7 @@ import json
 
 from lakestrata.plans import bronze as bronze_plan
 from lakestrata.plans import silver
-from lakestrata.session import build_session
+from lakestrata.session import build_session, release_scratch
 
 
 def _plan(spark, args) -> None:
@@ -169,7 +169,10 @@ def main(argv: list[str] | None = None) -> None:
         "plan": _plan, "bronze": _bronze, "stream": _stream, "ingest": _ingest, "refresh": _refresh, "compact": _compact,
         "silver": _silver, "gold": _gold,
     }
-    job[args.job](spark, args)
+    try:
+        job[args.job](spark, args)
+    finally:
+        release_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, NGram, RegexTokenizer, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,10 +89,9 @@ def detector_stages(label_col: str = "lang", analyzer: str = "chars", num_featur
     if analyzer == "words":
         features = [RegexTokenizer(inputCol=TEXT, outputCol="__tokens", pattern="[^\\p{L}]+", toLowercase=True)]
     elif analyzer == "chars":
-        features = [
-            RegexTokenizer(inputCol=TEXT, outputCol="__chars", pattern="", gaps=True, toLowercase=True),
-            NGram(n=ngram, inputCol="__chars", outputCol="__tokens"),
-        ]
+        # all overlapping n-grams: those at every n-th place, for each of n first places (no string for each character)
+        runs = [f"regexp_extract_all(substring(lower({TEXT}), {i + 1}), '(?s){'.' * ngram}', 0)" for i in range(ngram)]
+        features = [SQLTransformer(statement=f"SELECT *, concat({', '.join(runs)}) AS __tokens FROM __THIS__")]
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}: use 'words' or 'chars'")
     tf = HashingTF(inputCol="__tokens", outputCol="__features", numFeatures=num_features)

@@ -45,6 +45,8 @@ def build_session(
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # files of a checkpoint go when nothing refers to it any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -77,7 +79,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/lakestrata/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the checkpoint root for one run's written tables."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/lakestrata/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder for one run's written tables, in this application's part of the checkpoint root."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch tables of this application, once nothing that reads them is needed any more (results are lazy, so
+    write or collect them first). Other applications' folders are left alone. Whether there were any."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

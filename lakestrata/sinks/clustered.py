@@ -22,8 +22,9 @@ ROWS_PER_FILE = 1_000_000
 
 def grams(c: Column) -> Column:
     """The distinct runs of three code points of a text; none for shorter or null texts."""
-    starts = F.when(F.length(c) >= GRAM, F.sequence(F.lit(1), F.length(c) - GRAM + 1))
-    return F.coalesce(F.array_distinct(F.transform(starts, lambda i: F.substr(c, i, F.lit(GRAM)))), F.array().cast("array<string>"))
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    runs = F.transform(chars, lambda x, i: F.concat(x, *[F.get(chars, i + j) for j in range(1, GRAM)]))  # null at the end
+    return F.coalesce(F.array_distinct(F.filter(runs, lambda r: r.isNotNull())), F.array().cast("array<string>"))
 
 
 def write_clustered(

@@ -277,3 +277,14 @@ def test_contract_versions(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(contract, "put_if_absent", lambda *a: False)
     with pytest.raises(CommitConflict):
         contract.save_contracts(spark, {}, path)
+
+
+def test_scratch_tables_are_released(spark):
+    from lakestrata.session import checkpoint_root, release_scratch, scratch_dir
+
+    path, other = scratch_dir(spark, "kept"), f"{checkpoint_root(spark)}/lakestrata/another-application/t"
+    spark.range(3).write.parquet(path)
+    spark.range(3).write.parquet(other)
+    assert spark.read.parquet(path).count() == 3
+    assert release_scratch(spark) and not os.path.exists(path) and os.path.exists(other)
+    assert not release_scratch(spark)
