@@ -5,10 +5,12 @@ Windows of one length form one Wu-Manber table: blocks of two words index a shif
 jumps over positions where no window can end; where the shift is zero, the suffix-block bucket,
 narrowed by the window's first block, gives the few windows that are compared directly.
 
-The windows are a stated query set: their total size is measured first, and a set beyond
-``max_pattern_bytes`` is searched in several blocks, one pass over the documents each, with the
-result so far checkpointed between passes. Documents are only mapped, never shuffled, so a hot
-passage costs its own occurrences and nothing else.
+The windows are a stated query set: their total size is measured first, and a set whose tables would take more
+than ``max_pattern_bytes`` is cut into blocks. A task holds one block's tables at a time and searches some
+``HELD_TEXT`` bytes of texts with every block before it takes the next texts, so the documents are read once. The
+items' texts themselves are shared with the workers up to ``max_shared_bytes``; only beyond that is there another pass
+over the documents, with the result so far checkpointed between passes. Documents are only mapped, never
+shuffled, so a hot passage costs its own occurrences and nothing else.
 
 Defined results: null or word-free text has no words, no hits and is clean; an item without words
 has no window; equal windows of several items count for each of them; a null item id is reported
@@ -19,16 +21,20 @@ hits. Very long texts are scanned whole.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import doc_columns, fresh, text_column, text_map
+from lakestrata.llm.common import doc_columns, fresh, text_column
 from lakestrata.session import checkpoint_root
 
 WINDOW = 13
 MAX_PATTERN_BYTES = 32 * 1024 * 1024
+MAX_SHARED_BYTES = 256 * 1024 * 1024
+HELD_TEXT = 64 * 1024 * 1024
 
 # Bytes of words: digits, lower-case letters and everything beyond ASCII; A-Z is lowered, the rest separates.
 _TABLE = bytes(
@@ -93,35 +99,58 @@ def build_tables(items: list[tuple[str | None, str | None]], window: int = WINDO
     return [WuManber(m, windows) for m, windows in sorted(by_length.items())]
 
 
-def search_texts(texts: list, tables: list[WuManber]) -> pa.StructArray:
-    n_words, all_spans, all_items = [], [], []
-    for text in texts:
-        words = words_of(text)
-        found: list[tuple[int, int]] = []
-        items: set[str] = set()
-        for table in tables:
-            table.scan(words, found, items)
+def search_texts(texts: list, blocks: Iterable[list[WuManber]]) -> pa.StructArray:
+    """Hits of all blocks' windows in every text; each block is taken once."""
+    n_words = [0] * len(texts)
+    found: list[list[tuple[int, int]]] = [[] for _ in texts]
+    items: list[set[str]] = [set() for _ in texts]
+    for tables in blocks:
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            n_words[i] = len(words)
+            for table in tables:
+                table.scan(words, found[i], items[i])
+    all_spans = []
+    for spans in found:
         merged: list[list[int]] = []
-        for start, end in sorted(found):
+        for start, end in sorted(spans):
             if merged and start <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], end)
             else:
                 merged.append([start, end])
-        n_words.append(len(words))
         all_spans.append([{"start": s, "end": e} for s, e in merged])
-        all_items.append(sorted(items))
     return pa.StructArray.from_arrays(
-        [pa.array(n_words, pa.int64()), pa.array(all_spans, _SPAN), pa.array(all_items, pa.list_(pa.string()))],
+        [pa.array(n_words, pa.int64()), pa.array(all_spans, _SPAN), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
         names=["n_words", "spans", "items"],
     )
 
 
-def _searcher(tables_broadcast, window: int):
-    def factory():
-        tables = build_tables(tables_broadcast.value, window)
-        return lambda texts: search_texts(texts, tables)
-
-    return text_map(_DDL, factory)
+def _searcher(shared: list, window: int, held_text: int):
+    """The search of the shared blocks as a column function. One block's tables are made once a task; of several, each is
+    made anew for every ``held_text`` characters of texts."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        if len(shared) == 1:
+            tables = build_tables(shared[0].value, window)
+            for batch in batches:
+                yield search_texts(batch.to_pylist(), [tables])
+            return
+        held: list[list] = []
+        size = 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                held.append(batch.to_pylist())
+                size += sum(len(t) for t in held[-1])
+            if held and (batch is None or size >= held_text):
+                got = search_texts([t for texts in held for t in texts], (build_tables(b.value, window) for b in shared))
+                at = 0
+                for texts in held:  # as many rows a batch as came in
+                    yield got.slice(at, len(texts))
+                    at += len(texts)
+                held, size = [], 0
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, _DDL).asNondeterministic()
 
 
 def decontaminate(
@@ -134,6 +163,8 @@ def decontaminate(
     window: int = WINDOW,
     words_per_hit: int = 20,
     max_pattern_bytes: int = MAX_PATTERN_BYTES,
+    max_shared_bytes: int = MAX_SHARED_BYTES,
+    held_text: int = HELD_TEXT,
     out: str = "decontamination",
 ) -> DataFrame:
     """``docs`` plus struct ``out``: ``n_words``, ``n_hit``, ``spans`` (word ranges inside any
@@ -146,13 +177,16 @@ def decontaminate(
     # each word sits in up to `window` windows, so a table takes about that many times the text
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total * window / max_pattern_bytes))
+    a_pass = max(1, blocks // max(1, math.ceil(total / max_shared_bytes)))  # blocks whose texts are shared at once
     part = fresh(docs, "_found")
     merged = docs
     acc: str | None = None
-    for b in range(blocks):
-        chosen = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in chosen.toLocalIterator()])
-        merged = merged.withColumn(part, _searcher(shared, window)(text_column(docs, text_col)))
+    for first in range(0, blocks, a_pass):
+        shared = []
+        for b in range(first, min(blocks, first + a_pass)):
+            chosen = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+            shared.append(spark.sparkContext.broadcast([(r["item"], r["text"]) for r in chosen.toLocalIterator()]))
+        merged = merged.withColumn(part, _searcher(shared, window, held_text)(text_column(docs, text_col)))
         if acc is None:
             acc = fresh(merged, "_so_far")
             merged = merged.withColumnRenamed(part, acc)
@@ -165,7 +199,7 @@ def decontaminate(
                     F.array_union(f"{acc}.items", f"{part}.items").alias("items"),
                 ),
             ).drop(part)
-        if b < blocks - 1:
+        if first + a_pass < blocks:
             checkpoint_root(spark)
             merged = merged.checkpoint()
     hit = F.aggregate(

@@ -41,9 +41,9 @@ def test_search_equals_brute_force(corpus):
     docs = corpus.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     bench = corpus.createDataFrame(items, "item_id bigint, text string")
     want = {i: brute(t, items) for i, t in enumerate(texts)}
-    # the last bound cuts the items into several blocks
-    for bound in (dc.MAX_PATTERN_BYTES, 3_000):
-        got = dc.decontaminate(docs, bench, max_pattern_bytes=bound, out="d").collect()
+    # several blocks in one pass over the documents, few or many texts held at a time; several passes
+    for options in ({}, {"max_pattern_bytes": 3_000}, {"max_pattern_bytes": 3_000, "held_text": 100}, {"max_pattern_bytes": 3_000, "max_shared_bytes": 300}):
+        got = dc.decontaminate(docs.repartition(2), bench, out="d", **options).collect()
         assert {r.doc_id: (r.d.n_words, r.d.n_hit, r.d.items) for r in got} == want
         for r in got:
             n, hit, _ = want[r.doc_id]
@@ -57,3 +57,14 @@ def test_odd_rows_and_empty_tables(odd_docs, no_docs, corpus):
     assert all(r.contaminated == (r.doc_id == 1) for r in got)
     assert dc.decontaminate(no_docs, bench).count() == 0
     assert dc.decontaminate(odd_docs, bench.limit(0)).where("decontamination.n_hit > 0").count() == 0
+
+
+def test_many_blocks_read_the_documents_once(corpus, monkeypatch):
+    """A set of items of many blocks: no checkpoint of the documents, the same hits as of one block."""
+    words = [f"w{i % 997}x{i}" for i in range(60_000)]
+    items = corpus.createDataFrame([(i, " ".join(words[i * 30 : i * 30 + 30])) for i in range(2_000)], "item_id int, text string")
+    docs = corpus.createDataFrame([(i, "a b " + " ".join(words[i * 150 : i * 150 + 40])) for i in range(300)], "doc_id int, text string")
+    monkeypatch.setattr(dc, "checkpoint_root", None)  # calling it would raise
+    one = {r.doc_id: r.d for r in dc.decontaminate(docs, items, out="d").collect()}
+    many = {r.doc_id: r.d for r in dc.decontaminate(docs, items, out="d", max_pattern_bytes=400_000, held_text=4_000).collect()}
+    assert one == many and all(d.n_hit >= 30 for d in one.values())
