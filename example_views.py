@@ -290,7 +290,11 @@ def document_events(spark: SparkSession, sf_dir: str, load: str) -> DataFrame:
     The second load's pushes also carry ``distinct_size`` and an array ``labels``, and their ``size`` is a fraction."""
     d = table(spark, sf_dir, "documents")
     late = F.pmod("doc_id", F.lit(SECOND_LOAD)) == 0
-    d = d.where(late if load == "second" else ~late)
+    return events_from_documents(d.where(late if load == "second" else ~late), load)
+
+
+def events_from_documents(d: DataFrame, load: str = "first") -> DataFrame:
+    """The rows of ``document_events`` from rows of ``documents`` (works on a stream too)."""
     n = F.col("doc_id")
     kind, user, repo = F.pmod(n, F.lit(4)), F.pmod(n, F.lit(97)), F.pmod(n, F.lit(31))
     login = F.concat(F.lit("user"), _txt(user))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.operators.schema_union import nullable
 from lakestrata.sinks.commits import CommitConflict, put_if_absent
 
 _FILES = "contracts-*.json"
@@ -67,8 +68,8 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 
 def contract_of(df: DataFrame) -> T.StructType:
-    """The contract a frame satisfies: its schema with every field nullable."""
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    """The contract a frame satisfies: its schema with nulls allowed at every depth."""
+    return T.StructType([T.StructField(f.name, nullable(f.dataType), True) for f in df.schema.fields])
 
 
 _WIDER = {("int", "bigint"): 1, ("int", "double"): 1, ("bigint", "double"): 1, ("float", "double"): 1, ("int", "float"): 1}

@@ -68,7 +68,18 @@ def merge_structs(a: T.StructType, b: T.StructType) -> T.StructType:
 
 
 def merge_schemas(schemas: Iterable[T.StructType]) -> T.StructType:
-    return reduce(merge_structs, schemas, T.StructType([]))
+    return reduce(merge_structs, (nullable(s) for s in schemas), T.StructType([]))
+
+
+def nullable(t: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every depth: what one load happens to lack is no promise of the next."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True, f.metadata) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(nullable(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(t.keyType, nullable(t.valueType), True)
+    return t
 
 
 def cast_column(c: Column, have: T.DataType, want: T.DataType) -> Column:

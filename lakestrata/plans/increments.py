@@ -11,14 +11,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.functions.text import event_table_name, split_part
+from lakestrata.functions.text import child_table_name, event_table_name, split_part
 from lakestrata.functions.timefmt import day_text, hour_bucket, hour_text, parse_ts, us_week_of_year
 from lakestrata.operators.aggregates import segment_tallies
-from lakestrata.plans import gold
-from lakestrata.plans.build_gold import FACT_SCHEMA, PUSH, PUSH_SCHEMA, read_silver
+from lakestrata.plans import gold, language
+from lakestrata.plans.build_gold import (
+    COMMENT_SCHEMA,
+    COMMENT_TABLES,
+    COMMITS_SCHEMA,
+    FACT_SCHEMA,
+    PUSH,
+    PUSH_SCHEMA,
+    label_comments,
+    read_silver,
+)
 from lakestrata.plans.silver import FACT_TABLE
 from lakestrata.sinks.commits import commit, history, parts_of, write_commit
 from lakestrata.sinks.parquet import DAY, write_plain
@@ -72,9 +82,19 @@ def finals(parts: dict[str, DataFrame], types: Sequence[str] | None = None) -> d
     }
 
 
-def refresh_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict:
+def language_rows(spark: SparkSession, silver_root: str, fact: DataFrame, days: set[str], model: PipelineModel, threshold: float) -> DataFrame:
+    """The labelled comments of some days (an event's comments stand on its day), each with its ``day``."""
+    tables = [read_silver(spark, silver_root, event_table_name(t), COMMENT_SCHEMA, days) for t in COMMENT_TABLES]
+    commits = read_silver(spark, silver_root, child_table_name(event_table_name(PUSH), "commits"), COMMITS_SCHEMA, days)
+    return label_comments(fact, tables, commits, model, threshold).withColumn(DAY, F.substring("created_at", 1, 10))
+
+
+def refresh_gold(
+    spark: SparkSession, silver_root: str, gold_root: str, model: PipelineModel | None = None, threshold: float = 0.1
+) -> dict:
     """Bring the five reports up to silver's last refresh; reads only the days that silver rewrote since. Returns
-    the days whose partial results were replaced and the reports written."""
+    the days whose partial results were replaced and the reports written. With a ``model`` the two language datasets
+    are kept as well: only comments of those days go through the detector."""
     base = gold_root.rstrip("/")
     done = [e["about"]["silver_version"] for e in history(spark, base)]
     since = done[-1] if done else -1
@@ -86,7 +106,10 @@ def refresh_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict:
     fact = read_silver(spark, silver_root, FACT_TABLE, f"{FACT_SCHEMA}, {DAY} string", set(days))
     push = read_silver(spark, silver_root, event_table_name(PUSH), f"{PUSH_SCHEMA}, {DAY} string", set(days))
     tables = {}
-    for name, rows in partials(fact, push).items():
+    todo = partials(fact, push)
+    if model is not None:
+        todo["event_languages_df"] = language_rows(spark, silver_root, fact, set(days), model, threshold)
+    for name, rows in todo.items():
         root = f"{base}/{PARTIALS}/{name}"
         entries = history(spark, root)
         if not any(e["about"]["silver_version"] == version for e in entries):  # else by a run that died later on
@@ -95,6 +118,9 @@ def refresh_gold(spark: SparkSession, silver_root: str, gold_root: str) -> dict:
         tables[name] = read_table(spark, root)
     types = [r["type"] for r in tables["event_per_hour_df"].select("type").distinct().collect()]
     reports = finals(tables, sorted(types) if None not in types else None)
+    if model is not None:
+        labelled = tables["event_languages_df"].drop(DAY)
+        reports |= {"event_languages_df": labelled, "language_stats_df": language.language_stats(labelled)}
     written = {name: write_plain(df, f"{base}/{name}") for name, df in reports.items()}
     commit(spark, base, {"kind": "refresh", "load": f"v{version}", "folder": None, "schema": None, "days": {}, "replaces": [],
                          "about": {"silver_version": version, "days": days}})

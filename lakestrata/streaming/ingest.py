@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata.functions.timefmt import add_day
+from lakestrata.plans import lake
+from lakestrata.plans.bronze import TARGET_FILE_BYTES
 from lakestrata.sinks.parquet import DAY, LOAD, write_partitioned
 
 
@@ -76,10 +78,47 @@ def start_bronze_stream(
     return writer.start()
 
 
-def run_bronze_stream(events: DataFrame, dst: str, checkpoint: str, **kw) -> str:
-    """Run the stream over everything available now, wait for it, and return ``dst``."""
-    query = start_bronze_stream(events, dst, checkpoint, available_now=True, **kw)
+def start_lake_stream(
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    *,
+    time_col: str = "created_at",
+    available_now: bool = True,
+    query_name: str = "stream",
+    compact_every: int | None = 24,
+    target_bytes: int = TARGET_FILE_BYTES,
+) -> StreamingQuery:
+    """Start the stream ``events`` → the committed table at ``root`` (see ``sinks.commits``).
+
+    A micro-batch is one load, named after the stream and its number: redone after a failure it finds itself committed and
+    adds nothing, and what a dead attempt wrote is never read. After every ``compact_every`` batches the days that
+    lie in too many small files are compacted, so the number of files stays bounded however long the stream runs.
+    """
+    bronze = events if DAY in events.columns else add_day(events, time_col)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lake.append_load(batch.hint("rebalance", DAY), root, f"{query_name}-{batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            lake.compact(batch.sparkSession, root, target_bytes=target_bytes)
+
+    writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(query_name)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
+
+
+def _finished(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def run_lake_stream(events: DataFrame, root: str, checkpoint: str, **kw) -> str:
+    """Run the stream into a committed table over everything available now, wait for it, and return ``root``."""
+    _finished(start_lake_stream(events, root, checkpoint, available_now=True, **kw))
+    return root
+
+
+def run_bronze_stream(events: DataFrame, dst: str, checkpoint: str, **kw) -> str:
+    """Run the stream over everything available now, wait for it, and return ``dst``."""
+    _finished(start_bronze_stream(events, dst, checkpoint, available_now=True, **kw))
     return dst

@@ -47,6 +47,11 @@ def test_merge_types_is_a_join():
     assert merge_types(L, D) == D and merge_types(T.BooleanType(), L) == S and merge_types(_struct(a=L), L) == S
 
 
+def test_schemas_allow_nulls_at_every_depth():
+    strict = T.StructType([T.StructField("a", T.ArrayType(T.StructType([T.StructField("x", L, False)]), False), False)])
+    assert merge_schemas([strict]) == _struct(a=T.ArrayType(_struct(x=L), True))
+
+
 def test_cast_to_keeps_values(spark):
     df = spark.createDataFrame([(1, (2, [3]), {"k": 4}), (None, None, None)], "a bigint, s struct<x:bigint, y:array<bigint>>, m map<string,bigint>")
     want = merge_schemas([df.schema, T.StructType.fromDDL("a double, s struct<y:array<double>, z:string>, m map<string,string>, n date")])
@@ -288,3 +293,26 @@ def test_scratch_tables_are_released(spark):
     assert spark.read.parquet(path).count() == 3
     assert release_scratch(spark) and not os.path.exists(path) and os.path.exists(other)
     assert not release_scratch(spark)
+
+
+def test_a_long_stream_leaves_few_files(spark, tmp_dir):
+    from lakestrata.streaming.ingest import landing_stream, run_lake_stream
+
+    src, root = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    os.makedirs(src)
+    for i in range(40):
+        _write(f"{src}/2017-01-01-{i}.json.gz", [_event(i * 5 + j, 1 + j % 3, {"push_id": i}) for j in range(5)])
+    schema = spark.read.json(src).schema
+    run = lambda: run_lake_stream(
+        landing_stream(spark, src, schema, max_files_per_trigger=1), root, f"{tmp_dir}/checkpoint", compact_every=8
+    )
+    run()
+    assert sorted(int(r.id) for r in read_table(spark, root).collect()) == list(range(200))
+    kinds = [e["kind"] for e in history(spark, root)]
+    assert kinds.count("append") == 40 and kinds.count("compact") == 5
+    assert lake.day_files(spark, root).count() == 3  # one a day, after 40 micro-batches
+    run()  # nothing new
+    assert len(history(spark, root)) == 45 and read_table(spark, root).count() == 200
+    # the stream's loads feed the same refresh as batch loads
+    state = lake.refresh_silver(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/contracts", event_types=["PushEvent"])
+    assert len(state["days"]) == 3 and read_silver(spark, f"{tmp_dir}/silver", "push_event_df").count() == 200

@@ -114,3 +114,28 @@ def test_gold_refresh_that_died_is_taken_up(spark, tmp_dir, monkeypatch):
     assert len(history(spark, f"{gld}/partials/num_commits_df")) == 1  # not written twice
     hours = spark.read.parquet(state["reports"]["event_per_hour_df"])
     assert hours.agg(F.sum(F.coalesce("PushEvent", F.lit(0)) + F.coalesce("WatchEvent", F.lit(0)))).first()[0] == 40
+
+
+def test_languages_are_kept_by_day(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from lakestrata.plans.build_gold import build_gold
+    from lakestrata.plans.language import train_language_detector
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = train_language_detector(docs, "text", "lang")
+    bronze, slv, gld = f"{tmp_dir}/bronze", f"{tmp_dir}/silver", f"{tmp_dir}/gold"
+    rows = docs.selectExpr(
+        "cast(doc_id as string) id", "if(doc_id % 2 = 0, 'PushEvent', 'IssueCommentEvent') type",
+        "concat('2017-01-0', doc_id % 3 + 1, 'T00:00:00Z') created_at", "struct('u' as login, 'u' as display_login) actor",
+        "struct(doc_id as id, 'o/p' as name) repo", "struct('g' as login) org",
+        "struct(doc_id as push_id, doc_id as distinct_size, 'refs/heads/x' as ref, if(doc_id % 2 = 0, array(struct(text as message)), null) as commits, "
+        "if(doc_id % 2 = 1, struct(text as body), null) as comment) payload",
+    ).withColumn("day", F.substring("created_at", 1, 10))
+    for load, part in (("a", "doc < 100"), ("b", "doc >= 100")):
+        lake.append_load(rows.withColumn("doc", F.col("id").cast("int")).where(part).drop("doc"), bronze, load)
+        lake.refresh_silver(spark, bronze, slv, f"{tmp_dir}/c", event_types=["PushEvent", "IssueCommentEvent"])
+        state = increments.refresh_gold(spark, slv, gld, model=model)
+    full = build_gold(spark, slv, f"{tmp_dir}/full", model=model)
+    for name in ("event_languages_df", "language_stats_df"):
+        got, want = spark.read.parquet(state["reports"][name]), spark.read.parquet(full[name])
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
