@@ -316,3 +316,20 @@ def test_a_long_stream_leaves_few_files(spark, tmp_dir):
     # the stream's loads feed the same refresh as batch loads
     state = lake.refresh_silver(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/contracts", event_types=["PushEvent"])
     assert len(state["days"]) == 3 and read_silver(spark, f"{tmp_dir}/silver", "push_event_df").count() == 200
+
+
+def test_long_logs_are_summed_up(spark, tmp_dir, monkeypatch):
+    from lakestrata.sinks import commits
+
+    monkeypatch.setattr(commits, "SUMMARY", 4)
+    entry = {"kind": "append", "load": "x", "folder": None, "schema": None, "days": {}, "replaces": [], "about": {}}
+    for i in range(11):
+        assert commit(spark, f"{tmp_dir}/t", {**entry, "load": str(i)}) == i
+    names = os.listdir(f"{tmp_dir}/t/_log")
+    assert sum(n.startswith("upto-") for n in names) == 2
+    reads = []
+    real = commits.read_small
+    monkeypatch.setattr(commits, "read_small", lambda s, p: (reads.append(p), real(s, p))[1])
+    assert [(e["version"], e["load"]) for e in history(spark, f"{tmp_dir}/t")] == [(i, str(i)) for i in range(11)]
+    assert len(reads) == 4  # one summary of eight entries, three later ones
+    assert history(spark, f"{tmp_dir}/nothing") == []
