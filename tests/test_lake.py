@@ -333,3 +333,21 @@ def test_long_logs_are_summed_up(spark, tmp_dir, monkeypatch):
     assert [(e["version"], e["load"]) for e in history(spark, f"{tmp_dir}/t")] == [(i, str(i)) for i in range(11)]
     assert len(reads) == 4  # one summary of eight entries, three later ones
     assert history(spark, f"{tmp_dir}/nothing") == []
+
+
+def test_jobs_command_line(spark, two_months, capsys):
+    from lakestrata import jobs
+
+    src, root, tmp = two_months
+    said = lambda: json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    jobs.main(["ingest", "--landing", src, "--bronze", root, "--load", "2017-02"])
+    assert said() == {"version": 1}
+    jobs.main(["ingest", "--landing", src, "--bronze", root, "--load", "2017-02"])
+    assert said() == {"version": None}
+    jobs.main(["refresh", "--bronze", root, "--silver", f"{tmp}/silver", "--contracts", f"{tmp}/contracts", "--types", "PushEvent"])
+    assert said()["days"] == ["2017-01-01", "2017-01-02"]
+    jobs.main(["compact", "--table", root])
+    assert said() == {"version": 2}  # the first day lay in two loads' files
+    jobs.main(["gold", "--silver", f"{tmp}/silver", "--gold", f"{tmp}/gold", "--no-languages"])
+    assert spark.read.parquet(said()["num_commits_df"]).count() == 9
+    assert read_table(spark, root).count() == 9
