@@ -11,12 +11,15 @@ tokens whose posterior of a kind is at least ``min_posterior`` give the added sp
 at most one skip edge of each sort back, so the graph is linear in the document.
 
 The potentials are counted from at most ``max_train`` documents chosen by hash, labelled by the base
-spans. Search and labelling cover all rows and whole texts and only map the documents; the graphs of
+spans. All edge potentials and the ``max_features`` most frequent (feature, label) counts a label come back to the
+driver; a rarer feature has no potential of its own, so a token that has only such is labelled by the others. Search and labelling cover all rows and whole texts and only map the documents; the graphs of
 one Arrow batch are solved together.
 
 Defined results: null counts as empty text, which has no spans; equal texts have equal spans; with
 nothing to learn from no span is added; an added span never overlaps a base span or another added
-one; long runs without white space are one token.
+one; long runs without white space are one token; tokens with equal posteriors keep the first kind as listed;
+repeated rows count and are labelled each; columns beside the text are left alone whatever their names, but one called
+``out``, which is replaced.
 """
 
 from __future__ import annotations
@@ -226,7 +229,7 @@ def _counted(texts: list[str]) -> dict[tuple[str, str, int, int], int]:
     return n
 
 
-def train_pii(docs: DataFrame, *, text_col: str = "text", max_train: int = MAX_TRAIN) -> CrfModel:
+def train_pii(docs: DataFrame, *, text_col: str = "text", max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> CrfModel:
     """Potentials as smoothed log ratios of counts over a bounded sample of the documents."""
     total = docs.count()
     if not total:
@@ -246,7 +249,9 @@ def train_pii(docs: DataFrame, *, text_col: str = "text", max_train: int = MAX_T
         .groupBy("sort", "name", "a", "b")
         .agg(F.sum("n").alias("n"))
     )
-    rows = sums.orderBy(F.desc("n"), "sort", "name", "a", "b").limit(MAX_FEATURES * L).collect()
+    # all edge counts, at most 3 * L * L rows, whatever the number of features
+    features = sums.where("sort = 'f'").orderBy(F.desc("n"), "name", "a", "b").limit(max_features * L)
+    rows = features.union(sums.where("sort <> 'f'")).collect()
     return fit_potentials([tuple(r) for r in rows])
 
 

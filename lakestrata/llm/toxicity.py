@@ -171,13 +171,14 @@ class Grammar:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def _learn_words(sample: DataFrame) -> list[str]:
+def _learn_words(sample: DataFrame, max_candidates: int = MAX_CANDIDATES) -> list[str]:
     """Insult words and stems (``abcd*``) of the sample (columns ``id``, ``words``, ``toxic``).
 
     A first pass counts documents of each label for every word and every stem of 4 to 6 letters and
     keeps those that stand mostly in toxic documents; a second counts, for these, the distinct
     neighbourhoods in which they occur (at most three a document count), so text that is merely
-    copied along proves nothing. The evidence is the Chernoff bound against the base rate.
+    copied along proves nothing. The second pass takes the ``max_candidates`` forms that stand in most toxic documents
+    (weighted by their share of them); rarer ones are not learned. The evidence is the Chernoff bound against the base rate.
     """
     units = sample.select("id", "toxic", F.explode(F.array_distinct("words")).alias("w"))
     forms = F.array_distinct(
@@ -203,7 +204,7 @@ def _learn_words(sample: DataFrame) -> list[str]:
     share = F.col("pos") / F.col("n")
     likely = per_form.where((F.col("pos") >= 3) & (share >= max(0.6, min(0.95, 2 * base))) & (F.length("form") > 2))
     tried = per_form.count()
-    likely = [r["form"] for r in likely.orderBy(F.desc(F.col("pos") * share), "form").limit(MAX_CANDIDATES).collect()]
+    likely = [r["form"] for r in likely.orderBy(F.desc(F.col("pos") * share), "form").limit(max_candidates).collect()]
     if not likely:
         return []
     known = F.broadcast(sample.sparkSession.createDataFrame([(f,) for f in likely], "form string"))
@@ -232,7 +233,7 @@ def _learn_words(sample: DataFrame) -> list[str]:
             F.sum("toxic").alias("docs"),
         )
         .where("docs >= 3")
-        .collect()  # at most MAX_CANDIDATES rows
+        .collect()  # at most max_candidates rows
     )
     need, evidence = math.log(max(tried, 1) / 0.01), {}
     for r in near:
@@ -313,8 +314,10 @@ def train_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     max_train: int = MAX_TRAIN,
+    max_candidates: int = MAX_CANDIDATES,
 ) -> ToxicityModel:
-    """Learn from the given labels (hold rows out before calling); at most ``max_train`` labelled rows."""
+    """Learn from the given labels (hold rows out before calling); at most ``max_train`` labelled rows, of whose
+    words at most ``max_candidates`` forms are examined."""
     spark = docs.sparkSession
     marked = (
         labels.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{label_col}`").cast("int").alias("toxic"))
@@ -335,7 +338,7 @@ def train_toxicity(
     )
     try:
         words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
-        model = ToxicityModel(_learn_words(sample.select("id", words.alias("words"), "toxic")))
+        model = ToxicityModel(_learn_words(sample.select("id", words.alias("words"), "toxic"), max_candidates))
         rows = (
             sample.select(_pattern_map(model, False)(F.col("text")).alias("p"), "toxic")
             .select(*[F.least(F.lit(CLIP), F.length("p") - F.length(F.replace("p", F.lit(s)))).alias(f"n{i}") for i, s in enumerate(OUTPUTS)], "toxic")

@@ -67,3 +67,10 @@ def test_operator_on_odd_rows(corpus, odd_docs, no_docs):
         base = [(pii.KINDS.index(x.kind), x.start, x.end) for x in r.spans if x.base]
         assert base == brute(r.text or "")
     assert pii.find_pii(no_docs, pii.train_pii(no_docs)).count() == 0
+
+
+def test_edges_are_kept_however_few_the_features(corpus):
+    rows = [(i, f"write to a{i}@x.org or +49 30 {1000000 + i} and again a{i}@x.org") for i in range(60)]
+    docs = corpus.createDataFrame(rows, "doc_id int, text string")
+    full, few = pii.train_pii(docs), pii.train_pii(docs, max_features=1)
+    assert (few.pair == full.pair).all() and len(few.unary) < len(full.unary)
