@@ -384,6 +384,24 @@ def q_silver_refreshes(spark, sf_dir):
     return spark.createDataFrame(rows, "refresh int, day string")
 
 
+def q_variant_lake(spark, sf_dir):
+    """The same through the lake: VARIANT bronze by the ledger, silver of its days, a field of ``rest`` summed by day."""
+    spark = _s(spark)
+
+    def build(root):
+        head = T.StructType([f for f in tv.document_events(spark, sf_dir, "first").drop("day", "payload").schema.fields])
+        lake.ingest_landing(spark, f"{_two_loads(spark, sf_dir)}/landing", f"{root}/bronze", "all", variant_head=head)
+        lake.refresh_variant_silver(spark, f"{root}/bronze", f"{root}/silver", {"PushEvent": T.StructType.fromDDL(FIRST_CONTRACT)})
+
+    root = f"{_built(spark, sf_dir, 'variant-lake', build)}/silver"
+    push = with_rest_fields(read_silver(spark, root, "push_event_df"), {"distinct_size": "bigint", "labels": "array<string>"})
+    lines = read_silver(spark, root, "push_event_df_commits_df").groupBy("day").agg(F.count("*").alias("lines"))
+    sums = push.groupBy("day").agg(
+        F.count("*").alias("pushes"), F.sum("distinct_size").alias("distinct_size"), F.sum(F.size("labels").cast("bigint")).alias("labels")
+    )
+    return sums.join(lines, "day", "left")
+
+
 def q_streamed_lake(spark, sf_dir):
     """Documents as a stream of events into a committed table, a micro-batch a file, compacted on the way: rows and
     characters of comments by type and day."""
@@ -672,6 +690,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kept_languages": q_kept_languages,
         "kept_language_totals": q_kept_language_totals,
         "variant_rest": q_variant_rest,
+        "variant_lake": q_variant_lake,
         "streamed_lake": q_streamed_lake,
         "bucketed_commits_per_push": q_bucketed_commits_per_push,
         "bucketed_push_activity": q_bucketed_push_activity,
@@ -1011,6 +1030,10 @@ def oracle_sql() -> dict[str, str]:
         "clustered_user_weeks": f"SELECT * FROM ({_DOC_WEEKS}) WHERE \"user\" = '{EXAMPLE_USER}'",
         "clustered_projects": f"SELECT * FROM ({_DOC_ACTIVITY}) WHERE contains(project_name, '{PROJECT_TEXT}')",
         "kept_user_weeks": _DOC_WEEKS,
+        "variant_lake": f"""
+            SELECT day, count(*) AS pushes, CAST(sum(distinct_size) AS BIGINT) AS distinct_size,
+                   CAST(sum(CASE WHEN late THEN 2 END) AS BIGINT) AS labels, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines
+            FROM ({_DOC_EV}) WHERE type = 'PushEvent' GROUP BY 1""",
         "streamed_lake": f"""
             SELECT type, day, count(*) AS rows, CAST(sum(length(text)) FILTER (WHERE type <> 'PushEvent') AS BIGINT) AS chars
             FROM ({_DOC_EV}) GROUP BY 1, 2""",

@@ -3,7 +3,8 @@
 ``merge_types`` is the join of a type lattice: nothing below everything, the integers below one another, all
 numbers below ``double`` (decimals among themselves widen exactly), dates below timestamps, structs, arrays
 and maps merged part by part, and text above all that does not fit together. It is associative and
-commutative up to the order of fields, so schemas of loads can be merged in any grouping. ``cast_to`` brings the rows of
+commutative up to the order of fields, so schemas of loads can be merged in any grouping. VARIANT, which holds any value as
+it is, stands above text: a load with typed payloads and one with VARIANT payloads unite to VARIANT. ``cast_to`` brings the rows of
 one load from its own schema to the merged one; what becomes text keeps its value (nested ones as JSON).
 """
 
@@ -45,6 +46,8 @@ def merge_types(a: T.DataType, b: T.DataType) -> T.DataType:
         return b
     if isinstance(b, T.NullType):
         return a
+    if isinstance(a, T.VariantType) or isinstance(b, T.VariantType):
+        return T.VariantType()
     if isinstance(a, T.StructType) and isinstance(b, T.StructType):
         return merge_structs(a, b)
     if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
@@ -103,6 +106,8 @@ def cast_column(c: Column, have: T.DataType, want: T.DataType) -> Column:
             ),
         )
         return F.map_from_entries(pairs)
+    if isinstance(want, T.VariantType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_variant_object(c)
     if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(c)
     return c.cast(want)

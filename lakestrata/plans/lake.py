@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestrata.functions.text import event_table_name
 from lakestrata.operators.contract import load_contracts, save_contracts, widen_contracts
 from lakestrata.operators.schema_union import merge_schemas
+from lakestrata.operators.variant import event_table_with_rest, read_events_variant
 from lakestrata.plans import bronze as bronze_plan
 from lakestrata.plans import silver
 from lakestrata.sinks.commits import NO_DAY, CommitConflict, Part, commit, files_of, history, parts_of, write_commit
@@ -123,10 +125,14 @@ def ingest_landing(
     *,
     schema: T.StructType | None = None,
     sampling_ratio: float | None = None,
+    variant_head: T.StructType | None = None,
     target_bytes: int = bronze_plan.TARGET_FILE_BYTES,
 ) -> int | None:
     """Read the landing files that are new into bronze at ``root`` as one load; its version, or None if there
-    is no new file. The load has the schema that its own files show (or ``schema``); readers unite the loads'."""
+    is no new file. The load has the schema that its own files show (or ``schema``); readers unite the loads'.
+
+    With ``variant_head`` (the columns beside the payload) the payload is stored as one VARIANT: no byte is read to infer
+    a schema and no field is lost; ``refresh_variant_silver`` types it."""
     base, before = root.rstrip("/"), history(spark, root)
     name = f"{load}.{len(before)}"
     fresh = new_files(spark, list_landing(spark, src), root)
@@ -138,7 +144,10 @@ def ingest_landing(
         return None
     named = mine.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
     plan = bronze_plan.per_day_plan(named, target_bytes=target_bytes)
-    events = read_events_json(spark, paths, schema, sampling_ratio, CORRUPT if schema is not None else None)
+    if variant_head is not None:
+        events = read_events_variant(spark, paths, variant_head)
+    else:
+        events = read_events_json(spark, paths, schema, sampling_ratio, CORRUPT if schema is not None else None)
     rows = bronze_plan.to_bronze(events)
     if plan:
         spread = spread_by_day(rows, plan)
@@ -148,7 +157,7 @@ def ingest_landing(
     return write_commit(
         spread, root, load, about={"ledger": at}, row_group_bytes=BRONZE_ROW_GROUP_BYTES,
         check=_not_read_meanwhile(spark, root, mine, before[-1]["version"] if before else -1),
-        before_commit=lambda folder: {"profile": _profile_of(spark, base, folder)},
+        before_commit=None if variant_head is not None else lambda folder: {"profile": _profile_of(spark, base, folder)},
     )
 
 
@@ -224,9 +233,7 @@ def refresh_silver(
     bronze version, so a refresh that died half-way is taken up where it stopped.
     """
     base = silver_root.rstrip("/")
-    done = [e for e in history(spark, base) if e["kind"] == "refresh"]
-    since = done[-1]["about"]["source_version"] if done else None
-    days, version = changed_days(spark, bronze_root, since)
+    days, version = changed_days(spark, bronze_root, _last_refresh(spark, base))
     if not days:
         return {"version": version, "days": [], "tables": []}
     contracts = lake_contracts(spark, bronze_root, contracts_path, event_types, keep)
@@ -234,6 +241,53 @@ def refresh_silver(
     bronze = bronze.withColumn(DAY, F.col(DAY).cast("date"))
     profile = [p for p in stored_profile(spark, bronze_root, days) if p["rows"]]
     tables = silver.silver_tables(bronze, contracts, profile, event_types)
+    return _replace_days(spark, base, tables, days, version, rows_per_file, max_concurrent)
+
+
+def refresh_variant_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    contracts: dict[str, T.StructType],
+    *,
+    rows_per_file: int = silver.ROWS_PER_FILE,
+    max_concurrent: int = 4,
+) -> dict:
+    """``refresh_silver`` for bronze whose payload is a VARIANT. ``contracts``: event type → the payload fields that become
+    columns; everything else is in the table's ``rest``, queryable without bronze. Arrays of a contract become
+    child tables as ever, and the fact table has the columns beside the payload."""
+    base = silver_root.rstrip("/")
+    days, version = changed_days(spark, bronze_root, _last_refresh(spark, base))
+    if not days:
+        return {"version": version, "days": [], "tables": []}
+    bronze = read_table(spark, bronze_root, days=set(days), version=version)
+    counts: dict[str, dict] = {}
+    for r in bronze.groupBy("type", DAY).count().collect():  # types x days rows, from two columns
+        counts.setdefault(r["type"], {})[r[DAY]] = r["count"]
+    tables: dict[str, tuple] = {}
+    for event_type, contract in contracts.items():
+        if event_type in counts:
+            name = event_table_name(event_type)
+            parent, children = silver.split_event_table(event_table_with_rest(bronze, event_type, contract), name)
+            tables[name] = (parent, F.col("id"), counts[event_type])
+            tables |= {n: (child, F.struct("fact_id", "pos"), counts[event_type]) for n, child in children.items()}
+    per_day: dict[str | None, int] = {}
+    for by in counts.values():
+        for d, n in by.items():
+            per_day[d] = per_day.get(d, 0) + n
+    tables[silver.FACT_TABLE] = (silver.build_fact(bronze), F.col("id"), per_day)
+    return _replace_days(spark, base, tables, days, version, rows_per_file, max_concurrent)
+
+
+def _last_refresh(spark: SparkSession, base: str) -> int | None:
+    done = [e for e in history(spark, base) if e["kind"] == "refresh"]
+    return done[-1]["about"]["source_version"] if done else None
+
+
+def _replace_days(
+    spark: SparkSession, base: str, tables: dict[str, tuple], days: list[str], version: int, rows_per_file: int, max_concurrent: int
+) -> dict:
+    """Put the tables' rows in place of what their days held, each table in a commit of its own, then the refresh entry."""
 
     def write(name: str) -> str | None:
         df, key, counts = tables[name]

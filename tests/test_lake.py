@@ -26,7 +26,7 @@ def _struct(**fields):
 
 SAMPLES = [
     T.NullType(), T.BooleanType(), T.IntegerType(), L, T.FloatType(), D, S, T.DateType(), T.TimestampType(), T.DecimalType(12, 2),
-    T.ArrayType(L), T.ArrayType(D), T.MapType(S, L), _struct(a=L), _struct(a=D, b=S), _struct(b=_struct(c=L)),
+    T.VariantType(), T.ArrayType(L), T.ArrayType(D), T.MapType(S, L), _struct(a=L), _struct(a=D, b=S), _struct(b=_struct(c=L)),
 ]
 
 

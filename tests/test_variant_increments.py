@@ -139,3 +139,29 @@ def test_languages_are_kept_by_day(spark, tmp_dir):
     for name in ("event_languages_df", "language_stats_df"):
         got, want = spark.read.parquet(state["reports"][name]), spark.read.parquet(full[name])
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == want.columns
+
+
+def test_lake_of_variant_payloads(spark, tmp_dir):
+    import os
+
+    from lakestrata.sources.table import read_table
+
+    src, bronze, slv = f"{tmp_dir}/landing", f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
+    os.makedirs(src)
+    contract = {"PushEvent": T.StructType.fromDDL("size bigint, commits array<struct<message:string>>")}
+    _landing(f"{src}/2017-01-01-0.json", [{"size": 1, "commits": [{"message": "a"}, {"message": "b"}]}, {"size": 2, "new": "x"}])
+    assert lake.ingest_landing(spark, src, bronze, "one", variant_head=HEAD) == 0
+    assert lake.refresh_variant_silver(spark, bronze, slv, contract)["tables"] == ["main_df", "push_event_df", "push_event_df_commits_df"]
+    _landing(f"{src}/2017-01-01-1.json", [{"size": 2.5, "new": {"deep": 1}}])
+    assert lake.ingest_landing(spark, src, bronze, "two", variant_head=HEAD) == 1
+    # a load with typed payloads unites with them
+    typed = spark.createDataFrame([("9", "PushEvent", "2017-01-02T00:00:00Z", (7, "old"))], "id string, type string, created_at string, payload struct<size:int, new:string>")
+    lake.append_load(typed.withColumn("day", F.substring("created_at", 1, 10)), bronze, "typed")
+    assert read_table(spark, bronze).schema["payload"].dataType == T.VariantType() and read_table(spark, bronze).count() == 4
+    state = lake.refresh_variant_silver(spark, bronze, slv, contract)
+    assert state["days"] == ["2017-01-01", "2017-01-02"]
+    push = read_silver(spark, slv, "push_event_df").withColumn("rest", F.to_json("rest"))
+    got = sorted((r["size"], r.rest) if r["size"] is not None else (-1, r.rest) for r in push.collect())
+    assert got == [(-1, '{"new":{"deep":1},"size":2.5}'), (1, None), (2, '{"new":"x"}'), (7, '{"new":"old"}')]
+    assert [r.message for r in read_silver(spark, slv, "push_event_df_commits_df").orderBy("pos").collect()] == ["a", "b"]
+    assert lake.refresh_variant_silver(spark, bronze, slv, contract)["tables"] == []
