@@ -27,7 +27,7 @@ from lakestrata.llm.common import fresh, text_column, text_map
 
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_BITS = 9  # about 2**9 bytes a chunk
-WORD_CACHE = 64 << 20  # bytes of entries in half of the word cache, and of the chunk cache
+WORD_CACHE = 32 << 20  # bytes of entries in half of the word cache, and of the chunk cache
 CHUNK_CACHE = 12 << 20
 ENTRY = 300  # bytes that an entry's objects take besides their characters
 _STOPS = frozenset(b".,")

@@ -7,6 +7,8 @@ every other column alone, so extra columns never clash with results; an existing
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -79,6 +81,16 @@ def text_column(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system: a Python worker lives on, and the next stage's tasks need the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)  # glibc only
+    except (AttributeError, OSError):
+        pass
+
+
 def text_map(ddl: str, factory: Callable[[], Callable[[list], pa.Array]]):
     """A vectorised text function: ``factory()`` runs once per task and gives a function from a
     list of texts to an Arrow array of type ``ddl``. Non-deterministic for the planner, so one call
@@ -88,6 +100,8 @@ def text_map(ddl: str, factory: Callable[[], Callable[[list], pa.Array]]):
         fn = factory()
         for batch in batches:
             yield fn(batch.to_pylist())
+        del fn
+        release_memory()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, ddl).asNondeterministic()

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import doc_columns, fresh, prepare, read, text_column, text_map
+from lakestrata.llm.common import doc_columns, fresh, prepare, read, release_memory, text_column, text_map
 from lakestrata.session import checkpoint_root, scratch_dir
 
 SHINGLE = 5
@@ -270,6 +270,8 @@ def _similarity():
         for left, right in batches:
             pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)
             yield pa.array([overlap(bag(a) if len(a) < 200_000 else shingle_counts(a), bag(b)) for a, b in pairs], pa.float64())
+        kept.clear()
+        release_memory()
 
     run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "double").asNondeterministic()
