@@ -6,8 +6,8 @@ classes, the share that a dictionary of corpus words covers, signs of a path or
 and the words next to it. It is trained with Spark ML on labelled findings and then written out as one
 SQL expression, so scoring happens inside the scan: nothing is exploded, shuffled or joined.
 
-Labelled findings: ``labelled_findings`` marks candidates of at most ``max_train`` documents, chosen by
-hash. Positive: a random-looking value assigned to a secret's name, or a provider's key format.
+Labelled findings: ``labelled_findings`` marks the candidates of all documents, one finding for each
+value, and the dictionary is counted over all documents. Positive: a random-looking value assigned to a secret's name, or a provider's key format.
 Negative: numbers only, values found in several different sources' documents, words with a digit,
 paths and addresses, placeholders. Others teach nothing. ``train_forest`` takes any findings table
 with these columns, so findings labelled by people can be used instead.
@@ -30,10 +30,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import doc_columns, fresh, read, text_column, unit_hash
+from lakestrata.llm.common import doc_columns, fresh, read, text_column
 from lakestrata.llm.syncmers import let
 
-MAX_TRAIN = 20_000
 DICTIONARY = 400
 THRESHOLD = 0.5
 TREES, DEPTH = 12, 5
@@ -130,7 +129,9 @@ def _starts(gaps: Column, matches: Column, body) -> Column:
 
 
 def _matches(text: Column, pattern: str, group: int) -> Column:
-    """(start, value, before, after) of every match; ``group`` ends where the match ends."""
+    """(start, value, before, after) of every match; ``group`` ends where the match ends. A text without a match, as
+    most are, is read once."""
+    none = F.array().cast("array<struct<start:bigint,value:string,before:string,after:string>>")
     parts = F.struct(
         F.split(text, pattern, -1).alias("gaps"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
@@ -159,7 +160,7 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
 
         return _starts(gaps, whole, lambda start: F.transform(whole, lambda m, i: one(m, i, start(i))))
 
-    return let(parts, found)
+    return F.when(text.rlike(pattern), let(parts, found)).otherwise(none)
 
 
 def found_candidates(text: Column) -> Column:
@@ -193,13 +194,11 @@ def rule_label(value: Column, before: Column, after: Column, sources: Column) ->
     return F.when(value.rlike(_PROVIDER) | (named & random), 1).when(false, 0)
 
 
-def labelled_findings(docs: DataFrame, *, text_col: str = "text", source_col: str | None = None, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(value, before, after, label) from a bounded sample of the documents."""
-    n = docs.count()
+def labelled_findings(docs: DataFrame, *, text_col: str = "text", source_col: str | None = None) -> DataFrame:
+    """(value, before, after, label) of every candidate value of the documents; its context is the least of all its places."""
     text = text_column(docs, text_col)
     source = F.col(f"`{source_col}`").cast("string") if source_col else F.lit("")
-    sample = docs.select(text.alias("t"), source.alias("s")).where(unit_hash(F.col("t"), seed=5) < min(1.0, max_train / max(n, 1)))
-    found = sample.select("s", F.explode(found_candidates(F.col("t"))).alias("c"))
+    found = docs.select(text.alias("t"), source.alias("s")).select("s", F.explode(found_candidates(F.col("t"))).alias("c"))
     per_value = found.groupBy(F.col("c.value").alias("value")).agg(
         F.size(F.collect_set(F.xxhash64("s") % 64)).alias("sources"), F.min(F.struct("c.before", "c.after")).alias("x")
     )
@@ -207,12 +206,10 @@ def labelled_findings(docs: DataFrame, *, text_col: str = "text", source_col: st
     return per_value.select(v, b.alias("before"), a.alias("after"), rule_label(v, b, a, F.col("sources")).alias("label"))
 
 
-def corpus_dictionary(docs: DataFrame, *, text_col: str = "text", size: int = DICTIONARY, max_train: int = MAX_TRAIN) -> list[str]:
-    """The words of three letters and more that most sampled documents hold."""
-    n = docs.count()
+def corpus_dictionary(docs: DataFrame, *, text_col: str = "text", size: int = DICTIONARY) -> list[str]:
+    """The words of three letters and more that most documents hold, counted over all of them."""
     text = text_column(docs, text_col)
-    sample = docs.select(text.alias("t")).where(unit_hash(F.col("t"), seed=6) < min(1.0, max_train / 4 / max(n, 1)))
-    words = sample.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"\b[a-z]{3,12}\b"), F.lit(0)))).alias("w"))
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\b[a-z]{3,12}\b"), F.lit(0)))).alias("w"))
     top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(size)
     return sorted(r["w"] for r in top.collect())
 

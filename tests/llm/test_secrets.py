@@ -87,3 +87,15 @@ def test_odd_rows_and_single_label(corpus, odd_docs, no_docs):
     assert se.find_secrets(no_docs, se.train_secrets(no_docs)).count() == 0
     kept = se.stage(corpus, odd_docs, SF_SMALL)
     assert kept.columns == odd_docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, odd_docs.collect()))
+
+
+def test_dictionary_and_findings_come_from_all_documents(corpus):
+    """More rows than a sample held: a word of 31,000 documents and a value of 31,000 others both count in full."""
+    n = 31_000
+    docs = corpus.range(2 * n).selectExpr(
+        "id", "concat('row ', id, if(id < %d, ' rareword ', concat(' password=k9x2', id, 'zq7w')), if(id %% 2 = 0, ' even', '')) as text" % n, "concat('s', id % 9) as source"
+    )
+    assert se.corpus_dictionary(docs, size=4) == ["even", "password", "rareword", "row"]
+    assert se.labelled_findings(docs, source_col="source").count() == n
+    one = docs.where("id = 5").selectExpr("id", "'x onlyhere token=a1b2c3d4e5f6' as text", "source").unionByName(docs.where(f"id < {n}"))
+    assert "onlyhere" in se.corpus_dictionary(one) and se.labelled_findings(one).count() == 1
