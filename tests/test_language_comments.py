@@ -84,3 +84,33 @@ def test_detector_works_for_scripts_without_spaces(spark):
     model = language.train_language_detector(train, "text", "lang", ngram=2)
     probe = spark.createDataFrame([("我们的学校很好",), ("私は電車で行きます",)], "t string")
     assert [r.code for r in language.detect_language(probe, model, "t").collect()] == ["zh", "ja"]
+
+
+def test_counted_grams_are_those_of_the_hashed_strings(spark, tmp_dir):
+    """Every code point, case folding, texts shorter than a gram; and the counter runs where the package is not installed."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from pyspark.ml.feature import HashingTF, SQLTransformer
+
+    texts = ["abcabc", "\u00c9t\u00e9 d\u00e9j\u00e0 \u00c7A", "\u65e5\u672c\u8a9e\u306e\u30c6", "a\n\U0001f642b\u0130\u03a3\u0391\u03a3 x", "ab", "", "x" * 1000, "\x00\x7f\x80ab"]
+    df = spark.createDataFrame(list(enumerate(texts)), f"i int, {language.TEXT} string")
+    for n, size in ((2, 1 << 16), (3, 1 << 16), (3, 1000), (4, 1 << 18)):
+        runs = [f"regexp_extract_all(substring(lower({language.TEXT}), {i + 1}), '(?s){'.' * n}', 0)" for i in range(n)]
+        grams = SQLTransformer(statement=f"SELECT *, concat({', '.join(runs)}) AS t FROM __THIS__").transform(df)
+        want = HashingTF(inputCol="t", outputCol="f", numFeatures=size).transform(grams).orderBy("i").collect()
+        counts = language.GramCounts(inputCol=language.TEXT, outputCol="f", numFeatures=size, n=n)
+        assert [r.f for r in counts.transform(df).orderBy("i").collect()] == [r.f for r in want]
+    with open(f"{tmp_dir}/f", "wb") as f:
+        cloudpickle.dump(language._gram_counter(3, 1 << 16), f)
+    run = f"import pickle; print(pickle.load(open('{tmp_dir}/f', 'rb'))('abcabc')[1].sum())"
+    assert subprocess.run([sys.executable, "-c", run], cwd=tmp_dir, capture_output=True, text=True).stdout == "4.0\n"
+
+
+def test_detector_makes_no_string_a_gram(spark):
+    docs = spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")], "text string, lang string")
+    model = language.train_language_detector(docs)
+    got = language.detect_language(docs, model)
+    assert [r.code for r in got.orderBy("lang").collect()] == ["en", "fr"]
+    assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
