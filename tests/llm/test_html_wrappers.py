@@ -151,3 +151,64 @@ def test_slots_decide_where_a_page_alone_cannot():
     assert wrapper.text(other) == "Story 2\nWhat went on in town 2\nA share of the crop was lost\nNotice number 2 of the day"
     copies = hw.Extractor(hw.infer_wrapper([pages[0]] * 6))  # copies of one page show nothing
     assert "Tell your friends" in copies.text(pages[0])
+
+
+def test_wrappers_come_from_all_pages_of_a_host(corpus):
+    page = "<article><h1>T{0}</h1><p>Story {0} of the town</p>{1}</article>"
+    share = "<div class=share>Tell your friends</div>"
+    # the shared line is template although some pages tell something else, or nothing, in its place
+    many = [page.format(i, share if i % 20 else ("", "<div class=share>A share of the crop was lost</div>")[i % 3 == 0]) for i in range(400)]
+    # a line that is the same on three quarters of the pages only is not
+    notes = [page.format(i, f"<div class=notice>{'Read the rules' if i % 4 else f'Notice {i} of the day'}</div>") for i in range(200)]
+    # a container that one page has, and that holds most text
+    posts = [f"<div class=intro><p>By us {i}</p></div>" for i in range(60)] + ["<div class=intro><p>x</p></div><div class=post><p>" + "long story " * 400 + "</p></div>"]
+    rows = [(i, f"http://{h}.org/{i}", x) for h, pages in (("a", many), ("b", posts), ("c", notes)) for i, x in enumerate(pages)]
+    wrappers = hw.learn_wrappers(corpus.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    got = {r.host: json.loads(r.wrapper) for r in wrappers}
+    assert len(wrappers) == 3 and got["b.org"]["anchor"] == ["div.c:post"]
+    assert hw.Extractor(got["b.org"]).text(posts[60]) == ("long story " * 400).strip()
+    a, c = hw.Extractor(got["a.org"]), hw.Extractor(got["c.org"])
+    assert all(("friends" not in a.text(p)) and ("crop" in a.text(p)) == ("crop" in p) for p in many)
+    assert all(c.text(p).count("\n") == 2 for p in notes)
+
+
+def test_many_structures_of_a_host_are_merged_in_rounds(corpus):
+    blocks = ["<p>t</p>", "<h2>t</h2>", "<ul><li>a<li>b</ul>", "<pre>x</pre>", "<div class=related>See {0}</div>", "<blockquote>q</blockquote>"]
+    pages = []
+    for i in range(300):
+        body = "".join(blocks[(i // 6**k) % 6].format(i) for k in range(4))
+        pages.append(f"<article><h1>T{i}</h1>{body}<div class=notice>Read the rules</div></article>")
+    rows = [("http://a.org/", p) for p in pages]
+    wrappers = hw.learn_wrappers(corpus.createDataFrame(rows, "url string, html string"))
+    path = wrappers.collect()
+    extractor = hw.Extractor(json.loads(path[0].wrapper))
+    assert len(path) == 1
+    for i in (0, 77, 299):  # every page has its place in the expression
+        stream, found = hw.read_page(pages[i])
+        assert None not in extractor.matcher.slots(stream)
+        text = extractor.text(pages[i])
+        assert "Read the rules" not in text and text.startswith(f"T{i}") and text.count("See") == pages[i].count("See")
+
+
+def test_a_host_without_a_common_order_gets_a_loose_wrapper():
+    streams = [["article"] + [x for k in range(200) for x in ((f"div.c:k{(k * m) % 211}", "#", "/div"))] + ["/article"] for m in range(1, 8)]
+    items, longest = hw.merge([(s, len(s)) for s in streams])
+    assert hw.loose(items) and longest == len(streams[0])
+    match = hw.Matcher(hw.as_items(json.loads(json.dumps(items))))
+    assert all(None not in match.slots(s) for s in streams)
+    again, _ = hw.merge([(items, longest), (["main", "#", "/main"], 3)])
+    assert hw.loose(again) and "main" in hw.printed(again)
+
+
+def test_rounds_and_sums_agree_with_the_pages_in_memory(corpus):
+    hosts = {"p": [PAGE.format(extra="".join(f"<p>More text number {j} of page {i}</p>" for j in range(i))) for i in range(6)],
+             "q": ["<div class=c><div>Story {0} with its text</div><hr><div>All rights reserved</div></div>".format(i) for i in range(5)],
+             "r": ["<article><h1>T{0}</h1><div class=related><a href=x>Read {0}</a></div></article>".format(i) for i in range(4)]}
+    rows = [(f"http://{h}/{i}", p) for h, pages in hosts.items() for i, p in enumerate(pages)]
+    table = corpus.createDataFrame(rows * 2, "url string, html string")
+    wanted = {h: hw.infer_wrapper(sorted(pages, key=lambda p: (len(json.dumps(hw.fold(hw.read_page(p)[0]))), p))) for h, pages in hosts.items()}
+    for bound in (hw.MAX_SHARED, 0):
+        got = {r.host: json.loads(r.wrapper) for r in hw.learn_wrappers(table, max_shared=bound).collect()}
+        for h, w in got.items():
+            assert w["anchor"] == wanted[h]["anchor"] and sorted(w["slots"].values()) == sorted(wanted[h]["slots"].values())
+            assert [hw.Extractor(w).text(p) for p in hosts[h]] == [hw.Extractor(wanted[h]).text(p) for p in hosts[h]]
