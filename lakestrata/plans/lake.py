@@ -317,24 +317,36 @@ def day_files(spark: SparkSession, root: str) -> DataFrame:
     return files_of(spark, root).join(keep, ["folder", DAY], "left_semi")
 
 
-def compaction_plan(spark: SparkSession, root: str, target_bytes: int) -> dict[str, tuple[list[str], int]]:
+def compaction_plan(spark: SparkSession, root: str, target_bytes: int, growth: float | None = None) -> dict[str, tuple[list[str], int]]:
     """Per day the folders whose files are small (on average below half of the target) and in how many files
-    their bytes fit; days that would keep as many files as they have are left out."""
+    their bytes fit; days that would keep as many files as they have are left out.
+
+    With ``growth`` a folder of more than 1/128 of the target is taken only together with smaller ones of at least ``growth``
+    times its bytes, so that a row's folder grows by that much whenever the row is rewritten."""
     sizes = day_files(spark, root).groupBy(DAY, "folder").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     small = sizes.where(F.col("bytes") < F.col("files") * F.lit(target_bytes / 2))
-    days = small.groupBy(DAY).agg(F.collect_list("folder").alias("folders"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes"))
+    days: dict[str, list] = {}
+    for r in small.collect():  # a row a day and folder that is still small
+        days.setdefault(r[DAY], []).append((r["bytes"], r["folder"], r["files"]))
     out = {}
-    for r in days.collect():  # a row a day
-        need = max(1, math.ceil(r["bytes"] / target_bytes))
-        if need < r["files"]:
-            out[r[DAY]] = (sorted(r["folders"]), need)
+    for day, folders in days.items():
+        folders.sort()
+        if growth is not None:
+            while folders and folders[-1][0] > target_bytes / 128 and folders[-1][0] * growth > sum(n for n, _, _ in folders[:-1]):
+                folders.pop()
+        need = max(1, math.ceil(sum(n for n, _, _ in folders) / target_bytes))
+        if need < sum(files for _, _, files in folders):
+            out[day] = (sorted(f for _, f, _ in folders), need)
     return out
 
 
-def compact(spark: SparkSession, root: str, *, target_bytes: int = bronze_plan.TARGET_FILE_BYTES, key: str = "id") -> int | None:
+def compact(
+    spark: SparkSession, root: str, *, target_bytes: int = bronze_plan.TARGET_FILE_BYTES, key: str = "id", growth: float | None = None
+) -> int | None:
     """Rewrite days that lie in more files than their bytes need; the new version, or None if none does. Rows,
-    schema and every earlier version stay as they are; files of old folders are left for readers that hold them."""
-    plan = compaction_plan(spark, root, target_bytes)
+    schema and every earlier version stay as they are; files of old folders are left for readers that hold them.
+    ``growth`` is for jobs that compact again and again (see ``compaction_plan``)."""
+    plan = compaction_plan(spark, root, target_bytes, growth)
     if not plan:
         return None
     chosen = {(f, d) for d, (folders, _) in plan.items() for f in folders}

@@ -21,6 +21,8 @@ from lakestrata.plans import lake
 from lakestrata.plans.bronze import TARGET_FILE_BYTES
 from lakestrata.sinks.parquet import DAY, LOAD, write_partitioned
 
+COMPACT_GROWTH = 3
+
 
 def landing_stream(
     spark: SparkSession,
@@ -93,14 +95,15 @@ def start_lake_stream(
 
     A micro-batch is one load, named after the stream and its number: redone after a failure it finds itself committed and
     adds nothing, and what a dead attempt wrote is never read. After every ``compact_every`` batches the days that
-    lie in too many small files are compacted, so the number of files stays bounded however long the stream runs.
+    lie in too many small files are compacted, so the number of files stays bounded however long the stream runs; a
+    compacted folder waits for ``COMPACT_GROWTH`` times its bytes before it is rewritten, so a row is rewritten a few times only.
     """
     bronze = events if DAY in events.columns else add_day(events, time_col)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lake.append_load(batch.hint("rebalance", DAY), root, f"{query_name}-{batch_id}")
         if compact_every and (batch_id + 1) % compact_every == 0:
-            lake.compact(batch.sparkSession, root, target_bytes=target_bytes)
+            lake.compact(batch.sparkSession, root, target_bytes=target_bytes, growth=COMPACT_GROWTH)
 
     writer = bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(query_name)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

@@ -243,6 +243,21 @@ def test_compaction_bounds_the_files(spark, tmp_dir):
     assert {d: (len(f), n) for d, (f, n) in lake.compaction_plan(spark, root, target_bytes=4 * size).items()} == {"2017-01-01": (3, 1)}
 
 
+def test_repeated_compaction_leaves_large_folders_until_they_grow(spark, monkeypatch):
+    folders, written = {}, 0
+    schema = "path string, length bigint, folder string, day string"
+    monkeypatch.setattr(lake, "day_files", lambda *_: spark.createDataFrame([(f, n, f, "2017-01-01") for f, n in folders.items()], schema))
+    for i in range(24):
+        folders[f"batch-{i:02d}"] = 12_000 + i
+        if i % 2:
+            for _, (some, need) in lake.compaction_plan(spark, "t", 1_280_000, growth=3).items():
+                assert need == 1
+                written += (size := sum(folders.pop(f) for f in some))
+                folders[f"compact-{i}"] = size
+    assert sum(folders.values()) == sum(12_000 + i for i in range(24))
+    assert len(folders) <= 8 and written < 2 * sum(folders.values())  # rewriting all of it each time would be 6.5 times
+
+
 def test_rows_without_a_day(spark, tmp_dir):
     root = f"{tmp_dir}/t"
     df = spark.createDataFrame([("1", None), ("2", "2017-01-02")], "id string, day string")
