@@ -114,3 +114,57 @@ def test_detector_makes_no_string_a_gram(spark):
     got = language.detect_language(docs, model)
     assert [r.code for r in got.orderBy("lang").collect()] == ["en", "fr"]
     assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_reads_every_text_once_and_fits_what_the_texts_fit(spark):
+    """The sums of a task's texts stand for them in the fit; the plain pipeline read all texts twice."""
+    texts = [("the cat and the dog", "en"), ("le chat et le chien", "fr"), ("été déjà", "fr"), ("日本語のテキスト", "ja"), ("", "ja"), ("ab", "en"), (None, "en"), ("no label", None)]
+    docs = spark.createDataFrame(texts * 3, "text string, lang string").repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(t):
+        read.add(1)
+        return t
+
+    model = language.train_language_detector(docs.select(counted.asNondeterministic()("text").alias("text"), "lang"))
+    assert read.value == docs.count()
+    kept = docs.dropna().withColumnRenamed("text", language.TEXT)
+    want = language.detector_stages().fit(kept)
+    assert model.stages[-2].labels == want.stages[-2].labels
+    got, want = model.stages[-1], want.stages[-1]
+    assert abs(got.pi.toArray() - want.pi.toArray()).max() < 1e-12
+    assert abs(got.theta.toArray() - want.theta.toArray()).max() < 1e-12
+
+
+def test_comments_are_not_shuffled_again_for_the_detector(spark):
+    from lakestrata.plans.build_gold import label_comments
+
+    docs = spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")], "text string, lang string")
+    model = language.train_language_detector(docs)
+    fact = spark.createDataFrame([("1", "t", "IssueCommentEvent", "a", "o"), ("2", "t", "PushEvent", "a", "o")], "id string, created_at string, type string, actor_login string, org_login string")
+    issues = spark.createDataFrame([("1", "le chien")], "id string, comment_body string")
+    commits = spark.createDataFrame([("2", 0, "the"), ("2", 1, "dog")], "fact_id string, pos int, message string")
+    got = label_comments(fact, [issues], commits, model)
+    assert "REBALANCE" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.comment, r.code) for r in got.collect()) == [("1", "le chien", "fr"), ("2", "the,dog", "en")]
+
+
+def test_piece_ends_and_slices_change_no_counts(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    count, grams, pieces = language._gram_counter(3, 1 << 16), language._gram_hasher(3, 1 << 16), language._text_pieces()
+    texts = ["left out", "x" * 200_000, None, "日本語のテキスト" * 9_000, "", "a🙂é\n", "ab"]
+    for kind in (pa.string(), pa.large_string()):
+        batch, seen = pa.array(texts, kind).slice(1), 0
+        for i, j, data, offsets in pieces(batch):
+            assert i == seen and j > i
+            row, slot = grams(data, offsets)
+            for k in range(i, j):
+                slots, counts = np.unique(slot[row == k - i], return_counts=True)
+                want = count(texts[k + 1] or "")
+                assert (slots == want[0]).all() and (counts == want[1]).all()
+            seen = j
+        assert seen == len(batch)
+    assert list(pieces(pa.array([], pa.string()))) == []
