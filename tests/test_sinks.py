@@ -134,3 +134,20 @@ def test_pivot_fills_only_its_own_columns(spark):
     df = spark.createDataFrame([(None, "a"), (0, "b"), (0, "a")], "g int, t string")
     got = {r.g: (r.a, r.b) for r in pivot_count(df, ["g"], "t", fill_zero=True).collect()}
     assert got == {None: (1, 0), 0: (1, 1)}
+
+
+def test_tables_are_written_with_zstd(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from lakestrata.sinks.commits import write_commit
+    from lakestrata.sinks.parquet import write_partitioned, write_plain
+
+    df = spark.createDataFrame([("a", "2024-01-01")], "id string, day string")
+    write_partitioned(df, f"{tmp_dir}/by_day")
+    write_plain(df, f"{tmp_dir}/plain")
+    write_commit(df, f"{tmp_dir}/logged", "first")
+    for name in ("by_day", "plain", "logged"):
+        files = glob.glob(f"{tmp_dir}/{name}/**/*.parquet", recursive=True)
+        assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
