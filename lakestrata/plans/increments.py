@@ -10,6 +10,7 @@ day, so joins stay inside it. ``finals`` over the partials of all days equals ``
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -90,11 +91,13 @@ def language_rows(spark: SparkSession, silver_root: str, fact: DataFrame, days:
 
 
 def refresh_gold(
-    spark: SparkSession, silver_root: str, gold_root: str, model: PipelineModel | None = None, threshold: float = 0.1
+    spark: SparkSession, silver_root: str, gold_root: str, model: PipelineModel | None = None, threshold: float = 0.1,
+    max_concurrent: int = 4,
 ) -> dict:
     """Bring the five reports up to silver's last refresh; reads only the days that silver rewrote since. Returns
     the days whose partial results were replaced and the reports written. With a ``model`` the two language datasets
-    are kept as well: only comments of those days go through the detector."""
+    are kept as well: only comments of those days go through the detector. Up to ``max_concurrent`` tables are written at
+    once."""
     base = gold_root.rstrip("/")
     done = [e["about"]["silver_version"] for e in history(spark, base)]
     since = done[-1] if done else -1
@@ -105,23 +108,29 @@ def refresh_gold(
     days = sorted({d for e in news for d in e["about"]["days"]})
     fact = read_silver(spark, silver_root, FACT_TABLE, f"{FACT_SCHEMA}, {DAY} string", set(days))
     push = read_silver(spark, silver_root, event_table_name(PUSH), f"{PUSH_SCHEMA}, {DAY} string", set(days))
-    tables = {}
     todo = partials(fact, push)
     if model is not None:
         todo["event_languages_df"] = language_rows(spark, silver_root, fact, set(days), model, threshold)
-    for name, rows in todo.items():
+
+    def replace(name: str) -> DataFrame:
         root = f"{base}/{PARTIALS}/{name}"
         entries = history(spark, root)
         if not any(e["about"]["silver_version"] == version for e in entries):  # else by a run that died later on
             replaces = [(p.folder, d) for p in parts_of(entries) for d in p.days if d in set(days)]
-            write_commit(rows.hint("rebalance", DAY), root, f"v{version}", kind="replace", replaces=replaces, about={"silver_version": version})
-        tables[name] = read_table(spark, root)
+            write_commit(todo[name].hint("rebalance", DAY), root, f"v{version}", kind="replace", replaces=replaces, about={"silver_version": version})
+        return read_table(spark, root)
+
+    # independent jobs, the longest first: small ones fill the executors that it leaves idle
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        tables = dict(zip(reversed(todo), pool.map(replace, reversed(todo)), strict=True))
     types = [r["type"] for r in tables["event_per_hour_df"].select("type").distinct().collect()]
     reports = finals(tables, sorted(types) if None not in types else None)
     if model is not None:
         labelled = tables["event_languages_df"].drop(DAY)
         reports |= {"event_languages_df": labelled, "language_stats_df": language.language_stats(labelled)}
-    written = {name: write_plain(df, f"{base}/{name}") for name, df in reports.items()}
+    with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
+        paths = pool.map(lambda name: write_plain(reports[name], f"{base}/{name}"), reports)
+        written = dict(zip(reports, paths, strict=True))
     commit(spark, base, {"kind": "refresh", "load": f"v{version}", "folder": None, "schema": None, "days": {}, "replaces": [],
                          "about": {"silver_version": version, "days": days}})
     return {"days": days, "reports": written}
