@@ -144,7 +144,7 @@ def test_tables_are_written_with_zstd(spark, tmp_dir):
     from lakestrata.sinks.commits import write_commit
     from lakestrata.sinks.parquet import write_partitioned, write_plain
 
-    df = spark.createDataFrame([("a", "2024-01-01")], "id string, day string")
+    df = spark.createDataFrame([("a", "2024-01-01")], "id string, day string").coalesce(1)
     write_partitioned(df, f"{tmp_dir}/by_day")
     write_plain(df, f"{tmp_dir}/plain")
     write_commit(df, f"{tmp_dir}/logged", "first")
