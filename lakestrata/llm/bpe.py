@@ -17,6 +17,7 @@ text are encoded as the library does; repeated rows give equal results; long tex
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,10 @@ from lakestrata.llm.common import fresh, text_column, text_map
 
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_BITS = 9  # about 2**9 bytes a chunk
-WORD_CACHE = 32 << 20  # bytes of entries in half of the word cache, and of the chunk cache
-CHUNK_CACHE = 12 << 20
+WORD_CACHE = 16 << 20  # bytes of entries in half of the word cache, and of the chunk cache
+CHUNK_CACHE = 4 << 20
+PORTION = 1 << 18  # characters of texts encoded together
+CALL_WORDS = 1024  # words in one call of the library: its results are far larger than the ids kept of them
 ENTRY = 300  # bytes that an entry's objects take besides their characters
 _STOPS = frozenset(b".,")
 _LETTERS = frozenset(range(97, 123))
@@ -57,6 +60,19 @@ class Cache:
         self.held += ENTRY + len(key) + self.size(value)
 
 
+def portions(texts: list[str | None], limit: int = PORTION) -> Iterator[list[str | None]]:
+    """``texts`` in order, in lists of about ``limit`` characters: only the words of one list are held apart from the caches."""
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text or "")
+        if held >= limit:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def cut_points(data: bytes, bits: int = CHUNK_BITS) -> list[int]:
     """Ends of the content-defined chunks of ``data`` (UTF-8), the last being its length."""
     n = len(data)
@@ -125,17 +141,19 @@ class ChunkCoder:
                 missing.append(w)
             else:
                 known[w] = got
-        texts = [w.decode("utf-8") for w in missing]
         number, piece = self.number, self.piece
-        for w, enc in zip(missing, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = enc.ids
-            pair = (" ".join([number[i] for i in ids]), " ".join([piece[i] for i in ids]))
-            known[w] = pair
-            self.words.put(w, pair)
+        for at in range(0, len(missing), CALL_WORDS):
+            words = missing[at : at + CALL_WORDS]
+            texts = [w.decode("utf-8") for w in words]
+            for w, enc in zip(words, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = enc.ids
+                pair = (" ".join([number[i] for i in ids]), " ".join([piece[i] for i in ids]))
+                known[w] = pair
+                self.words.put(w, pair)
         return known
 
     def code(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
-        """(number of ids, ids, decoded text) of each text; all texts share one library call."""
+        """(number of ids, ids, decoded text) of each text; each of their words is looked up once."""
         plans, need, fresh_chunks = [], set(), {}
         for text in texts:
             data = (text or "").encode("utf-8")
@@ -257,7 +275,7 @@ def bpe_code(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         coder = ChunkCoder(path or vocabulary_path(), bits)  # its caches go with the task
 
-        def run(texts):
+        def arrow(texts):
             coded = coder.code(texts)
             return pa.StructArray.from_arrays(
                 [
@@ -268,7 +286,7 @@ def bpe_code(
                 names=["n_tokens", "ids", "decoded"],
             )
 
-        return run
+        return lambda texts: pa.concat_arrays([arrow(part) for part in portions(texts)] or [arrow([])])
 
     return docs.withColumn(out, text_map(_DDL, factory)(text_column(docs, text_col)))
 

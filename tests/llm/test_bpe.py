@@ -89,3 +89,41 @@ def test_query_against_the_library(corpus):
         want[d.doc_id] = (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
     got = entry.queries()["op9_bpe"](corpus, SF_SMALL).collect()
     assert len(got) == len(docs) and {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == want
+
+
+def test_a_large_batch_is_encoded_in_small_portions(monkeypatch):
+    calls, codings, factories = [], [], []
+
+    class Counting:
+        def __init__(self, tok):
+            self.tok = tok
+
+        def __getattr__(self, name):
+            return getattr(self.tok, name)
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return self.tok.encode_batch_fast(texts, **options)
+
+    tokenizer, code = bpe._tokenizer, bpe.ChunkCoder.code
+    monkeypatch.setattr(bpe, "_tokenizer", lambda path: Counting(tokenizer(path)))
+    monkeypatch.setattr(bpe.ChunkCoder, "code", lambda c, texts: codings.append(sum(len(t or "") for t in texts)) or code(c, texts))
+    monkeypatch.setattr(bpe, "text_map", lambda ddl, factory: factories.append(factory) or (lambda column: column))
+    monkeypatch.setattr(bpe, "text_column", lambda docs, name: None)
+
+    class Frame:
+        def withColumn(self, name, column):
+            return self
+
+    bpe.bpe_code(Frame())
+    run = factories[0]()
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(300)) for _ in range(300)]
+    texts[5:5] = [None, "", "Ab. é"]
+    tok = bpe.ChunkCoder(bpe.vocabulary_path())
+    got = run(texts).to_pylist()
+    assert [(r["n_tokens"], r["ids"], r["decoded"]) for r in got] == [library(tok, t or "") for t in texts]
+    longest = max(len(t or "") for t in texts)
+    assert sum(codings) == sum(len(t or "") for t in texts) and max(codings) < bpe.PORTION + longest
+    assert max(calls) <= bpe.CALL_WORDS
+    assert len(run([])) == 0
